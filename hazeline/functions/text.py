@@ -18,8 +18,8 @@ def describe_feature(feature: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """Number as text with a fixed count of decimals and no grouping."""
-    return F.format_string(f"%.{digits}f", value)
+    """Number as text with a fixed count of decimals, halves to even, no grouping."""
+    return F.format_string(f"%.{digits}f", F.bround(value, digits))
 
 
 def comparison_reason(challenger: Column, champion: Column) -> Column:
