@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import PSI_RETRAIN, PSI_WARNING
 from ..functions.seasons import event_threshold
-from .quantiles import exact_quantiles
+from ..session import stored
+from .quantiles import exact_quantiles, quantiles_of_counts
 
 FLOOR = 1e-3
 
@@ -30,25 +31,21 @@ def psi(base: DataFrame, current: DataFrame, columns: Sequence[str], n_bins: int
     tagged = long_values(base.withColumn("_side", F.lit(0)), columns, "_side").unionByName(
         long_values(current.withColumn("_side", F.lit(1)), columns, "_side"))
     is_base = F.col("_side") == 0
-    deciles = exact_quantiles(tagged.where(is_base), "feature", "value", [i / n_bins for i in range(n_bins + 1)])
+    # One pass over the rows: how often each distinct value occurs on either side.
+    counts = stored(tagged.groupBy("feature", "value").agg(
+        F.count_if(is_base).alias("b"), F.count_if(~is_base).alias("c")), "psi-counts")
+    deciles = quantiles_of_counts(counts, "feature", "value", "b", [i / n_bins for i in range(n_bins + 1)])
     edges = deciles.groupBy("feature").agg(F.array_sort(F.collect_set("quantile")).alias("deciles"))
-    # At most two distinct values: the smallest and the largest are all there are.
-    value = F.when(is_base, F.col("value"))
-    ends = tagged.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.min(value).alias("base_lo"), F.max(value).alias("base_hi"),
-        F.count(value).alias("n_base"), F.count_if(~is_base).alias("n_cur"))
-    middle = tagged.where(is_base).join(F.broadcast(ends.select("feature", "base_lo", "base_hi")), "feature").groupBy("feature").agg(
-        F.count_if((F.col("value") > F.col("base_lo")) & (F.col("value") < F.col("base_hi"))).alias("n_middle"))
-    plan = ends.join(middle, "feature", "left").join(edges, "feature", "left")
+    sides = counts.groupBy("feature").agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count_if(F.col("b") > 0).alias("n_distinct"),
+        F.sum("b").alias("n_base"), F.sum("c").alias("n_cur"))
     even = F.transform(F.sequence(F.lit(0), F.lit(n_bins)),
                        lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * i / F.lit(n_bins))
-    plan = plan.select("feature", "n_base", "n_cur", F.when(F.col("n_middle") > 0, F.col("deciles")).otherwise(even).alias("edges"))
+    plan = sides.join(edges, "feature", "left").select(
+        "feature", "n_base", "n_cur", F.when(F.col("n_distinct") > 2, F.col("deciles")).otherwise(even).alias("edges"))
     # One row per feature, so at most len(columns) rows are broadcast.
-    binned = tagged.join(F.broadcast(plan), "feature").select(
-        "feature", "_side", "n_base", "n_cur", bin_index(F.col("value"), F.col("edges")).alias("bin"))
-    bins = binned.groupBy("feature", "bin", "n_base", "n_cur").agg(
-        F.count_if(is_base).alias("b"), F.count_if(~is_base).alias("c"))
+    binned = counts.join(F.broadcast(plan), "feature").withColumn("bin", bin_index(F.col("value"), F.col("edges")))
+    bins = binned.groupBy("feature", "bin", "n_base", "n_cur").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     share = lambda n, total: F.greatest(F.col(n) / F.col(total), F.lit(FLOOR))
     b, c = share("b", "n_base"), share("c", "n_cur")
     term = F.when((F.col("n_base") > 0) & (F.col("n_cur") > 0), (c - b) * F.ln(c / b)).otherwise(F.lit(0.0))

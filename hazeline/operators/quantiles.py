@@ -1,8 +1,9 @@
 """Exact linear-interpolated quantiles without gathering the values.
 
-Spark's ``percentile`` keeps every distinct value in one buffer. Here an
-approximate pass only chooses range borders; counts per range then locate the
-ranks, and the few ranges that hold them are ranked exactly.
+Spark's ``percentile`` keeps every distinct value in one buffer, so it is used
+only up to a checked number of them. Beyond, an approximate pass chooses range
+borders; counts per range then locate the ranks, and the few ranges that hold
+them are ranked exactly.
 """
 
 from __future__ import annotations
@@ -11,20 +12,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import stored
+
+SMALL = 1_000_000
 RANGES = 512
 STRIDE = 23
 
 
-def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: Sequence[float], ranges: int = RANGES,
-) -> DataFrame:
+def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, n) of the non-null values, kept in the shared folder for several passes."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    return stored(counts, "value-counts")
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
     """(group, prob_index, quantile) of the non-null values of each group.
 
-    Groups are few (a list of features or models; one row of borders per group is
-    broadcast); rows per group may be any number. Equal values are combined
-    first, so one value holding most rows stays one row.
+    Groups are few (a list of features or models); rows per group may be any
+    number. Equal values are combined first, so one value holding most rows
+    stays one row.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    return quantiles_of_counts(value_counts(df, group, value), group, value, "n", probs)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, group: str, value: str, n: str, probs: Sequence[float], *, small: int = SMALL, ranges: int = RANGES,
+) -> DataFrame:
+    """Quantiles of counted values: Spark's own aggregate up to ``small`` distinct values, ranges beyond."""
+    present = counts.where(F.col(n) > 0)
+    if present.limit(small + 1).count() <= small:
+        every = present.groupBy(group).agg(F.percentile(value, [float(p) for p in probs], F.col(n)).alias("_q"))
+        return every.select(group, F.posexplode("_q").alias("prob_index", "quantile"))
+    return _by_ranges(present.select(group, value, F.col(n).alias("_n")), group, value, probs, ranges)
+
+
+def _by_ranges(counts: DataFrame, group: str, value: str, probs: Sequence[float], ranges: int) -> DataFrame:
+    """One row of borders per group is broadcast; only ranges that hold a wanted rank are sorted."""
     steps = [i / ranges for i in range(1, ranges)]
     borders = counts.groupBy(group).agg(
         F.array_distinct(F.percentile_approx(value, steps, 10 * ranges)).alias("_edges"))

@@ -88,9 +88,12 @@ WITH {READINGS}, {ward_values_sql()}, d AS (
     + cos(radians(r.lat)) * cos(radians(w.lat)) * pow(sin(radians(w.lon - r.lon) / 2), 2))) AS km FROM readings r, wards w)
 SELECT ward_id, count(*) AS n, {q6('min(km)')} AS nearest_km, {q6('avg(km)')} AS mean_km, {q6('max(km)')} AS farthest_km FROM d GROUP BY 1""")
 def j4(spark, folder):
-    d = with_targets(readings(spark, folder), wards(spark))
+    """Readings are counted per place first: a place has one distance to each ward."""
+    places = readings(spark, folder).groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
+    d, n = with_targets(places, wards(spark)), F.sum("n")
     return rounded(d.groupBy("ward_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("distance_km").alias("nearest_km"), F.avg("distance_km").alias("mean_km"), F.max("distance_km").alias("farthest_km")))
+        n.alias("n"), F.min("distance_km").alias("nearest_km"), (F.sum(F.col("distance_km") * F.col("n")) / n).alias("mean_km"),
+        F.max("distance_km").alias("farthest_km")))
 
 
 @query("j5_prediction_alignment", f"""
