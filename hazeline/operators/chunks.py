@@ -30,6 +30,15 @@ def as_list(value: str | Sequence[str] | None) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by key into the session's full number of shuffle partitions.
+
+    Without a number, partitions of few bytes are merged, and groups that are
+    small but costly in Python would run in one or two tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def time_chunk(us: Column, size_us: int = CHUNK_US) -> Column:
     return F.floor(us / F.lit(size_us)).cast("long")
 

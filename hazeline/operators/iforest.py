@@ -16,7 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import ANOMALY_FEATURES
-from ..sources.tables import ensure_columns
+from ..session import stored
+from ..sources.tables import ensure_columns, spread
+from .chunks import spread_by
 from .quantiles import exact_quantiles
 
 EULER_GAMMA = 0.5772156649
@@ -50,52 +52,60 @@ def feature_frame(df: DataFrame, columns: Sequence[str] = ANOMALY_FEATURES) -> D
     return df.withColumns({f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns})
 
 
-def _unit_hash(*cols) -> F.Column:
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / F.lit(float(1 << 40))
+SPARE = 4
 
 
 def tree_samples(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], trees: int, subsample: int, seed: int) -> DataFrame:
-    """(tree, features): ``subsample`` rows per tree in hash order, all rows if there are fewer.
+    """(tree, rank, features): ``subsample`` rows per tree in hash order, all rows if there are fewer.
 
-    Two hash thresholds keep the exploded volume near trees x subsample rows: one
-    keeps a pool of rows, the other the trees a pooled row is a candidate for.
+    About SPARE x trees x subsample (row, tree) candidates are made, however many
+    rows there are: large inputs are thinned by a hash first, small ones give
+    every row several trees, drawn by hashes. A tree's sample is the part of its
+    candidates with the lowest hashes.
     """
     n = max(df.count(), 1)
-    pool = min(1.0, 8.0 * trees * subsample / n)
-    per_tree = min(1.0, 4.0 * subsample / max(n * pool, 1.0))
-    pooled = df.where(_unit_hash(F.lit(seed), *row_id) < pool) if pool < 1 else df
-    # The pool hash must not decide the tree order as well, hence the second salt.
-    order = lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), t, *row_id), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    candidates = pooled.select(
-        *row_id, F.array(*[F.col(f"_f_{c}") for c in columns]).alias("x"),
-        F.explode(F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: order(t) < per_tree)).alias("tree"))
-    pick = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(seed + 1), F.col("tree"), *row_id), *row_id)
+    wanted = SPARE * trees * subsample
+    top = 1 << 40
+    if n > wanted:
+        df = df.where(F.pmod(F.xxhash64(F.lit(seed), *row_id), F.lit(top)) < int(top * wanted / n))
+    draws = -(-wanted // min(n, wanted))
+    if n <= SPARE * subsample:
+        chosen = F.sequence(F.lit(0), F.lit(trees - 1))
+    else:
+        drawn = [F.pmod(F.xxhash64(F.lit(seed + 1 + i), *row_id), F.lit(trees)).cast("int") for i in range(draws)]
+        chosen = F.array_distinct(F.array(*drawn))
+    candidates = df.select(*row_id, F.array(*[F.col(f"_f_{c}") for c in columns]).alias("x"), F.explode(chosen).alias("tree"))
+    pick = Window.partitionBy("tree").orderBy(F.xxhash64(F.lit(-seed), F.col("tree"), *row_id), *row_id)
     return candidates.withColumn("_rn", F.row_number().over(pick)).where(F.col("_rn") <= subsample).select("tree", "_rn", "x")
 
 
 def _build_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
+    """Grow all nodes of a level together; returns (feature, threshold, path) by node."""
     size = (1 << (depth + 1)) - 1
-    feature, threshold, path = np.full(size, -1, np.int32), np.zeros(size), np.zeros(size)
-    members: dict[int, np.ndarray] = {0: np.arange(len(x))}
-    for node in range(size):
-        rows = members.pop(node, None)
-        if rows is None:
-            continue
-        level = int(np.log2(node + 1))
-        low, high = x[rows].min(axis=0), x[rows].max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if level == depth or len(rows) <= 1 or not len(usable):
-            path[node] = level + float(average_path(len(rows)))
-            continue
-        j = int(rng.choice(usable))
-        cut = rng.uniform(low[j], high[j])
-        goes_left = x[rows, j] <= cut
-        feature[node], threshold[node] = j, cut
-        for child, part in ((2 * node + 1, rows[goes_left]), (2 * node + 2, rows[~goes_left])):
-            if len(part):
-                members[child] = part
-            else:
-                path[child] = level + 1
+    feature, threshold = np.full(size, -1, np.int32), np.zeros(size)
+    path = np.floor(np.log2(np.arange(size) + 1.0))
+    rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+    for level in range(depth + 1):
+        if not len(rows):
+            break
+        order = np.argsort(node, kind="stable")
+        rows, node = rows[order], node[order]
+        ids, starts, counts = np.unique(node, return_index=True, return_counts=True)
+        path[ids] = level + average_path(counts)
+        if level == depth:
+            break
+        low, high = np.minimum.reduceat(x[rows], starts), np.maximum.reduceat(x[rows], starts)
+        usable = high > low
+        chance = np.where(usable, rng.random(usable.shape), -1.0)
+        pick = chance.argmax(axis=1)
+        at = np.arange(len(ids))
+        cut = low[at, pick] + (high[at, pick] - low[at, pick]) * rng.random(len(ids))
+        split = usable.any(axis=1)
+        feature[ids[split]], threshold[ids[split]] = pick[split], cut[split]
+        member = np.repeat(at, counts)
+        keep = split[member]
+        rows, node, member = rows[keep], node[keep], member[keep]
+        node = 2 * node + 1 + (x[rows, pick[member]] > cut[member])
     return feature, threshold, path
 
 
@@ -105,7 +115,8 @@ def fit_iforest(
 ) -> Forest:
     """Build the forest, then set the offset at the contamination quantile of the training scores."""
     columns = list(columns)
-    frame = feature_frame(df, columns)
+    # Inputs are read three times (count, samples, scores): computed once, kept in the shared folder.
+    frame = stored(feature_frame(df, columns).select(*row_id, *[f"_f_{c}" for c in columns]), "forest-inputs")
     samples = tree_samples(frame, columns, row_id, trees, subsample, seed)
     depth = int(np.ceil(np.log2(subsample)))
 
@@ -121,8 +132,9 @@ def fit_iforest(
             "threshold": [np.pad(t, (0, pad))], "path": [np.pad(p, (0, pad))]})
 
     # One row per tree: the collected model is trees x 2 * subsample numbers.
-    rows = samples.groupBy("tree").applyInPandas(
-        build, "tree int, n int, feature array<int>, threshold array<double>, path array<double>").orderBy("tree").collect()
+    rows = spread_by(samples, "tree").groupBy("tree").applyInPandas(
+        build, "tree int, n int, feature array<int>, threshold array<double>, path array<double>").collect()
+    rows.sort(key=lambda r: r["tree"])
     forest = Forest(
         columns, np.array([r["feature"] for r in rows], np.int32), np.array([r["threshold"] for r in rows]),
         np.array([r["path"] for r in rows]), depth, float(average_path(max(r["n"] for r in rows))) or 1.0)
@@ -146,7 +158,8 @@ def raw_scores(frame: DataFrame, forest: Forest) -> DataFrame:
             node = np.where(j >= 0, 2 * node + 1 + right, node)
         return pd.Series(-np.exp2(-forest.path[tree, node].mean(axis=1) / forest.norm))
 
-    return frame.withColumn("_score", score(F.struct(*[F.col(f"_f_{c}").alias(c) for c in forest.columns])))
+    # Not marked deterministic, so that a filter on the score does not compute it a second time.
+    return spread(frame).withColumn("_score", score.asNondeterministic()(F.struct(*[F.col(f"_f_{c}").alias(c) for c in forest.columns])))
 
 
 def score_iforest(df: DataFrame, forest: Forest) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.air import aqi_category, aqi_label, first_truthy
 from ..functions.geo import haversine_km
-from .chunks import as_list
+from .chunks import as_list, spread_by
 
 MAX_TARGETS = 4096
 PAIR_ROWS = 512
@@ -67,7 +67,7 @@ def semivariogram(df: DataFrame, by: str | Sequence[str], value: str, bin_width:
         hit = n > 0
         return pd.DataFrame({"bin": np.flatnonzero(hit), "n": n[hit], "sq": sq[hit], "dist": dist[hit]})
 
-    partial = location_means(df, keys, value).groupBy(*keys).applyInPandas(bins, "bin int, n long, sq double, dist double")
+    partial = spread_by(location_means(df, keys, value), *keys).groupBy(*keys).applyInPandas(bins, "bin int, n long, sq double, dist double")
     return partial.groupBy("bin").agg(
         F.sum("n").alias("n_pairs"), (F.sum("sq") / F.sum("n") / 2).alias("gamma"), (F.sum("dist") / F.sum("n")).alias("distance"))
 
@@ -152,7 +152,7 @@ def krige(
     kind = dict(df.dtypes)[by]
     ready = df.where(F.col(value).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy(by, "lat", "lon").agg(
         F.avg(value).alias(value), F.count(F.lit(1)).alias("readings"))
-    estimates = ready.groupBy(by).applyInPandas(solve, f"{by} {kind}, ward_id int, pm25 double, kriging_variance double")
+    estimates = spread_by(ready, by).groupBy(by).applyInPandas(solve, f"{by} {kind}, ward_id int, pm25 double, kriging_variance double")
     return estimates.join(targets, "ward_id").select(
         F.concat(F.lit("ward_"), F.col("ward_id")).alias("station_id"), F.lit("kriging_interpolated").alias("source"),
         "lat", "lon", F.col(by), "pm25", "kriging_variance", "ward_name", "ward_id")

@@ -17,6 +17,7 @@ from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, tim
 from ..operators.windows import coalesce_readings, dedup_first, first_values, trailing
 from ..functions.timefns import micros
 from ..schemas import FEATURES
+from ..session import stored
 from ..sources.tables import conform, ensure_columns
 
 TS = "timestamp_utc"
@@ -60,10 +61,15 @@ def prepare_weather(weather: DataFrame) -> DataFrame:
 
 
 def add_weather(df: DataFrame, weather: DataFrame | None, method: str = "auto") -> DataFrame:
-    """Nearest weather within an hour; without weather the columns are NULL."""
+    """Nearest weather within an hour; without weather the columns are NULL.
+
+    Prepared weather is kept in the shared folder: it is small beside the
+    readings, is read for its size check and for the join, and its file size lets
+    Spark choose a broadcast before anything is shuffled.
+    """
     if weather is None:
         return df.withColumns({c: F.lit(None).cast("double") for c in WEATHER_COLUMNS})
-    return nearest_asof(df, prepare_weather(weather), TS, WEATHER_COLUMNS, WEATHER_TOLERANCE_S * 1_000_000, method=method)
+    return nearest_asof(df, stored(prepare_weather(weather), "weather"), TS, WEATHER_COLUMNS, WEATHER_TOLERANCE_S * 1_000_000, method=method)
 
 
 def compute_features(

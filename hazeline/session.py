@@ -16,6 +16,8 @@ def build_session(app: str = "hazeline", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", conf.pop("shuffle_partitions", "8"))
         .config("spark.sql.adaptive.enabled", "true")
+        # Test tables are small: let even little partitions keep all cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", conf.pop("driver_memory", "12g"))
     )

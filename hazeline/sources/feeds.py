@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..constants import POLLUTANTS
 from ..functions.timefns import parse_iso
 from ..schemas import CITY_FEED, HOURLY_FEED, SENSOR_FEED
+from .tables import spread
 
 
 def parse_city_feed(df: DataFrame, payload: str, name: str, lat: str | None = None, lon: str | None = None) -> DataFrame:
@@ -15,7 +16,7 @@ def parse_city_feed(df: DataFrame, payload: str, name: str, lat: str | None = No
     Documents whose status is not ``ok`` are dropped. Known station coordinates
     win over the document's; without either the coordinate is 0.
     """
-    doc = df.withColumn("_d", F.from_json(payload, CITY_FEED)).where("_d.status = 'ok'").withColumn("_d", F.col("_d.data"))
+    doc = spread(df).withColumn("_d", F.from_json(payload, CITY_FEED)).where("_d.status = 'ok'").withColumn("_d", F.col("_d.data"))
 
     def coordinate(known: str | None, index: int) -> Column:
         own = F.get("_d.city.geo", index)
@@ -34,7 +35,7 @@ def parse_city_feed(df: DataFrame, payload: str, name: str, lat: str | None = No
 def parse_sensor_feed(df: DataFrame, payload: str) -> DataFrame:
     """Location documents flattened to one row per measurement, routed by lower-cased parameter name."""
     rows = (
-        df.select(F.explode(F.from_json(payload, SENSOR_FEED)["results"]).alias("loc"))
+        spread(df).select(F.explode(F.from_json(payload, SENSOR_FEED)["results"]).alias("loc"))
         .select("loc", F.explode("loc.sensors").alias("sensor"))
         .select("loc", F.lower("sensor.parameter.name").alias("parameter"), F.explode("sensor.measurements").alias("m"))
     )
@@ -56,7 +57,7 @@ def parse_hourly_feed(df: DataFrame, payload: str, lat: str, lon: str) -> DataFr
         "wind_speed_10m": "wind_speed_kmh", "wind_direction_10m": "wind_dir_deg",
         "precipitation": "precip_mm", "surface_pressure": "pressure_hpa",
     }
-    doc = df.select(lat, lon, F.from_json(payload, HOURLY_FEED)["hourly"].alias("h"))
+    doc = spread(df).select(lat, lon, F.from_json(payload, HOURLY_FEED)["hourly"].alias("h"))
     doc = doc.select(lat, lon, "h.time", *[F.coalesce(f"h.{f}", F.array().cast("array<double>")).alias(c) for f, c in fields.items()])
     rows = doc.select(lat, lon, F.explode(F.arrays_zip("time", *fields.values())).alias("r")).where("r.time is not null")
     return rows.select(

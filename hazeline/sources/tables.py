@@ -17,6 +17,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """One task per core for costly row work on inputs too small to be split that far.
+
+    Inputs estimated at a full scan partition per core, or more, are left alone,
+    and so are streams.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * 128 * 1024 * 1024 else df
+
+
 def run_sql(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
     """Ad-hoc SQL over frames passed by name."""
     return spark.sql(sql, **views)

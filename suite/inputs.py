@@ -143,7 +143,7 @@ def s7(spark, folder):
 @query("s8_keyed_messages", f"""
 WITH {READINGS}
 SELECT coalesce(CASE WHEN source <> 'view' THEN station_id END, 'unknown') AS key, to_json({{
-  'station_id': CASE WHEN source <> 'view' THEN station_id END, 'timestamp_utc': strftime(timestamp_utc, '{SQL_ISO}'), 'pm25': pm25}}) AS value
+  'station_id': CASE WHEN source <> 'view' THEN station_id END, 'timestamp_utc': strftime(timestamp_utc, '{SQL_ISO}'), 'pm25': pm25}})::VARCHAR AS value
 FROM readings""")
 def s8(spark, folder):
     rows = readings(spark, folder).select(F.when(F.col("source") != "view", F.col("station_id")).alias("station_id"), TS, "pm25")
@@ -155,7 +155,7 @@ def s8(spark, folder):
 @query("s10_online_snapshot", f"""
 WITH {READINGS}, f AS (SELECT station_id, timestamp_utc, pm25, timestamp_utc + INTERVAL 5 MINUTE AS computed_at FROM readings)
 SELECT 'features:' || station_id || ':latest' AS key, to_json({{'station_id': station_id, 'timestamp_utc': strftime(timestamp_utc, '{SQL_ISO}'),
-  'pm25': pm25, 'computed_at': strftime(computed_at, '{SQL_ISO}')}}) AS value, computed_at + INTERVAL 2 HOUR AS expires_at
+  'pm25': pm25, 'computed_at': strftime(computed_at, '{SQL_ISO}')}})::VARCHAR AS value, computed_at + INTERVAL 2 HOUR AS expires_at
 FROM f WHERE computed_at >= (SELECT max(computed_at) FROM f) - INTERVAL 2 HOUR
 QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc DESC) = 1""")
 def s10(spark, folder):
@@ -199,7 +199,7 @@ ward_cat AS (
 WITH {WARD_LATEST}
 SELECT to_json({{'type': 'FeatureCollection', 'features': list({{'type': 'Feature',
   'properties': {{'ward_id': ward_id, 'ward_name': ward_name, 'pm25': pm25, 'aqi_category': aqi_category}},
-  'geometry': {{'type': 'Point', 'coordinates': [lon, lat]}}}} ORDER BY ward_id), 'generated_at': '2024-01-31T00:00:00Z'}}) AS geojson FROM ward_cat""")
+  'geometry': {{'type': 'Point', 'coordinates': [lon, lat]}}}} ORDER BY ward_id), 'generated_at': '2024-01-31T00:00:00Z'}})::VARCHAR AS geojson FROM ward_cat""")
 def s12(spark, folder):
     return heatmap_geojson(ward_values(wards(spark), ward_latest(spark, folder)), F.lit("2024-01-31T00:00:00Z"))
 

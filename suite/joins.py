@@ -98,7 +98,7 @@ def j4(spark, folder):
 
 @query("j5_prediction_alignment", f"""
 WITH {SCORED}
-SELECT a.source, a.timestamp_utc, a.horizon, a.y, b.p1, c.p2 FROM scored a
+SELECT a.source, a.timestamp_utc, CAST(a.horizon AS INTEGER) AS horizon, a.y, b.p1, c.p2 FROM scored a
 JOIN scored b ON a.source = b.source AND a.timestamp_utc = b.timestamp_utc AND a.horizon = b.horizon
 JOIN scored c ON a.source = c.source AND a.timestamp_utc = c.timestamp_utc AND a.horizon = c.horizon""")
 def j5(spark, folder):

@@ -71,7 +71,7 @@ EVENT_SQL = """(month(d) IN (1, 2, 3) OR (month(d) = 4 AND day(d) <= 15) OR (mon
   OR (month(d) = 11 AND day(d) <= 5) OR (month(d) = 9 AND day(d) <= 10))"""
 
 
-@query("f7_event_period", f"SELECT o_orderkey, {EVENT_SQL} AS event, CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END AS threshold FROM (SELECT o_orderkey, o_orderdate AS d FROM orders)")
+@query("f7_event_period", f"SELECT o_orderkey, {EVENT_SQL} AS event, CAST(CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END AS DOUBLE) AS threshold FROM (SELECT o_orderkey, o_orderdate AS d FROM orders)")
 def f7(spark, folder):
     event = seasons.in_event_period(F.col("o_orderdate"))
     return table(spark, folder, "orders").select("o_orderkey", event.alias("event"), seasons.event_threshold(event).alias("threshold"))
@@ -130,7 +130,7 @@ def f11(spark, folder):
 
 @query("f12_json_roundtrip", f"""
 WITH {READINGS}
-SELECT to_json({{'event_id': event_id, 'timestamp_utc': strftime(timestamp_utc, '%Y-%m-%dT%H:%M:%S.%f'), 'pm25': nullif(pm25, 0), 'pm10': CASE WHEN pm10 <> 50 THEN pm10 END}}) AS doc,
+SELECT to_json({{'event_id': event_id, 'timestamp_utc': strftime(timestamp_utc, '%Y-%m-%dT%H:%M:%S.%f'), 'pm25': nullif(pm25, 0), 'pm10': CASE WHEN pm10 <> 50 THEN pm10 END}})::VARCHAR AS doc,
        CASE WHEN source <> 'error' THEN event_id END AS decoded FROM readings""")
 def f12(spark, folder):
     """NaN becomes null, times become ISO text; broken documents decode to NULL."""
@@ -176,7 +176,7 @@ def f13(spark, folder):
 @query("f14_psi_class", f"""
 WITH {READINGS}, d AS (SELECT event_id, timestamp_utc AS d, pm10 / 200 AS psi, pm25 > 200 AS degraded FROM readings)
 SELECT event_id, CASE WHEN psi < 0.2 THEN 'stable' WHEN psi < 0.25 THEN 'warning' ELSE 'retrain' END AS class,
-       CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END AS effective_threshold,
+       CAST(CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END AS DOUBLE) AS effective_threshold,
        psi > CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END AS psi_drift, (psi > CASE WHEN {EVENT_SQL} THEN 0.5 ELSE 0.25 END) OR degraded AS should_retrain FROM d""")
 def f14(spark, folder):
     psi = F.col("pm10") / 200
