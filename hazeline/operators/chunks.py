@@ -30,6 +30,17 @@ def as_list(value: str | Sequence[str] | None) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
+SMALL_SIDE_ROWS = 100_000
+
+
+def small_side(df: DataFrame, limit: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """Broadcast a dimension of at most ``limit`` rows; leave a larger one to the join planner.
+
+    The rows are counted, up to the limit, before the hint is given.
+    """
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def spread_by(df: DataFrame, *keys: str) -> DataFrame:
     """Partition by key into the session's full number of shuffle partitions.
 

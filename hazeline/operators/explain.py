@@ -1,28 +1,38 @@
-"""Per-prediction drivers and their sentence."""
+"""Per-prediction drivers and their sentence.
+
+Contributions of one prediction stay together as an array, so ranking and
+wording them needs no shuffle.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import driver_sentence, fixed
 
 
-def top_contributors(parts: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
-    """The k contributions largest in absolute value per prediction, with rank and direction."""
-    order = Window.partitionBy(*keys).orderBy(F.abs("contribution").desc(), "feature")
-    top = parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return top.withColumn("direction", F.when(F.col("contribution") > 0, "increases").otherwise("decreases"))
+def ranked(parts: Column, k: int) -> Column:
+    """The k contributions largest in absolute value, ties by feature name."""
+    keyed = F.transform(parts, lambda p: F.struct(
+        (-F.abs(p["contribution"])).alias("o"), p["feature"].alias("feature"), p["contribution"].alias("contribution")))
+    return F.slice(F.array_sort(keyed), 1, k)
+
+
+def top_contributors(df: DataFrame, keys: Sequence[str], parts: str, k: int = 10) -> DataFrame:
+    """(keys, rank, feature, contribution, direction) of the strongest k contributions."""
+    rows = df.select(*keys, F.posexplode(ranked(F.col(parts), k)).alias("_i", "_p"))
+    value = F.col("_p.contribution")
+    return rows.select(
+        *keys, (F.col("_i") + 1).alias("rank"), F.col("_p.feature").alias("feature"), value.alias("contribution"),
+        F.when(value > 0, "increases").otherwise("decreases").alias("direction"))
 
 
-def explain_text(top: DataFrame, keys: Sequence[str], prediction: str, k: int = 5, minimum: float = 0.5) -> DataFrame:
-    """One sentence per prediction from its first k contributors of at least ``minimum``."""
-    said = F.when((F.col("rank") <= k) & (F.abs("contribution") >= minimum),
-                  F.struct("rank", driver_sentence(F.col("feature"), F.col("contribution")).alias("s")))
-    parts = top.groupBy(*keys).agg(F.max(prediction).alias("_p"), F.array_sort(F.collect_list(said)).alias("_s"))
-    head = fixed(F.col("_p"), 1)
-    text = F.when(F.size("_s") == 0, F.concat(F.lit("Current PM2.5 prediction: "), head, F.lit(" µg/m³ (no dominant single factor)")))
-    text = text.otherwise(F.concat(F.lit("Predicted PM2.5: "), head, F.lit(" µg/m³. Key drivers: "),
-                                   F.array_join(F.transform("_s", lambda s: s["s"]), "; "), F.lit(".")))
-    return parts.select(*keys, text.alias("explanation"))
+def explanation(parts: Column, prediction: Column, k: int = 5, minimum: float = 0.5) -> Column:
+    """One sentence from the strongest k contributions of at least ``minimum``."""
+    strong = F.filter(ranked(parts, k), lambda p: F.abs(p["contribution"]) >= minimum)
+    said = F.transform(strong, lambda p: driver_sentence(p["feature"], p["contribution"]))
+    head = fixed(prediction, 1)
+    return F.when(F.size(strong) == 0, F.concat(F.lit("Current PM2.5 prediction: "), head, F.lit(" µg/m³ (no dominant single factor)"))).otherwise(
+        F.concat(F.lit("Predicted PM2.5: "), head, F.lit(" µg/m³. Key drivers: "), F.array_join(said, "; "), F.lit(".")))

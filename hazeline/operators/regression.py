@@ -136,10 +136,15 @@ def predict(model: LinearModel, x: Column, target: int = 0) -> Column:
     return F.lit(float(model.intercept[target])) + dot(x, coef)
 
 
+def contribution_array(terms: dict[str, tuple[float, float]]) -> Column:
+    """Exact linear contributions ``coef · (x - mean)`` as array<struct<feature, contribution>>."""
+    return F.array(*[
+        F.struct(F.lit(c).alias("feature"), ((F.col(c) - F.lit(m)) * F.lit(b)).alias("contribution")) for c, (b, m) in terms.items()])
+
+
 def contributions(df: DataFrame, keys: Sequence[str], terms: dict[str, tuple[float, float]]) -> DataFrame:
-    """Exact linear contributions ``coef · (x - mean)``, long form (keys, feature, contribution)."""
-    parts = df.select(*keys, *[((F.col(c) - F.lit(m)) * F.lit(b)).alias(c) for c, (b, m) in terms.items()])
-    return parts.unpivot(list(keys), list(terms), "feature", "contribution")
+    """Long form (keys, feature, contribution)."""
+    return df.select(*keys, F.inline(contribution_array(terms)))
 
 
 def importance(parts: DataFrame) -> DataFrame:

@@ -126,12 +126,13 @@ def krige(
     """
     rows = bounded_rows(targets)
     goal = np.array([[r["lon"], r["lat"]] for r in rows], float)
-    ids = [r["ward_id"] for r in rows]
+    places = pd.DataFrame([r.asDict() for r in rows], columns=["ward_id", "ward_name", "lat", "lon"])
+    blank = places.iloc[:0].assign(**{by: [], "pm25": [], "kriging_variance": []})
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         n = len(pdf)
         if pdf["readings"].sum() < minimum:
-            return pd.DataFrame({by: [], "ward_id": [], "pm25": [], "kriging_variance": []})
+            return blank
         xy, z = pdf[["lon", "lat"]].to_numpy(float), pdf[value].to_numpy(float)
         system = np.ones((n + 1, n + 1))
         gap = np.hypot(xy[:, None, 0] - xy[None, :, 0], xy[:, None, 1] - xy[None, :, 1])
@@ -147,13 +148,14 @@ def krige(
         estimate = z @ w[:n]
         if floor_at_zero:
             estimate = np.maximum(estimate, 0.0)
-        return pd.DataFrame({by: pdf[by].iloc[0], "ward_id": ids, "pm25": estimate, "kriging_variance": (w * right).sum(axis=0)})
+        return places.assign(**{by: pdf[by].iloc[0], "pm25": estimate, "kriging_variance": (w * right).sum(axis=0)})
 
     kind = dict(df.dtypes)[by]
     ready = df.where(F.col(value).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy(by, "lat", "lon").agg(
         F.avg(value).alias(value), F.count(F.lit(1)).alias("readings"))
-    estimates = spread_by(ready, by).groupBy(by).applyInPandas(solve, f"{by} {kind}, ward_id int, pm25 double, kriging_variance double")
-    return estimates.join(targets, "ward_id").select(
+    estimates = spread_by(ready, by).groupBy(by).applyInPandas(
+        solve, f"ward_id int, ward_name string, lat double, lon double, {by} {kind}, pm25 double, kriging_variance double")
+    return estimates.select(
         F.concat(F.lit("ward_"), F.col("ward_id")).alias("station_id"), F.lit("kriging_interpolated").alias("source"),
         "lat", "lon", F.col(by), "pm25", "kriging_variance", "ward_name", "ward_id")
 

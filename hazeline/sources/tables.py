@@ -111,17 +111,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def append(df: DataFrame, path: str, schema: T.StructType, ts: str = "timestamp_utc", stamp: str = "ingested_at") -> None:
     """Append by name, stamped, one folder per day, rows of a station next to each other.
 
-    Rows are spread by (day, hash), so a hot day is written by several tasks and
-    quiet days do not give thousands of small files.
+    The rebalance hint lets Spark split a hot day over several tasks and merge
+    quiet ones, so neither giant nor thousands of small files appear.
     """
     stamped = df.withColumn(stamp, F.current_timestamp().cast("timestamp_ntz"))
     out = conform(stamped, schema).withColumn("date", F.to_date(ts))
     keys = [c for c in ("station_id",) if c in schema.names]
-    (
-        out.repartition("date", *[F.pmod(F.xxhash64(c), F.lit(16)) for c in keys])
-        .sortWithinPartitions("date", *keys, ts)
-        .write.mode("append").partitionBy("date").parquet(path)
-    )
+    out.hint("rebalance", "date").sortWithinPartitions("date", *keys, ts).write.mode("append").partitionBy("date").parquet(path)
 
 
 def read_day_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["series", "inputs", "scalars", "joins", "scores", "models", "streams"]
+MODULES = ["series", "inputs", "scalars", "joins", "scores", "models", "streams", "flows"]
 
 
 def catalog():

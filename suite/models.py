@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hazeline.constants import FEATURE_DESCRIPTIONS
 from hazeline.operators import forecasts, iforest, regression
-from hazeline.operators.explain import explain_text, top_contributors
+from hazeline.operators.explain import explanation, top_contributors
 from hazeline.operators.faults import statistical_alerts
 from hazeline.operators.metrics import anomaly_summary, horizon_rmse, regression_metrics
 from hazeline.operators.spatial import fit_variogram, krige, location_means, semivariogram
@@ -91,29 +91,36 @@ c AS (SELECT event_id, pm25, unnest(['pm10', 'pm25_24h_mean', 'humidity_pct', 'i
 t AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY abs(contribution) DESC, feature) AS rank FROM c)"""
 
 
-def contribution_rows(spark, folder):
-    """Contributions of four inputs with the slopes of simple regressions as coefficients."""
+def linear_inputs(spark, folder):
+    """Four inputs and their (coefficient, mean), the coefficients being slopes of simple regressions."""
     k, v = F.col("pm10"), F.col("pm25")
     x = readings(spark, folder).select("event_id", "pm25", "pm10", (v * 0.5 + k).alias("pm25_24h_mean"), (k * k / 100).alias("humidity_pct"),
                                        F.when(F.col("source") == "view", 1.0).otherwise(0.0).alias("is_monsoon"))
     fit = x.agg(*[F.regr_slope("pm25", c).alias(f"b_{c}") for c in TERMS], *[F.avg(c).alias(f"a_{c}") for c in TERMS]).first()
-    return regression.contributions(x, ["event_id", "pm25"], {c: (fit[f"b_{c}"], fit[f"a_{c}"]) for c in TERMS})
+    return x, {c: (fit[f"b_{c}"], fit[f"a_{c}"]) for c in TERMS}
+
+
+def with_parts(spark, folder):
+    x, terms = linear_inputs(spark, folder)
+    return x.select("event_id", "pm25", regression.contribution_array(terms).alias("parts"))
 
 
 @query("m5_contributions", f"WITH {LINEAR} SELECT event_id, feature, {q6('contribution')} AS contribution FROM c")
 def m5(spark, folder):
-    return rounded(contribution_rows(spark, folder).drop("pm25"))
+    x, terms = linear_inputs(spark, folder)
+    return rounded(regression.contributions(x, ["event_id"], terms))
 
 
 @query("a20_feature_importance", f"WITH {LINEAR} SELECT feature, {q6('avg(abs(contribution))')} AS importance FROM c GROUP BY 1")
 def a20(spark, folder):
-    return rounded(regression.importance(contribution_rows(spark, folder)))
+    x, terms = linear_inputs(spark, folder)
+    return rounded(regression.importance(regression.contributions(x, ["event_id"], terms)))
 
 
 @query("t3_top_contributors", f"""
 WITH {LINEAR} SELECT event_id, feature, CAST(rank AS INTEGER) AS rank, {q6('contribution')} AS contribution, CASE WHEN contribution > 0 THEN 'increases' ELSE 'decreases' END AS direction FROM t WHERE rank <= 3""")
 def t3(spark, folder):
-    return rounded(top_contributors(contribution_rows(spark, folder), ["event_id"], 3).drop("pm25"))
+    return rounded(top_contributors(with_parts(spark, folder), ["event_id"], "parts", 3))
 
 
 @query("t3_explanations", f"""
@@ -123,8 +130,7 @@ WITH {LINEAR}, s AS (SELECT event_id, max(pm25) AS p, list(CASE feature WHEN 'pm
 SELECT event_id, CASE WHEN coalesce(len(parts), 0) = 0 THEN 'Current PM2.5 prediction: ' || printf('%.1f', p + 1e-6) || ' µg/m³ (no dominant single factor)'
   ELSE 'Predicted PM2.5: ' || printf('%.1f', p + 1e-6) || ' µg/m³. Key drivers: ' || array_to_string(parts, '; ') || '.' END AS explanation FROM s""")
 def t3_text(spark, folder):
-    top = top_contributors(contribution_rows(spark, folder), ["event_id"], 10).withColumn("p", F.col("pm25") + 1e-6)
-    return explain_text(top, ["event_id"], "p")
+    return with_parts(spark, folder).select("event_id", explanation(F.col("parts"), F.col("pm25") + 1e-6).alias("explanation"))
 
 
 LATEST = f"""{READINGS}, latest AS (SELECT station_id, timestamp_utc, pm25 FROM readings QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc DESC, event_id DESC) = 1)"""

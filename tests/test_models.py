@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazeline.functions import text
 from hazeline.operators import drift, faults, forecasts, iforest, metrics, quality, regression, spatial
-from hazeline.operators.explain import explain_text, top_contributors
+from hazeline.operators.explain import explanation, top_contributors
 from hazeline.operators.quantiles import exact_quantiles, quantiles_of_counts
 from hazeline.sources.tables import default_wards
 
@@ -244,10 +244,13 @@ def test_closed_form_interval(spark):
 
 
 def test_explanations(spark):
-    parts = spark.createDataFrame([(1, 80.0, "is_tihar", 18.34), (1, 80.0, "odd_name", -3.0), (1, 80.0, "temp_c", 0.4), (2, 50.0, "temp_c", 0.1)], "id int, p double, feature string, contribution double")
-    said = {r["id"]: r["explanation"] for r in explain_text(top_contributors(parts, ["id"]), ["id"], "p").collect()}
+    df = spark.createDataFrame([(1, 80.0, [("odd_name", -3.0), ("is_tihar", 18.34), ("temp_c", 0.4)]), (2, 50.0, [("temp_c", 0.1)])],
+                               "id int, p double, parts array<struct<feature string, contribution double>>")
+    said = {r[0]: r[1] for r in df.select("id", explanation(F.col("parts"), F.col("p"))).collect()}
     assert said[1] == "Predicted PM2.5: 80.0 µg/m³. Key drivers: Tihar festival fireworks increased PM2.5 by 18.3 µg/m³; odd name decreased PM2.5 by 3.0 µg/m³."
     assert said[2] == "Current PM2.5 prediction: 50.0 µg/m³ (no dominant single factor)"
+    top = top_contributors(df, ["id"], "parts", 2).where("id = 1").collect()
+    assert [(r["rank"], r["feature"], r["direction"]) for r in top] == [(1, "is_tihar", "increases"), (2, "odd_name", "decreases")]
 
 
 def test_fixed_text_is_half_even(spark):
