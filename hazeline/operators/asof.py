@@ -25,33 +25,29 @@ def nearest_asof(
     tolerance is inclusive, and a matched row's NULLs are kept as they are.
 
     ``lookup``  the right side becomes arrays of candidates per time bucket and is
-                joined by bucket; the left side is not shuffled when Spark
-                broadcasts it. Only valid for a right side of checked size.
+                joined by bucket.
     ``window``  both sides are sorted together inside (by, time chunk); any size. A
                 chunk too full for one task is split by ``salts`` (measured unless
                 given): each left row has one salt, right rows are in all of them.
-    ``auto``    counts the right side and picks.
+    ``auto``    counts the right side; a lookup that fits is broadcast and the left
+                side is not shuffled at all, else ``window``.
     """
     keys = as_list(by)
-    if method == "auto":
-        method = "lookup" if lookup_fits(right, keys, ts, tolerance_us) else "window"
+    if method == "auto" and lookup_fits(right, keys, ts, tolerance_us):
+        return _lookup(left, right, keys, ts, columns, tolerance_us, F.broadcast)
     if method == "lookup":
         return _lookup(left, right, keys, ts, columns, tolerance_us)
     return _window(left, right, keys, ts, columns, tolerance_us, chunk_us or tolerance_us, salts)
 
 
 def lookup_fits(right: DataFrame, keys: list[str], ts: str, tolerance_us: int) -> bool:
-    """Size check of the right side: few rows in all and few per bucket."""
-    if right.limit(LOOKUP_ROWS + 1).count() > LOOKUP_ROWS:
-        return False
-    fullest = (
-        right.groupBy(*keys, time_chunk(micros(F.col(ts)), tolerance_us).alias("_b")).count()
-        .agg(F.max("count").alias("m")).first()["m"]
-    )
-    return (fullest or 0) <= LOOKUP_PER_BUCKET
+    """Size check of the right side: few rows in all and few per bucket, from one count per bucket."""
+    per_bucket = right.groupBy(*keys, time_chunk(micros(F.col(ts)), tolerance_us).alias("_b")).count()
+    size = per_bucket.agg(F.sum("count").alias("rows"), F.max("count").alias("fullest")).first()
+    return (size["rows"] or 0) <= LOOKUP_ROWS and (size["fullest"] or 0) <= LOOKUP_PER_BUCKET
 
 
-def _lookup(left, right, keys, ts, columns, tolerance_us):
+def _lookup(left, right, keys, ts, columns, tolerance_us, place=lambda table: table):
     us = micros(F.col(ts))
     home = time_chunk(us, tolerance_us)
     candidate = F.struct(us.alias("us"), *columns)
@@ -59,7 +55,7 @@ def _lookup(left, right, keys, ts, columns, tolerance_us):
         right.withColumn("_b", F.explode(F.sequence(home - 1, home + 1)))
         .groupBy(*keys, "_b").agg(F.collect_list(candidate).alias("_near"))
     )
-    at = left.withColumns({"_us": us, "_b": home}).join(table, [*keys, "_b"], "left")
+    at = left.withColumns({"_us": us, "_b": home}).join(place(table), [*keys, "_b"], "left")
     # Smallest (distance, -time) wins: the nearest row and, on a tie, the later one.
     ranked = F.array_min(F.transform(
         F.filter("_near", lambda c: F.abs(c["us"] - F.col("_us")) <= tolerance_us),

@@ -77,7 +77,7 @@ def optimize_weights(df: DataFrame, a: str, b: str, y: str, by: Sequence[str] =
     grid = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: F.struct(
         F.sqrt(F.greatest(F.lit(0.0), (
             w(i) * w(i) * F.col("_aa") + 2 * w(i) * (1 - w(i)) * F.col("_ab") + (1 - w(i)) * (1 - w(i)) * F.col("_bb")
-        )) / F.col("_n")).alias("rmse"), w(i).alias("w")))
+        )) / F.nullif("_n", F.lit(0))).alias("rmse"), w(i).alias("w")))
     best = sums.withColumn("_best", F.array_min(grid))
     return best.select(*by, F.col("_best.w").alias("weight_a"), (1 - F.col("_best.w")).alias("weight_b"), F.col("_best.rmse").alias("rmse"))
 
@@ -105,7 +105,7 @@ def select_best(runs: DataFrame, score: str, run: str, by: Sequence[str] = ()) -
 def compare(champion: Column, challenger: Column) -> dict[str, Column]:
     known = champion.isNotNull() & challenger.isNotNull()
     return {
-        "improvement_pct": F.when(known, (champion - challenger) / champion * 100),
+        "improvement_pct": F.when(known, (champion - challenger) / F.nullif(champion, F.lit(0.0)) * 100),
         "should_promote": F.coalesce(challenger < champion, F.lit(False)),
         "reason": F.when(known, comparison_reason(challenger, champion)).otherwise(F.lit("Missing metrics")),
     }
@@ -171,7 +171,7 @@ def blend_consistency(df: DataFrame, a: str, b: str, published: str, by: Sequenc
 
 def anomaly_summary(df: DataFrame, score: str = "anomaly_score", flag: str = "is_anomaly", by: Sequence[str] = ()) -> DataFrame:
     n, hits = F.count(F.lit(1)), F.count_if(F.col(flag))
-    return df.groupBy(*by).agg(n.alias("n"), hits.alias("n_anomalies"), (hits / n).alias("anomaly_rate"), F.avg(score).alias("mean_score"))
+    return df.groupBy(*by).agg(n.alias("n"), hits.alias("n_anomalies"), (hits / F.nullif(n, F.lit(0))).alias("anomaly_rate"), F.avg(score).alias("mean_score"))
 
 
 def standardize(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None) -> DataFrame:

@@ -53,8 +53,18 @@ def work_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique sub-folder path of the shared work folder."""
-    return f"{work_root(spark)}/hazeline/{name}-{uuid.uuid4().hex}"
+    """A new, unique path below this application's part of the shared work folder."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
+    return f"{work_root(spark)}/hazeline/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application kept in the shared folder; frames read from it end here."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df, name: str):
