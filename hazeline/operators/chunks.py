@@ -22,6 +22,7 @@ from ..functions.timefns import micros
 HOUR_US = 3_600_000_000
 CHUNK_US = 168 * HOUR_US
 BLOCK_ROWS = 20_000
+TASK_ROWS = 4_000_000
 
 
 def as_list(value: str | Sequence[str] | None) -> list[str]:
@@ -54,6 +55,17 @@ def time_chunk(us: Column, size_us: int = CHUNK_US) -> Column:
     return F.floor(us / F.lit(size_us)).cast("long")
 
 
+def measured_chunk(df: DataFrame, key: str | Sequence[str], ts: str, reach_us: int = 0) -> int:
+    """Chunk length that keeps the fullest (key, chunk) near ``TASK_ROWS`` rows.
+
+    Between the reach, below which borders would outweigh the chunk, and a week.
+    Costs one scan of key and time, counted map-side.
+    """
+    per_day = df.groupBy(*as_list(key), time_chunk(micros(F.col(ts)), 24 * HOUR_US).alias("_d")).count()
+    fullest = per_day.agg(F.max("count").alias("m")).first()["m"] or 1
+    return max(reach_us, min(CHUNK_US, 24 * HOUR_US * TASK_ROWS // fullest), HOUR_US // 60)
+
+
 def with_time_halo(df: DataFrame, ts: str, reach_us: int, size_us: int = CHUNK_US, us: str = "_us") -> DataFrame:
     """Add ``_us``, ``_chunk`` and ``_own``; rows reaching into later chunks are repeated there."""
     stamped = df.withColumn(us, micros(F.col(ts)))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import LAG_ROWS
 from .chunks import (
-    BLOCK_ROWS, CHUNK_US, HOUR_US, as_list, numbered, over_rows, time_chunk, with_time_halo,
+    BLOCK_ROWS, CHUNK_US, HOUR_US, as_list, measured_chunk, numbered, over_rows, time_chunk, with_time_halo,
 )
 from ..functions.timefns import micros
 
@@ -31,17 +31,18 @@ def coalesce_readings(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 def trailing(
     df: DataFrame, key: str | Sequence[str], ts: str, value: str, spec: dict[str, tuple[str, float]],
-    *, chunk_us: int = CHUNK_US,
+    *, chunk_us: int | None = CHUNK_US,
 ) -> DataFrame:
     """Trailing time-range statistics over ``(t - hours, t]``.
 
     ``spec`` maps an output name to ``(aggregate, hours)`` with aggregates
     ``mean``, ``std`` (sample), ``sum``. All windows share one shuffle and one sort.
+    ``chunk_us=None`` measures the data for a chunk length.
     """
     keys = as_list(key)
     functions = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum}
     reach = int(max(h for _, h in spec.values()) * HOUR_US)
-    spread = with_time_halo(df, ts, reach, chunk_us)
+    spread = with_time_halo(df, ts, reach, chunk_us or measured_chunk(df, keys, ts, reach))
     order = Window.partitionBy(*keys, "_chunk").orderBy("_us")
     columns = {
         name: functions[agg](value).over(order.rangeBetween(-int(hours * HOUR_US) + 1, 0))

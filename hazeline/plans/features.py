@@ -13,7 +13,7 @@ from ..functions.geo import haversine_km
 from ..functions.timefns import clock_columns, direction
 from ..operators.asof import nearest_asof
 from ..operators.calendar import add_calendar_flags
-from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, time_chunk, with_row_halo, with_time_halo
+from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, measured_chunk, time_chunk, with_row_halo, with_time_halo
 from ..operators.windows import coalesce_readings, dedup_first, first_values, trailing
 from ..functions.timefns import micros
 from ..schemas import FEATURES
@@ -74,9 +74,14 @@ def add_weather(df: DataFrame, weather: DataFrame | None, method: str = "auto")
 
 def compute_features(
     readings: DataFrame, weather: DataFrame | None, calendar: DataFrame, *, tz: str = "UTC",
-    chunk_us: int = CHUNK_US, block_rows: int = BLOCK_ROWS, weather_method: str = "auto",
+    chunk_us: int | None = None, block_rows: int = BLOCK_ROWS, weather_method: str = "auto",
 ) -> DataFrame:
-    """All features, one row per station and time. A row depends on earlier rows only."""
+    """All features, one row per station and time. A row depends on earlier rows only.
+
+    The chunk length is measured on the readings unless given.
+    """
+    if chunk_us is None:
+        chunk_us = measured_chunk(readings, "station_id", TS, max(MEAN_WINDOWS_H) * HOUR_US)
     clean = clean_readings(readings)
     rows = series_columns(clean, chunk_us=chunk_us, block_rows=block_rows)
     rows = add_weather(rows, weather, weather_method)

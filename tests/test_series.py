@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
-from hazeline.operators import windows as W
+from hazeline.operators import chunks, windows as W
 from hazeline.operators.chunks import HOUR_US, numbered, with_row_halo
 from hazeline.operators.forecasts import against_naive, baseline_forecasts, history_from_lags
 
@@ -45,6 +45,19 @@ def test_trailing_equals_plain_window_for_any_chunk(spark, chunk_hours):
         assert a == pytest.approx(b, nan_ok=True)
 
 
+def test_measured_chunk_follows_the_densest_station(spark, monkeypatch):
+    df = series(spark)
+    assert chunks.measured_chunk(df, "station_id", "ts") == chunks.CHUNK_US
+    monkeypatch.setattr(chunks, "TASK_ROWS", 6)
+    densest = df.groupBy("station_id", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / (24 * HOUR_US))).count().agg(F.max("count")).first()[0]
+    assert chunks.measured_chunk(df, "station_id", "ts") == 24 * HOUR_US * 6 // densest
+    assert chunks.measured_chunk(df, "station_id", "ts", 48 * HOUR_US) == 48 * HOUR_US
+    got = W.trailing(df, "station_id", "ts", "pm25", {"m": ("mean", 2)}, chunk_us=None)
+    want = W.trailing(df, "station_id", "ts", "pm25", {"m": ("mean", 2)})
+    for a, b in zip(table(got, "id", "m"), table(want, "id", "m")):
+        assert a == pytest.approx(b)
+
+
 @pytest.mark.parametrize("block,chunk_hours", [(7, 3), (168, 24), (20_000, 10_000)])
 def test_row_operators_equal_plain_windows_for_any_block(spark, block, chunk_hours):
     df = series(spark)
