@@ -18,8 +18,20 @@ def describe_feature(feature: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """Number as text with a fixed count of decimals, halves to even, no grouping."""
-    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+    """Number as text with a fixed count of decimals, as printf writes it; -0.04 is "-0.0".
+
+    Spark rounds the shortest decimal form of a double; printf rounds its exact
+    value, and exact halves to even. The value is cut in two parts whose products
+    with a small integer are exact, so its side of the nearest half is certain.
+    """
+    scale = 10**digits
+    size = F.abs(value)
+    high = size * 134217729.0 - (size * 134217729.0 - size)
+    whole = F.floor(size * float(scale)).cast("long")
+    beyond = (high * float(2 * scale) - (2 * whole + 1)) + (size - high) * float(2 * scale)
+    units = whole + F.when((beyond > 0) | ((beyond == 0) & (whole % 2 == 1)), 1).otherwise(0)
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, F.format_string(f"%d.%0{digits}d", F.floor(units / scale).cast("long"), units % scale))
 
 
 def comparison_reason(challenger: Column, champion: Column) -> Column:

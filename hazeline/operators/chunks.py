@@ -76,7 +76,11 @@ def with_time_halo(df: DataFrame, ts: str, reach_us: int, size_us: int = CHUNK_U
 
 
 def chunk_offsets(df: DataFrame, key: list[str], chunk: str) -> DataFrame:
-    """Rows of the key before each chunk, from one small row per (key, chunk)."""
+    """Rows of the key before each chunk, from one small row per (key, chunk).
+
+    Callers' rows are already partitioned by (key, chunk); the hint joins in place
+    by hashing this side, whatever its size.
+    """
     before = Window.partitionBy(*key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy(*key)
     return (
@@ -84,6 +88,7 @@ def chunk_offsets(df: DataFrame, key: list[str], chunk: str) -> DataFrame:
         .select(*key, chunk,
                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
                 F.sum("_n").over(total).alias("_total"))
+        .hint("shuffle_hash")
     )
 
 

@@ -14,7 +14,8 @@ from ..constants import DEFAULT_LAST_VALUE, SEASONAL_REGRESSORS
 from ..functions.air import aqi_category, aqi_label, clamp_forecast, spread
 from ..functions.timefns import micros
 from ..sources.tables import ensure_columns
-from .chunks import as_list
+from ..session import stored
+from .chunks import as_list, small_side
 from .regression import LinearModel, fit_linear, fit_linear_by, dot, predict
 from .windows import last_rows, sequences
 
@@ -176,7 +177,8 @@ def predict_seasonal(model: SeasonalModel, df: DataFrame, ts: str) -> DataFrame:
         out = ready
     else:
         fitted = model.per_key.select(*model.by, F.col("intercept").alias("_b0"), F.col("coef").alias("_b"), F.col("sigma").alias("_sd"))
-        out = ready.join(fitted, model.by)
+        # Models are kept and counted: up to 20,000 are broadcast, rows are not shuffled by station.
+        out = ready.join(small_side(stored(fitted, "station-models"), 20_000), model.by)
         yhat, sigma = F.col("_b0") + dot(x, F.col("_b")), F.col("_sd")
     out = out.withColumn("yhat", yhat).withColumn("_half", spec.z * sigma)
     return out.select(*df.columns, "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"))

@@ -139,6 +139,12 @@ def structure_check(
     return report.withColumn("status", F.when(F.col("std") < flat, "FAIL").when(F.col("rmse_from_last") < close, "WARN").otherwise("PASS"))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over complete pairs; NULL when a side is constant, where ``corr`` fails."""
+    a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+
+
 def forecast_diagnostics(df: DataFrame, by: Sequence[str], order: str, y: str, yhat: str) -> DataFrame:
     """Spread, range, correlation with the actual and lag-1 autocorrelation of short forecasts.
 
@@ -147,7 +153,7 @@ def forecast_diagnostics(df: DataFrame, by: Sequence[str], order: str, y: str, y
     step = df.withColumn("_next", F.lead(yhat).over(Window.partitionBy(*by).orderBy(order)))
     out = step.groupBy(*by).agg(
         F.stddev_pop(yhat).alias("std"), (F.max(yhat) - F.min(yhat)).alias("range"),
-        F.corr(y, yhat).alias("corr_actual"), F.corr(yhat, "_next").alias("autocorr_1"))
+        correlation(F.col(y), F.col(yhat)).alias("corr_actual"), correlation(F.col(yhat), F.col("_next")).alias("autocorr_1"))
     return out.withColumn("suspicious", F.coalesce(F.col("autocorr_1") > 0.99, F.lit(False)))
 
 

@@ -127,12 +127,11 @@ def krige(
     rows = bounded_rows(targets)
     goal = np.array([[r["lon"], r["lat"]] for r in rows], float)
     places = pd.DataFrame([r.asDict() for r in rows], columns=["ward_id", "ward_name", "lat", "lon"])
-    blank = places.iloc[:0].assign(**{by: [], "pm25": [], "kriging_variance": []})
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         n = len(pdf)
         if pdf["readings"].sum() < minimum:
-            return blank
+            return places.iloc[:0].assign(**{by: pd.Series(dtype=pdf[by].dtype), "pm25": 0.0, "kriging_variance": 0.0})
         xy, z = pdf[["lon", "lat"]].to_numpy(float), pdf[value].to_numpy(float)
         system = np.ones((n + 1, n + 1))
         gap = np.hypot(xy[:, None, 0] - xy[None, :, 0], xy[:, None, 1] - xy[None, :, 1])

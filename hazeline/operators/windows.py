@@ -109,7 +109,7 @@ def forward_fill(
         F.last(f"_end_{v}", ignorenulls=True).over(before).alias(f"_carry_{v}") for v in values])
     run = Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties).rowsBetween(Window.unboundedPreceding, 0)
     local = base.withColumns({f"_local_{v}": F.last(v, ignorenulls=True).over(run) for v in values})
-    joined = local.join(carry, [*keys, "_chunk"])
+    joined = local.join(carry.hint("shuffle_hash"), [*keys, "_chunk"])
     filled = {}
     for v in values:
         parts = [F.col(f"_local_{v}"), F.col(f"_carry_{v}")]
@@ -126,6 +126,7 @@ def sequences(
 ) -> DataFrame:
     """Complete sliding windows: ``n_in`` input rows followed by ``n_out`` targets, stride 1.
 
+    ``y_ts`` has the times of the targets: they are the next rows, whatever the gaps.
     Inputs are filled beforehand (``forward_fill``): collected arrays skip NULLs.
     """
     keys = as_list(key)
@@ -134,12 +135,13 @@ def sequences(
         return {
             "x": F.collect_list(F.array(*[F.col(c).cast("double") for c in inputs])).over(window.rowsBetween(-(n_in - 1), 0)),
             "y": F.collect_list(target).over(window.rowsBetween(1, n_out)),
+            "y_ts": F.collect_list(ts).over(window.rowsBetween(1, n_out)),
         }
 
     rows = over_rows(
         df.select(*dict.fromkeys([*keys, ts, *ties, *inputs, target])), keys, ts, build,
         before=n_in - 1, after=n_out, ties=ties, size=block_rows, size_us=chunk_us)
-    return rows.where((F.size("x") == n_in) & (F.size("y") == n_out)).select(*keys, ts, "x", "y")
+    return rows.where((F.size("x") == n_in) & (F.size("y") == n_out)).select(*keys, ts, "x", "y", "y_ts")
 
 
 def last_context(df: DataFrame, key: str | Sequence[str], ts: str, value: str, n: int = 48, ties: Sequence[str] = ()) -> DataFrame:

@@ -13,12 +13,12 @@ from ..functions.geo import haversine_km
 from ..functions.timefns import clock_columns, direction
 from ..operators.asof import nearest_asof
 from ..operators.calendar import add_calendar_flags
-from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, measured_chunk, time_chunk, with_row_halo, with_time_halo
+from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, measured_chunk, small_side, time_chunk, with_row_halo, with_time_halo
 from ..operators.windows import coalesce_readings, dedup_first, first_values, trailing
 from ..functions.timefns import micros
 from ..schemas import FEATURES
 from ..session import stored
-from ..sources.tables import conform, ensure_columns
+from ..sources.tables import conform, ensure_columns, spread
 
 TS = "timestamp_utc"
 
@@ -27,7 +27,7 @@ def clean_readings(readings: DataFrame) -> DataFrame:
     """One row per station and time, each pollutant's first non-null value, in arrival order."""
     full = ensure_columns(readings, {**{p: F.lit(None).cast("double") for p in POLLUTANTS}, "aqi_us": F.lit(None).cast("int"),
                                      "ingested_at": F.lit(None).cast("timestamp_ntz")})
-    return coalesce_readings(full, ["station_id", TS], [*POLLUTANTS, "aqi_us", "lat", "lon"], ["ingested_at", "source"])
+    return coalesce_readings(spread(full), ["station_id", TS], [*POLLUTANTS, "aqi_us", "lat", "lon"], ["ingested_at", "source"])
 
 
 def series_columns(clean: DataFrame, value: str = "pm25", *, chunk_us: int = CHUNK_US, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -90,5 +90,7 @@ def compute_features(
     places = first_values(clean, "station_id", TS, {"lat": CENTER_LAT, "lon": CENTER_LON})
     places = places.select("station_id", haversine_km(
         F.col("lat"), F.col("lon"), F.lit(CENTER_LAT), F.lit(CENTER_LON)).alias("station_distance_to_city_center_km"))
-    rows = rows.join(places, "station_id").withColumn("computed_at", F.current_timestamp().cast("timestamp_ntz"))
+    # Kept and counted, so that it is broadcast up to a checked size: a join planned
+    # without a size would shuffle all feature rows by station.
+    rows = rows.join(small_side(stored(places, "station-places")), "station_id").withColumn("computed_at", F.current_timestamp().cast("timestamp_ntz"))
     return conform(rows, FEATURES)

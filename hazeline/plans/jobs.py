@@ -107,8 +107,8 @@ def train_and_blend(
     seasonal = fit_seasonal(train, TS, target, spec=spec)
     multistep = fit_multistep(train, key, TS, inputs, target, n_in, horizon)
     windows = sequences(valid, key, TS, inputs, target, n_in, horizon)
-    steps = predict_multistep(multistep, windows, [key, TS, "y"]).select(
-        key, (F.col(TS) + F.make_dt_interval(hours=F.col("horizon"))).alias(TS), "horizon", F.col("forecast").alias("multistep"))
+    steps = predict_multistep(multistep, windows, [key, "y_ts"]).select(
+        key, F.element_at("y_ts", F.col("horizon")).alias(TS), "horizon", F.col("forecast").alias("multistep"))
     level = predict_seasonal(seasonal, valid, TS).select(key, TS, F.col(target).alias("y"), F.col("yhat").alias("seasonal"))
     both = stored(align(steps, level, [key, TS]), "aligned-forecasts")
     weights = optimize_weights(both, "seasonal", "multistep", "y")

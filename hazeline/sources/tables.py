@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..constants import (
     DASHAIN_DAYS, DASHAIN_STARTS, HOLIDAY_YEARS, INDRA_JATRA, MOVING_HOLIDAYS, TIHAR_DAYS,
@@ -20,15 +23,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """One task per core for costly row work on inputs too small to be split that far.
 
-    Inputs estimated at a full scan partition per core, or more, are left alone,
-    and so are streams.
+    Inputs estimated at 4 MB per core, or more, are left alone, and so are streams.
     """
     if df.isStreaming:
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * 128 * 1024 * 1024 else df
+    return df.repartition(cores) if size < cores * 4 * 1024 * 1024 else df
 
 
 def run_sql(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
@@ -45,8 +47,14 @@ def read_csv_dimension(spark: SparkSession, path: str, schema: T.StructType) ->
     return spark.read.csv(path, schema=schema, header=True)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of fixed values as a local relation, whose size the planner knows."""
+    columns = dict(zip(schema.names, map(list, zip(*rows))))
+    return spark.createDataFrame(pa.table({n: pa.array(v, to_arrow_type(schema[n].dataType)) for n, v in columns.items()}), schema)
+
+
 def default_wards(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, WARD_NAME.format(i), lat, lon) for i, lat, lon in WARDS], WARD_SCHEMA)
+    return local_table(spark, [(i, WARD_NAME.format(i), lat, lon) for i, lat, lon in WARDS], WARD_SCHEMA)
 
 
 def default_calendar(spark: SparkSession) -> DataFrame:
@@ -58,11 +66,8 @@ def default_calendar(spark: SparkSession) -> DataFrame:
     first, last = HOLIDAY_YEARS
     spans += [(f"{y}-{day}", name, "is_public_holiday", 1)
               for y in range(first, last + 1) for day, name in YEARLY_HOLIDAYS.items()]
-    frame = spark.createDataFrame(spans, "start string, festival_name string, flag_column_name string, days int")
-    day = F.explode(F.sequence(F.lit(0), F.col("days") - 1))
-    return frame.withColumn("offset", day).select(
-        F.date_add(F.to_date("start"), F.col("offset")).alias("date"), "festival_name", "flag_column_name"
-    ).select(*CALENDAR.names)
+    days = [(date.fromisoformat(start) + timedelta(days=i), name, flag) for start, name, flag, n in spans for i in range(n)]
+    return local_table(spark, days, CALENDAR)
 
 
 def history(

@@ -57,7 +57,7 @@ def drift_flow(spark, folder):
 def train(spark, folder):
     """Both forecasters and their blend on all hourly series, best one against a champion."""
     rows = hourly(spark, folder)
-    result = jobs.train_and_blend(rows, "source", ["pm25", "pm10"], fraction=0.7)
+    result = jobs.train_and_blend(rows, "source", ["pm25", "pm10"], fraction=0.5)
     return rounded(jobs.promotion(result.scores, 30.0))
 
 

@@ -182,10 +182,10 @@ def a8(spark, folder):
 def evaluations(spark, folder):
     """One RMSE per source and day."""
     s = scored(spark, folder).withColumn("day", F.to_date(TS))
-    return s.groupBy("source", "day").agg(r6(F.sqrt(F.avg(F.pow(F.col("y") - F.col("p1"), 2)))).alias("rmse"))
+    return s.groupBy("source", "day").agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("p1"), 2))).alias("rmse"))
 
 
-EVALUATIONS = f"""{SCORED}, evals AS (SELECT source, CAST(timestamp_utc AS DATE) AS day, {q6('sqrt(avg(pow(y - p1, 2)))')} AS rmse FROM scored GROUP BY 1, 2)"""
+EVALUATIONS = f"""{SCORED}, evals AS (SELECT source, CAST(timestamp_utc AS DATE) AS day, sqrt(avg(pow(y - p1, 2))) AS rmse FROM scored GROUP BY 1, 2)"""
 
 
 @query("a9_rolling_baseline", f"""
@@ -220,7 +220,7 @@ def a10(spark, folder):
 @query("a11_model_selection", f"""
 WITH {EVALUATIONS}, best AS (SELECT source, min(rmse) AS rmse, arg_min(day, rmse) AS run FROM evals WHERE day >= DATE '2024-01-16' GROUP BY 1),
 champ AS (SELECT source, arg_max(rmse, day) AS rmse FROM evals WHERE day < DATE '2024-01-16' AND source <> 'view' GROUP BY 1)
-SELECT b.source, b.run, b.rmse AS challenger, c.rmse AS champion, {q6('(c.rmse - b.rmse) / c.rmse * 100')} AS improvement_pct,
+SELECT b.source, b.run, {q6('b.rmse')} AS challenger, {q6('c.rmse')} AS champion, {q6('(c.rmse - b.rmse) / c.rmse * 100')} AS improvement_pct,
        coalesce(b.rmse < c.rmse, false) AS should_promote, c.rmse IS NULL OR b.rmse < c.rmse AS promoted,
        CASE WHEN c.rmse IS NULL THEN 'Missing metrics' ELSE 'Challenger RMSE (' || printf('%.2f', b.rmse) || ') is ' || CASE WHEN b.rmse < c.rmse THEN 'better' ELSE 'worse' END
          || ' than champion (' || printf('%.2f', c.rmse) || '). ' || CASE WHEN b.rmse < c.rmse THEN 'Promoting.' ELSE 'Keeping current champion.' END END AS reason
@@ -233,7 +233,7 @@ def a11(spark, folder):
     rows = best.join(champ, "source", "left")
     new, old = F.col("rmse"), F.col("champion")
     return rounded(rows.select("source", F.col("day").alias("run"), new.alias("challenger"), "champion",
-                               *[c.alias(n) for n, c in metrics.compare(old, new).items()], metrics.promote(old, new).alias("promoted")), "challenger", "champion")
+                               *[c.alias(n) for n, c in metrics.compare(old, new).items()], metrics.promote(old, new).alias("promoted")))
 
 
 DAILY_FORECAST = f"{READINGS}, f AS (SELECT station_id, CASE WHEN pm10 <> 50 THEN pm25 + (pm10 - 20) / 10 END AS v, pm25 AS last FROM readings)"
@@ -256,10 +256,14 @@ def a12_structure(spark, folder):
     return rounded(metrics.structure_check(rows, ["source", "day"], "p2", "p1"))
 
 
+c1 = "CASE WHEN stddev_pop(y) * stddev_pop(p2) > 0 THEN corr(y, p2) END"
+c2 = "CASE WHEN stddev_pop(CASE WHEN nx IS NOT NULL THEN p2 END) * stddev_pop(nx) > 0 THEN corr(p2, nx) END"
+
+
 @query("a13_forecast_diagnostics", f"""
 WITH {SCORED}, s AS (SELECT *, CAST(timestamp_utc AS DATE) AS day, lead(p2) OVER (PARTITION BY source, CAST(timestamp_utc AS DATE) ORDER BY timestamp_utc) AS nx FROM scored)
-SELECT source, day, {q6('stddev_pop(p2)')} AS std, {q6('max(p2) - min(p2)')} AS range, {q6('corr(y, p2)')} AS corr_actual, {q6('corr(p2, nx)')} AS autocorr_1,
-       coalesce(corr(p2, nx) > 0.99, false) AS suspicious FROM s GROUP BY 1, 2""")
+SELECT source, day, {q6('stddev_pop(p2)')} AS std, {q6('max(p2) - min(p2)')} AS range, {q6(c1)} AS corr_actual, {q6(c2)} AS autocorr_1,
+       coalesce({c2} > 0.99, false) AS suspicious FROM s GROUP BY 1, 2""")
 def a13(spark, folder):
     rows = scored(spark, folder).withColumn("day", F.to_date(TS))
     return rounded(metrics.forecast_diagnostics(rows, ["source", "day"], TS, "y", "p2"))

@@ -253,6 +253,11 @@ def test_explanations(spark):
     assert [(r["rank"], r["feature"], r["direction"]) for r in top] == [(1, "is_tihar", "increases"), (2, "odd_name", "decreases")]
 
 
-def test_fixed_text_is_half_even(spark):
-    df = spark.createDataFrame([(99.25,), (99.75,), (1234567.0,)], "v double")
-    assert [r[0] for r in df.select(text.fixed(F.col("v"), 1)).collect()] == ["99.2", "99.8", "1234567.0"]
+def test_fixed_text_equals_printf(spark):
+    rng = np.random.default_rng(0)
+    values = [99.25, 99.75, 1234567.0, -0.04, 0.0, 11.235, 2.675, 1.005, 0.15, 0.25, 0.35, 8.125, -2.5, 0.999, 9.995]
+    values += [float(v) for v in (rng.integers(0, 10**6, 3000) / 1000)] + [float(v) for v in rng.normal(0, 100, 1000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    for digits in (1, 2, 3):
+        got = {r[0]: r[1] for r in df.select("i", text.fixed(F.col("v"), digits)).collect()}
+        assert [(v, got[i]) for i, v in enumerate(values) if got[i] != f"{v:.{digits}f}"] == []
