@@ -104,3 +104,9 @@ def test_stored_and_cleared(spark):
 def test_union_keeps_names(spark):
     out = feeds.union_sources(spark.sql("select 1 a, 2 b"), spark.sql("select 3 b"))
     assert sorted(map(tuple, out.collect()), key=str) == [(1, 2), (None, 3)]
+
+
+def test_worker_functions_travel_by_value():
+    from pyspark.cloudpickle import cloudpickle
+
+    assert "hazeline" in cloudpickle.list_registry_pickle_by_value()
