@@ -6,12 +6,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hazeline.operators.forecasts import SeasonalSpec
 from hazeline.plans import jobs
 
-from .base import HOURLY, READINGS, SCORED, hourly, q6, query, r6, readings, rounded, scored, wards
+from .base import hourly, q6, query, readings, rounded, scored, wards
 from .scores import DIRTY, A7_RULES, EVALUATIONS, dirty, evaluations
-from .scalars import EVENT_SQL
 
 TS = "timestamp_utc"
 ASOF = dt.datetime(2024, 1, 30, 12)

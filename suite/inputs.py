@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hazeline import schemas
-from hazeline.functions.air import aqi_category, aqi_label, first_truthy
+from hazeline.functions.air import aqi_category, first_truthy
 from hazeline.functions.geo import in_box
 from hazeline.operators.faults import sensor_faults, statistical_alerts
 from hazeline.operators.forecasts import history_from_lags
@@ -16,9 +16,8 @@ from hazeline.operators.windows import latest_per_key, row_lags
 from hazeline.session import work_dir
 from hazeline.sources import feeds, tables
 from hazeline.sources.messages import filter_alerts, online_snapshot, publish, to_messages
-from hazeline.streaming import jobs
 
-from .base import FAULTY, READINGS, calendar, events, faulty, q6, query, r6, readings, rounded, wards, ward_values_sql
+from .base import FAULTY, READINGS, events, faulty, query, readings, wards, ward_values_sql
 
 TS = "timestamp_utc"
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

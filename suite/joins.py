@@ -15,7 +15,7 @@ from hazeline.operators.spatial import semivariogram, ward_values, with_targets
 from hazeline.plans.features import compute_features
 from hazeline.sources.tables import table
 
-from .base import HOURLY, READINGS, SCORED, WEATHER, calendar, hourly, q6, query, r6, readings, rounded, scored, wards, ward_values_sql, weather
+from .base import READINGS, SCORED, WEATHER, calendar, hourly, q6, query, readings, rounded, scored, wards, ward_values_sql, weather
 from .inputs import WARD_LATEST, ward_latest
 
 TS = "timestamp_utc"

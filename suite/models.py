@@ -6,15 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hazeline.constants import FEATURE_DESCRIPTIONS
 from hazeline.operators import forecasts, iforest, regression
 from hazeline.operators.explain import explanation, top_contributors
 from hazeline.operators.faults import statistical_alerts
 from hazeline.operators.metrics import anomaly_summary, horizon_rmse, regression_metrics
-from hazeline.operators.spatial import fit_variogram, krige, location_means, semivariogram
+from hazeline.operators.spatial import fit_variogram, krige, semivariogram
 from hazeline.operators.windows import chronological_split, latest_per_key, sequences, trailing
 
-from .base import HOURLY, READINGS, hourly, q6, query, r6, readings, rounded, wards
+from .base import READINGS, hourly, q6, query, readings, rounded, wards
 
 TS = "timestamp_utc"
 ASOF = dt.datetime(2024, 1, 31)

@@ -11,7 +11,7 @@ from hazeline.operators.metrics import blend, blend_interval, weights
 from hazeline.sources.messages import iso_columns
 from hazeline.sources.tables import table
 
-from .base import FAULTY, READINGS, events, faulty, q6, query, r6, readings, rounded
+from .base import FAULTY, READINGS, events, faulty, q6, query, readings, rounded
 
 TS = "timestamp_utc"
 

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from hazeline.constants import LATENCY_BUCKETS
 from hazeline.operators import drift, metrics, quality, servicelog
-from hazeline.operators.forecasts import diurnal_forecast, forecast_all
+from hazeline.operators.forecasts import diurnal_forecast
 from hazeline.operators.windows import chronological_split, latest_per_key, rolling_rows_mean, row_lags
-from hazeline.sources.tables import table
 
-from .base import HOURLY, READINGS, SCORED, events, hourly, q6, query, r6, readings, rounded, scored, wards, ward_values_sql
+from .base import HOURLY, READINGS, SCORED, events, hourly, q6, query, readings, rounded, scored, wards
 from .inputs import WARD_LATEST, ward_latest
 from hazeline.operators.spatial import ward_values
 

@@ -11,7 +11,7 @@ from hazeline.session import work_dir
 from hazeline.sources.messages import to_messages
 from hazeline.streaming import jobs
 
-from .base import FAULTY, READINGS, as_readings, faulty, q6, query, r6, readings, rounded
+from .base import FAULTY, READINGS, as_readings, faulty, q6, query, readings, rounded
 
 TS = "timestamp_utc"
 WIRE = T.StructType([f for f in schemas.READING.fields if f.name != "ingested_at"])
