@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import ready
 from ..sources.tables import table
 
+#: Production parameters.
+CONTAMINATION_WINDOW = 10
+REPEAT_WINDOW, MINIMISER_RUN = 13, 3
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -22,6 +26,10 @@ def query(fn):
     return run
 
 
+def oracle(name: str, sql: str) -> None:
+    SQL[name] = sql.strip()
+
+
 def hex16(c: str):
     """A signed 64-bit value as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(F.col(c)), 16, "0"))
@@ -34,3 +42,64 @@ def op1_simhash_near_dedup(spark, folder):
 
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select(F.col("id").alias("doc_id"), hex16("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_benchmark_decontamination(spark, folder):
+    """Words of every document that lie in a window of a benchmark item, and the items."""
+    from .postings import contamination
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), CONTAMINATION_WINDOW)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+oracle("op3_benchmark_decontamination", r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + 9), ' ') AS p
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS p
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+m AS (SELECT DISTINCT doc_id, s, n, item_id FROM dw JOIN win USING (n, p)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM m) GROUP BY 1),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+""")
+
+
+@query
+def op6_substring_dedup(spark, folder):
+    """Words of every document that are not part of a 13-word window of an earlier document."""
+    from .superkmers import without_repeats
+
+    found = without_repeats(table(spark, folder, "documents"), REPEAT_WINDOW, MINIMISER_RUN)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+oracle("op6_substring_dedup", r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(list_slice(w, s, s + 12), ' ') AS p
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+f AS (SELECT p, min(doc_id) AS first_id FROM win GROUP BY p),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS pos FROM win JOIN f USING (p) WHERE doc_id > first_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+  FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""")
