@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import ready
+from ..session import ready, stored
 from ..sources.tables import table
 
 #: Production parameters.
 CONTAMINATION_WINDOW = 10
 REPEAT_WINDOW, MINIMISER_RUN = 13, 3
+VOCABULARY, TOKEN_LIMIT = "word_bpe_49k.json", 2048
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,3 +104,59 @@ kept AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """)
+
+
+@query
+def op5_toxicity(spark, folder):
+    """Toxicity score of every document by a model of the labelled ones outside the held-out fold."""
+    from .toxicity import fit, scored
+
+    docs = table(spark, folder, "documents")
+    found = scored(docs, fit(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def span_list(spans: str):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+
+@query
+def op7_secret_scans(spark, folder):
+    """Secrets in every document, in plain sight and under encodings."""
+    from .secrets import KINDS, secret_spans
+
+    found = secret_spans(table(spark, folder, "documents"))
+    counts = {f"n_{k}": F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS}
+    return found.select(F.col("id").alias("doc_id"), *(c.alias(n) for n, c in counts.items()),
+                        F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"))
+
+
+@query
+def op10_token_counts(spark, folder):
+    """Tokens of every document under a public vocabulary."""
+    import public_tokenizers
+
+    from .tokens import token_counts
+
+    found = token_counts(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query
+def op4_source_mix(spark, folder):
+    """Words each document gives to a mix of sources with target weights."""
+    from .mixing import mix
+
+    found = mix(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op2_warc_round_trip(spark, folder):
+    """Every page written to WARC archives, looked up in their capture index and read back."""
+    from .warc import look_up, read_records, write_archives, write_index
+
+    pages = table(spark, folder, "pages")
+    files = write_index(write_archives(pages))
+    found = stored(look_up(pages, files), "warc-found")
+    return read_records(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
