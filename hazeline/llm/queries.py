@@ -126,8 +126,11 @@ def op7_secret_scans(spark, folder):
     from .secrets import KINDS, secret_spans
 
     found = secret_spans(table(spark, folder, "documents"))
-    counts = {f"n_{k}": F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long") for k in KINDS}
-    return found.select(F.col("id").alias("doc_id"), *(c.alias(n) for n, c in counts.items()),
+
+    def counted(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(F.col("id").alias("doc_id"), *map(counted, KINDS),
                         F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"))
 
 
