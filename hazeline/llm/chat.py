@@ -106,8 +106,9 @@ def in_order(conversations: DataFrame, template: Template) -> DataFrame:
 
 
 def format_conversations(conversations: DataFrame, template: Template = Template()) -> DataFrame:
-    """Segments (conv_id, turn, part, segment, loss, valid) in order within each conversation.
+    """Segments (conv_id, place, part, segment, loss, valid) in order within each conversation.
 
+    ``place`` numbers the turns of a conversation from 0, whatever their own numbers.
     ``valid`` says whether this turn may stand here, and on the closing segment
     of a conversation's last turn whether it may end so. A conversation's
     segments are consecutive rows of one partition.
@@ -115,9 +116,9 @@ def format_conversations(conversations: DataFrame, template: Template = Template
     allowed = dict(template.follows)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, role, first = None, "", True
+        conv, role, place = None, "", -1
         held: list[tuple] = []  # the last turn waits to learn whether another follows
-        names = ["conv_id", "turn", "part", "segment", "loss", "valid"]
+        names = ["conv_id", "place", "part", "segment", "loss", "valid"]
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
 
         def as_batch(out: list[tuple]) -> pa.RecordBatch:
@@ -128,14 +129,15 @@ def format_conversations(conversations: DataFrame, template: Template = Template
 
         for batch in batches:
             out: list[tuple] = []
-            for c, turn, r, text in zip(*(column.to_pylist() for column in batch.columns)):
-                if first or c != conv:
+            for c, r, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text"))):
+                if place < 0 or c != conv:
                     out += ended()
-                    conv, role, first = c, "", False
+                    conv, role, place = c, "", 0
                 else:
                     out += held
+                    place += 1
                 ok = r in allowed.get(role, ())
-                held = [(c, turn, i, s, loss, ok) for i, (s, loss) in enumerate(turn_segments(r, text, template))]
+                held = [(c, place, i, s, loss, ok) for i, (s, loss) in enumerate(turn_segments(r, text, template))]
                 role = r
                 if len(out) > 3000:
                     yield as_batch(out)
@@ -144,7 +146,7 @@ def format_conversations(conversations: DataFrame, template: Template = Template
         yield as_batch(ended())
 
     return in_order(conversations.withColumn("conv_id", F.col("conv_id").cast("long")), template).mapInArrow(
-        rows, "conv_id long, turn long, part int, segment string, loss boolean, valid boolean")
+        rows, "conv_id long, place long, part int, segment string, loss boolean, valid boolean")
 
 
 def read_back(segments: DataFrame, template: Template = Template(), arranged: bool = False) -> DataFrame:
@@ -155,7 +157,7 @@ def read_back(segments: DataFrame, template: Template = Template(), arranged: bo
     others are dealt and sorted anew.
     """
     if not arranged:
-        segments = segments.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "part")
+        segments = segments.repartition("conv_id").sortWithinPartitions("conv_id", "place", "part")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(template)

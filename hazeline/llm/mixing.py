@@ -132,7 +132,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
     rows = stored(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")), "mix-rows")
     counts = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-counts")
     sources = counts.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"), F.sum("n").alias("rows"))
-    means = sources.select("source", (F.col("source_size") / F.col("rows")).alias("mean"))
+    means = sources.select("source", F.when(F.col("source_size") > 0, F.col("source_size") / F.col("rows")).otherwise(1.0).alias("mean"))
     goal = targets(sources.select("source", "source_size"), weights, share, limit)
     heads = stored(goal.alias("g").join(means.alias("m"), F.col("g.source").eqNullSafe(F.col("m.source"))).select("g.source", "source_size", "target", "mean"), "mix-sources")
     of_head = heads.withColumnRenamed("source", "of")
