@@ -10,6 +10,7 @@ from ..constants import LAG_ROWS
 from .chunks import (
     BLOCK_ROWS, CHUNK_US, HOUR_US, as_list, measured_chunk, numbered, over_rows, time_chunk, with_time_halo,
 )
+from .trailing import trailing_columns
 from ..functions.timefns import micros
 
 
@@ -31,24 +32,19 @@ def coalesce_readings(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
 def trailing(
     df: DataFrame, key: str | Sequence[str], ts: str, value: str, spec: dict[str, tuple[str, float]],
-    *, chunk_us: int | None = CHUNK_US,
+    *, chunk_us: int | None = None,
 ) -> DataFrame:
     """Trailing time-range statistics over ``(t - hours, t]``.
 
     ``spec`` maps an output name to ``(aggregate, hours)`` with aggregates
-    ``mean``, ``std`` (sample), ``sum``. All windows share one shuffle and one sort.
-    ``chunk_us=None`` measures the data for a chunk length.
+    ``mean``, ``std`` (sample), ``sum``. All windows share one shuffle and one sort,
+    and the cost per row does not grow with the rows per window. Unless a chunk
+    length is given, it is measured on the data.
     """
     keys = as_list(key)
-    functions = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum}
     reach = int(max(h for _, h in spec.values()) * HOUR_US)
     spread = with_time_halo(df, ts, reach, chunk_us or measured_chunk(df, keys, ts, reach))
-    order = Window.partitionBy(*keys, "_chunk").orderBy("_us")
-    columns = {
-        name: functions[agg](value).over(order.rangeBetween(-int(hours * HOUR_US) + 1, 0))
-        for name, (agg, hours) in spec.items()
-    }
-    return spread.withColumns(columns).where("_own").drop("_us", "_chunk", "_own")
+    return trailing_columns(spread, [*keys, "_chunk"], "_us", value, spec, own="_own").drop("_us", "_chunk", "_own")
 
 
 def row_lags(
@@ -65,14 +61,23 @@ def row_lags(
 
 
 def time_lags(df: DataFrame, key: str | Sequence[str], ts: str, value: str, hours: Sequence[int]) -> DataFrame:
-    """Values exactly n hours earlier (NULL where the series has a gap): equi-joins on key and time."""
+    """Values exactly n hours earlier (NULL where the series has a gap), from one shuffle.
+
+    Each row also travels as a copy per offset, moved to the time that looks back
+    at it; rows and copies of one key and time meet in one group. Past rows of
+    equal key and time must not differ: their largest value is taken.
+    """
     keys = as_list(key)
-    out = df
-    for h in hours:
-        name = f"{value}_at_{h}h"
-        past = df.select(*keys, (F.col(ts) + F.expr(f"interval {h} hours")).alias(ts), F.col(value).alias(name))
-        out = out.join(past, [*keys, ts], "left")
-    return out
+    names = [f"{value}_at_{h}h" for h in hours]
+    here = df.select(*keys, ts, F.struct(*df.columns).alias("_row"), *[F.lit(None).cast(df.schema[value].dataType).alias(n) for n in names])
+    moves = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.col(ts) + F.expr(f"interval {h} hours")).alias("at")) for i, h in enumerate(hours)]))
+    moved = df.select(*keys, F.col(value).alias("_v"), moves.alias("_m"))
+    past = moved.select(*keys, F.col("_m.at").alias(ts), F.lit(None).cast(here.schema["_row"].dataType).alias("_row"),
+                        *[F.when(F.col("_m.i") == i, F.col("_v")).alias(n) for i, n in enumerate(names)])
+    both = here.unionByName(past)
+    window = Window.partitionBy(*keys, ts)
+    seen = both.select("_row", *[F.max(n).over(window).alias(n) for n in names]).where("_row is not null")
+    return seen.select("_row.*", *names)
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:

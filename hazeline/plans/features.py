@@ -14,11 +14,12 @@ from ..functions.timefns import clock_columns, direction
 from ..operators.asof import nearest_asof
 from ..operators.calendar import add_calendar_flags
 from ..operators.chunks import BLOCK_ROWS, CHUNK_US, HOUR_US, chunk_offsets, measured_chunk, small_side, time_chunk, with_row_halo, with_time_halo
+from ..operators.trailing import trailing_columns
 from ..operators.windows import coalesce_readings, dedup_first, first_values, trailing
 from ..functions.timefns import micros
 from ..schemas import FEATURES
 from ..session import stored
-from ..sources.tables import conform, ensure_columns, spread
+from ..sources.tables import conform, ensure_columns
 
 TS = "timestamp_utc"
 
@@ -27,7 +28,7 @@ def clean_readings(readings: DataFrame) -> DataFrame:
     """One row per station and time, each pollutant's first non-null value, in arrival order."""
     full = ensure_columns(readings, {**{p: F.lit(None).cast("double") for p in POLLUTANTS}, "aqi_us": F.lit(None).cast("int"),
                                      "ingested_at": F.lit(None).cast("timestamp_ntz")})
-    return coalesce_readings(spread(full), ["station_id", TS], [*POLLUTANTS, "aqi_us", "lat", "lon"], ["ingested_at", "source"])
+    return coalesce_readings(full, ["station_id", TS], [*POLLUTANTS, "aqi_us", "lat", "lon"], ["ingested_at", "source"])
 
 
 def series_columns(clean: DataFrame, value: str = "pm25", *, chunk_us: int = CHUNK_US, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -36,12 +37,9 @@ def series_columns(clean: DataFrame, value: str = "pm25", *, chunk_us: int = CHU
     Statistics and the running number inside a chunk share one shuffle by
     (station, time chunk); lags take a second one by (station, row block).
     """
-    spec = {f"{value}_{h}h_mean": (F.avg, h) for h in MEAN_WINDOWS_H} | {f"{value}_{h}h_std": (F.stddev_samp, h) for h in STD_WINDOWS_H}
+    spec = {f"{value}_{h}h_mean": ("mean", h) for h in MEAN_WINDOWS_H} | {f"{value}_{h}h_std": ("std", h) for h in STD_WINDOWS_H}
     spread = with_time_halo(clean, TS, max(MEAN_WINDOWS_H) * HOUR_US, chunk_us)
-    order = Window.partitionBy("station_id", "_chunk").orderBy("_us")
-    columns = {n: f(value).over(order.rangeBetween(-h * HOUR_US + 1, 0)) for n, (f, h) in spec.items()}
-    columns["_local"] = F.sum(F.col("_own").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    stats = spread.withColumns(columns).where("_own").drop("_us", "_own")
+    stats = trailing_columns(spread, ["station_id", "_chunk"], "_us", value, spec, own="_own", place="_local").drop("_us", "_own")
     offsets = chunk_offsets(clean.withColumn("_chunk", time_chunk(micros(F.col(TS)), chunk_us)), ["station_id"], "_chunk")
     ranked = stats.join(offsets, ["station_id", "_chunk"]).withColumn("_seq", F.col("_local") + F.col("_before"))
     blocks = with_row_halo(ranked.drop("_chunk", "_local", "_before", "_total"), "_seq", before=max(LAG_ROWS), size=block_rows)
@@ -78,11 +76,12 @@ def compute_features(
 ) -> DataFrame:
     """All features, one row per station and time. A row depends on earlier rows only.
 
-    The chunk length is measured on the readings unless given.
+    Cleaned readings are stored once; statistics, row numbers and places are all
+    taken from that copy. The chunk length is measured on it unless given.
     """
+    clean = stored(clean_readings(readings), "clean-readings")
     if chunk_us is None:
-        chunk_us = measured_chunk(readings, "station_id", TS, max(MEAN_WINDOWS_H) * HOUR_US)
-    clean = clean_readings(readings)
+        chunk_us = measured_chunk(clean, "station_id", TS, max(MEAN_WINDOWS_H) * HOUR_US)
     rows = series_columns(clean, chunk_us=chunk_us, block_rows=block_rows)
     rows = add_weather(rows, weather, weather_method)
     rows = rows.withColumns(clock_columns(F.col(TS))).withColumn("aqi_us_category", aqi_category(F.col("pm25")))
