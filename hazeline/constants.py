@@ -47,10 +47,6 @@ SEQUENCE_FEATURES = [
 ]
 ANOMALY_FEATURES = ["pm25", "pm10", "no2", "pm25_1h_mean", "pm25_6h_mean"]
 DRIFT_COLUMNS = ["pm25", "pm10", "temp_c", "humidity_pct", "wind_speed_kmh"]
-HISTORY_LAG_COLUMNS = [
-    "pm25", "pm25_lag_1h", "pm25_lag_3h", "pm25_lag_6h",
-    "pm25_lag_12h", "pm25_lag_24h", "pm25_lag_48h",
-]
 
 # Thresholds.
 PSI_WARNING = 0.2

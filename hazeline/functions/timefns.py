@@ -10,10 +10,6 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us).cast("timestamp_ntz")
-
-
 def clock_columns(ts: Column) -> dict[str, Column]:
     """Hour, weekday (Monday = 0), month, weekend flag and their cycles."""
     hour, month = F.hour(ts), F.month(ts)

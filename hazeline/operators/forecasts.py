@@ -58,12 +58,6 @@ def forecast_all(snapshot: DataFrame, station: str, last: str, asof: Column, hou
         aqi_label(aqi_category(clamped, missing=0)).alias("aqi_category"), F.lit("fallback_diurnal").alias("model_used"))
 
 
-def forecast_arrays(points: DataFrame, station: str) -> DataFrame:
-    """One row per station with its points as an array, in time order."""
-    fields = [c for c in points.columns if c != station]
-    return points.groupBy(station).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("forecasts"))
-
-
 def baseline_forecasts(df: DataFrame, key: str | Sequence[str], ts: str, value: str, ties: Sequence[str] = (), h: int = 24) -> DataFrame:
     """Last h values per series with naive, moving-average and seasonal-naive forecasts.
 

@@ -11,65 +11,54 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.air import aqi_category, aqi_label, first_truthy
 from ..functions.geo import haversine_km
+from ..session import stored
 from .chunks import as_list, spread_by
 
-MAX_TARGETS = 4096
-PAIR_ROWS = 512
+#: Targets that travel together.
+TARGET_BLOCK = 512
 
 
-def bounded_rows(df: DataFrame, limit: int = MAX_TARGETS) -> list:
-    """Rows of a small dimension; fails loudly when it is not small."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"dimension exceeds {limit} rows")
-    return rows
+def target_blocks(targets: DataFrame, columns: Sequence[str], size: int = TARGET_BLOCK) -> tuple[DataFrame, int]:
+    """(rows (_t, targets) of about ``size`` targets each, their number): any number of targets, no row holds many."""
+    blocks = max(1, -(-targets.count() // size))
+    numbered = targets.select(F.pmod(F.xxhash64(*columns), F.lit(blocks)).cast("int").alias("_t"), F.struct(*columns).alias("target"))
+    return numbered.groupBy("_t").agg(F.collect_list("target").alias("targets")), blocks
 
 
-def with_targets(df: DataFrame, targets: DataFrame) -> DataFrame:
-    """Every row with every target, from an array literal of checked size; adds ward_* and distance."""
-    cells = [F.struct(F.lit(r["ward_id"]).alias("ward_id"), F.lit(r["lat"]).alias("ward_lat"), F.lit(r["lon"]).alias("ward_lon"))
-             for r in bounded_rows(targets)]
-    out = df.select(*df.columns, F.inline(F.array(*cells)))
+def with_targets(df: DataFrame, targets: DataFrame, size: int = TARGET_BLOCK) -> DataFrame:
+    """Every row with every target, block by block; adds ward_* and distance."""
+    cells, blocks = target_blocks(targets.select("ward_id", F.col("lat").alias("ward_lat"), F.col("lon").alias("ward_lon")), ["ward_id", "ward_lat", "ward_lon"], size)
+    each = df.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    out = each.join(cells, "_t").select(*df.columns, F.inline("targets"))
     return out.withColumn("distance_km", haversine_km(F.col("lat"), F.col("lon"), F.col("ward_lat"), F.col("ward_lon")))
 
 
-def location_means(df: DataFrame, by: Sequence[str], value: str = "pm25") -> DataFrame:
+def location_means(df: DataFrame, by: Sequence[str], value: str = "pm25", count: str | None = None) -> DataFrame:
     """One row per (moment, location): copies and co-located sensors are averaged map-side.
 
     Kriging groups are therefore bounded by the number of places, not of rows.
     """
     return df.where(F.col(value).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy(
-        *by, "lat", "lon").agg(F.avg(value).alias(value))
+        *by, "lat", "lon").agg(F.avg(value).alias(value), *([F.count(F.lit(1)).alias(count)] if count else []))
 
 
 def semivariogram(df: DataFrame, by: str | Sequence[str], value: str, bin_width: float, n_bins: int) -> DataFrame:
     """Empirical semivariogram (bin, n_pairs, gamma, distance) over pairs within each moment.
 
-    Pairs are formed from location means, block by block inside a task; only sums
-    per distance bin leave it, never the pairs.
+    Only pairs nearer than all bins together count, so location means meet in
+    cells of that size: each is sent to its own and the neighbouring cells, pairs
+    are joined by moment and cell, and sums per bin combine map-side.
     """
     keys = as_list(by)
-
-    def bins(pdf: pd.DataFrame) -> pd.DataFrame:
-        xy, z = pdf[["lon", "lat"]].to_numpy(float), pdf[value].to_numpy(float)
-        n = np.zeros(n_bins, np.int64)
-        sq, dist = np.zeros(n_bins), np.zeros(n_bins)
-        for start in range(0, len(z), PAIR_ROWS):
-            block = slice(start, start + PAIR_ROWS)
-            d = np.hypot(xy[block, None, 0] - xy[None, :, 0], xy[block, None, 1] - xy[None, :, 1])
-            later = np.arange(len(z))[None, :] > np.arange(start, min(start + PAIR_ROWS, len(z)))[:, None]
-            index = np.floor(d / bin_width + 1e-9).astype(int)
-            use = later & (index < n_bins)
-            gap = (z[block, None] - z[None, :])[use] ** 2
-            n += np.bincount(index[use], minlength=n_bins)
-            sq += np.bincount(index[use], gap, n_bins)
-            dist += np.bincount(index[use], d[use], n_bins)
-        hit = n > 0
-        return pd.DataFrame({"bin": np.flatnonzero(hit), "n": n[hit], "sq": sq[hit], "dist": dist[hit]})
-
-    partial = spread_by(location_means(df, keys, value), *keys).groupBy(*keys).applyInPandas(bins, "bin int, n long, sq double, dist double")
-    return partial.groupBy("bin").agg(
-        F.sum("n").alias("n_pairs"), (F.sum("sq") / F.sum("n") / 2).alias("gamma"), (F.sum("dist") / F.sum("n")).alias("distance"))
+    reach = bin_width * n_bins
+    means = location_means(df, keys, value).select(*keys, "lat", "lon", F.col(value).alias("_z"), F.floor(F.col("lon") / reach).alias("_x"), F.floor(F.col("lat") / reach).alias("_y"))
+    around = F.explode(F.array(*[F.struct((F.col("_x") + dx).alias("_x"), (F.col("_y") + dy).alias("_y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
+    sent = means.select(*keys, "lat", "lon", "_z", around.alias("_c")).select(*keys, "_c._x", "_c._y", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("_z").alias("_w"))
+    pairs = means.join(sent, [*keys, "_x", "_y"]).where("lat < _lat or lat = _lat and lon < _lon")
+    d = F.sqrt(F.pow(F.col("lat") - F.col("_lat"), 2) + F.pow(F.col("lon") - F.col("_lon"), 2))
+    rows = pairs.select(d.alias("d"), F.pow(F.col("_z") - F.col("_w"), 2).alias("s")).withColumn("bin", F.floor(F.col("d") / bin_width + 1e-9).cast("int"))
+    return rows.where(F.col("bin") < n_bins).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("n_pairs"), (F.avg("s") / 2).alias("gamma"), F.avg("d").alias("distance"))
 
 
 @dataclass(frozen=True)
@@ -95,9 +84,9 @@ def shape(model: str, h: np.ndarray, range_: float) -> np.ndarray:
     raise ValueError(model)
 
 
-def fit_variogram(bins: DataFrame, model: str = "spherical", steps: int = 40, limit: int = 1000) -> Variogram:
+def fit_variogram(bins: DataFrame, model: str = "spherical", steps: int = 40) -> Variogram:
     """Least squares over the bins, weighted by pairs: a range grid, sill and nugget in closed form."""
-    rows = bounded_rows(bins.orderBy("bin"), limit)
+    rows = bins.orderBy("bin").collect()  # as many as the caller asked bins for
     h = np.array([r["distance"] for r in rows])
     g = np.array([r["gamma"] for r in rows])
     w = np.sqrt(np.array([r["n_pairs"] for r in rows], float))
@@ -117,22 +106,22 @@ def fit_variogram(bins: DataFrame, model: str = "spherical", steps: int = 40, li
 
 def krige(
     df: DataFrame, targets: DataFrame, variogram: Variogram, by: str, *, value: str = "pm25",
-    minimum: int = 3, floor_at_zero: bool = False,
+    minimum: int = 3, floor_at_zero: bool = False, size: int = TARGET_BLOCK,
 ) -> DataFrame:
-    """Ordinary kriging of each moment's sensors onto the targets: value and variance.
+    """Ordinary kriging of each moment's sensors onto any number of targets: value and variance.
 
     Moments with fewer than ``minimum`` readings give nothing. Distances are
-    Euclidean in degrees.
+    Euclidean in degrees. A group is one moment's places and one block of targets;
+    its dense system has the moment's places as its size, by definition.
     """
-    rows = bounded_rows(targets)
-    goal = np.array([[r["lon"], r["lat"]] for r in rows], float)
-    places = pd.DataFrame([r.asDict() for r in rows], columns=["ward_id", "ward_name", "lat", "lon"])
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = len(pdf)
-        if pdf["readings"].sum() < minimum:
-            return places.iloc[:0].assign(**{by: pd.Series(dtype=pdf[by].dtype), "pm25": 0.0, "kriging_variance": 0.0})
-        xy, z = pdf[["lon", "lat"]].to_numpy(float), pdf[value].to_numpy(float)
+    names = ["ward_id", "ward_name", "lat", "lon"]
+    kinds = dict(targets.dtypes)
+    blocks, n_blocks = target_blocks(targets, names, size)
+
+    def solve(sensors: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
+        places = places[names]
+        goal, n = places[["lon", "lat"]].to_numpy(float), len(sensors)
+        xy, z = sensors[["lon", "lat"]].to_numpy(float), sensors[value].to_numpy(float)
         system = np.ones((n + 1, n + 1))
         gap = np.hypot(xy[:, None, 0] - xy[None, :, 0], xy[:, None, 1] - xy[None, :, 1])
         system[:n, :n] = variogram(gap)
@@ -147,13 +136,15 @@ def krige(
         estimate = z @ w[:n]
         if floor_at_zero:
             estimate = np.maximum(estimate, 0.0)
-        return places.assign(**{by: pdf[by].iloc[0], "pm25": estimate, "kriging_variance": (w * right).sum(axis=0)})
-
-    kind = dict(df.dtypes)[by]
-    ready = df.where(F.col(value).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy(by, "lat", "lon").agg(
-        F.avg(value).alias(value), F.count(F.lit(1)).alias("readings"))
-    estimates = spread_by(ready, by).groupBy(by).applyInPandas(
-        solve, f"ward_id int, ward_name string, lat double, lon double, {by} {kind}, pm25 double, kriging_variance double")
+        return places.assign(**{by: sensors[by].iloc[0], "pm25": estimate, "kriging_variance": (w * right).sum(axis=0)})
+
+    places = stored(location_means(df, [by], value, count="readings"), "kriging-places")
+    moments = places.groupBy(by).agg(F.sum("readings").alias("_n")).where(F.col("_n") >= minimum)
+    each = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_t")
+    ready = spread_by(places.join(moments, by, "left_semi").select("*", each), by, "_t")
+    goals = spread_by(moments.select(F.col(by).alias("_moment"), each).join(blocks, "_t").select("_moment", "_t", F.inline("targets")), "_moment", "_t")
+    estimates = ready.groupBy(by, "_t").cogroup(goals.groupBy("_moment", "_t")).applyInPandas(
+        solve, f"ward_id {kinds['ward_id']}, ward_name string, lat double, lon double, {by} {dict(df.dtypes)[by]}, pm25 double, kriging_variance double")
     return estimates.select(
         F.concat(F.lit("ward_"), F.col("ward_id")).alias("station_id"), F.lit("kriging_interpolated").alias("source"),
         "lat", "lon", F.col(by), "pm25", "kriging_variance", "ward_name", "ward_id")

@@ -8,7 +8,7 @@ from ..constants import (
     CENTER_LAT, CENTER_LON, LAG_ROWS, MEAN_WINDOWS_H, POLLUTANTS, PRECIP_WINDOW_H, STD_WINDOWS_H,
     WEATHER_COLUMNS, WEATHER_TOLERANCE_S,
 )
-from ..functions.air import aqi_category
+from ..functions.air import aqi_category, no_nan
 from ..functions.geo import haversine_km
 from ..functions.timefns import clock_columns, direction
 from ..operators.asof import nearest_asof
@@ -25,9 +25,10 @@ TS = "timestamp_utc"
 
 
 def clean_readings(readings: DataFrame) -> DataFrame:
-    """One row per station and time, each pollutant's first non-null value, in arrival order."""
+    """One row per station and time, each pollutant's first value that is neither NULL nor NaN, in arrival order."""
     full = ensure_columns(readings, {**{p: F.lit(None).cast("double") for p in POLLUTANTS}, "aqi_us": F.lit(None).cast("int"),
                                      "ingested_at": F.lit(None).cast("timestamp_ntz")})
+    full = full.withColumns({p: no_nan(F.col(p)) for p in POLLUTANTS})
     return coalesce_readings(full, ["station_id", TS], [*POLLUTANTS, "aqi_us", "lat", "lon"], ["ingested_at", "source"])
 
 

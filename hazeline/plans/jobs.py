@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import ANOMALY_FEATURES, DRIFT_COLUMNS, RMSE_DEGRADATION
+from ..constants import ANOMALY_FEATURES, DRIFT_COLUMNS, HAZARD_PM25, RMSE_DEGRADATION
 from ..functions.seasons import in_event_period
 from ..functions.text import drift_message, hazard_message
 from ..operators.drift import psi, retrain_decision, worst_feature
@@ -79,7 +79,7 @@ def publish_forecasts(features: DataFrame, hours: int = 24) -> DataFrame:
     return forecast_all(newest, "station_id", "pm25", F.col(TS), hours)
 
 
-def hazard_alerts(latest: DataFrame, limit: float = 300.0) -> DataFrame:
+def hazard_alerts(latest: DataFrame, limit: float = HAZARD_PM25) -> DataFrame:
     """Messages for stations above the hazardous limit."""
     text = hazard_message(F.col("station_id"), F.col("pm25"), F.coalesce("aqi_us", F.lit(0)), F.date_format(TS, "yyyy-MM-dd HH:mm"), F.lit("stable"))
     return latest.where(F.col("pm25") > limit).select("station_id", TS, text.alias("message"))

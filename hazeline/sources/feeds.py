@@ -1,10 +1,11 @@
-"""Landed JSON feeds to flat readings. Input frames hold one document per row."""
+"""Landed JSON feeds to flat readings. Input frames hold one document per row; NaN in them becomes NULL."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..constants import POLLUTANTS
+from ..functions.air import no_nan
 from ..functions.timefns import parse_iso
 from ..schemas import CITY_FEED, HOURLY_FEED, SENSOR_FEED
 from .tables import spread
@@ -27,7 +28,7 @@ def parse_city_feed(df: DataFrame, payload: str, name: str, lat: str | None = No
         F.lit("aqicn").alias("source"),
         coordinate(lat, 0).alias("lat"), coordinate(lon, 1).alias("lon"),
         parse_iso(F.col("_d.time.iso")).alias("timestamp_utc"),
-        *[F.col("_d.iaqi")[p]["v"].alias(p) for p in POLLUTANTS],
+        *[no_nan(F.col("_d.iaqi")[p]["v"]).alias(p) for p in POLLUTANTS],
         F.col("_d.aqi").alias("aqi_us"),
     )
 
@@ -44,7 +45,7 @@ def parse_sensor_feed(df: DataFrame, payload: str) -> DataFrame:
         F.lit("openaq").alias("source"),
         F.col("loc.coordinates.latitude").alias("lat"), F.col("loc.coordinates.longitude").alias("lon"),
         parse_iso(F.col("m.period.datetimeFrom.utc")).alias("timestamp_utc"),
-        *[F.when(F.col("parameter") == p, F.col("m.value")).alias(p) for p in POLLUTANTS],
+        *[F.when(F.col("parameter") == p, no_nan(F.col("m.value"))).alias(p) for p in POLLUTANTS],
         F.lit(None).cast("int").alias("aqi_us"),
     )
 
@@ -62,7 +63,7 @@ def parse_hourly_feed(df: DataFrame, payload: str, lat: str, lon: str) -> DataFr
     rows = doc.select(lat, lon, F.explode(F.arrays_zip("time", *fields.values())).alias("r")).where("r.time is not null")
     return rows.select(
         F.col(lat).alias("lat"), F.col(lon).alias("lon"), parse_iso(F.col("r.time")).alias("timestamp_utc"),
-        *[F.col(f"r.{c}").alias(c) for c in fields.values()],
+        *[no_nan(F.col(f"r.{c}")).alias(c) for c in fields.values()],
     )
 
 

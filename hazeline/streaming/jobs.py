@@ -17,7 +17,7 @@ from ..operators.faults import alert_rows
 from ..operators.iforest import Forest, score_iforest
 from ..operators.quality import READING_RULES, Rule, check_rows
 from ..operators.windows import last_rows, latest_per_key, stuck_rows
-from ..functions.air import impossible
+from ..functions.air import impossible, no_nan
 from ..session import work_dir
 
 LATE = "2 hours"
@@ -63,10 +63,11 @@ def drain(df: DataFrame, name: str, mode: str = "append", partition_by: Sequence
 
 
 def decode_messages(messages: DataFrame, schema: T.StructType, ts: str = "timestamp_utc") -> DataFrame:
-    """JSON values to reading columns; the time arrives as ISO text."""
+    """JSON values to reading columns; the time arrives as ISO text, NaN is NULL."""
     wire = T.StructType([T.StructField(f.name, T.StringType() if f.name == ts else f.dataType) for f in schema.fields])
     rows = messages.select(F.from_json("value", wire).alias("m")).where("m is not null").select("m.*")
-    return rows.withColumn(ts, parse_iso(F.col(ts)))
+    numbers = {f.name: no_nan(F.col(f.name)) for f in schema.fields if isinstance(f.dataType, T.DoubleType)}
+    return rows.withColumns({ts: parse_iso(F.col(ts)), **numbers})
 
 
 def ingest(messages: DataFrame, schema: T.StructType, rules: list[Rule] = READING_RULES) -> tuple[DataFrame, DataFrame]:

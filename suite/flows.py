@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hazeline.plans import jobs
 
-from .base import hourly, q6, query, readings, rounded, scored, wards
+from .base import READINGS, hourly, q6, query, readings, rounded, scored, ward_values_sql, wards
 from .scores import DIRTY, A7_RULES, EVALUATIONS, dirty, evaluations
 
 TS = "timestamp_utc"
@@ -71,3 +71,12 @@ def wards_flow(spark, folder):
     """Ward values of every hour, summarised per ward."""
     rows = jobs.ward_estimates(readings(spark, folder), wards(spark))
     return rounded(rows.groupBy("station_id", "ward_name").agg(F.count("pm25").alias("n"), F.avg("pm25").alias("pm25"), F.max("kriging_variance").alias("max_variance")))
+
+
+@query("flow_ward_hours", f"""
+WITH {READINGS}, h AS (SELECT date_trunc('hour', timestamp_utc) AS hour FROM readings WHERE pm25 IS NOT NULL GROUP BY 1 HAVING count(*) >= 3), {ward_values_sql()}
+SELECT 'ward_' || ward_id AS station_id, ward_name, count(*) AS n FROM h, wards GROUP BY 1, 2""")
+def ward_hours(spark, folder):
+    """Hours estimated per ward."""
+    rows = jobs.ward_estimates(readings(spark, folder), wards(spark))
+    return rows.groupBy("station_id", "ward_name").agg(F.count("pm25").alias("n"))

@@ -166,9 +166,9 @@ def s10(spark, folder):
 @query("s11_csv_export", f"""
 WITH {READINGS}
 SELECT station_id, -pm25 / 100 AS anomaly_score, pm25 FROM readings
-WHERE source IN ('view', 'click') AND -pm25 / 100 <= -1.0""")
+WHERE -pm25 / 100 <= -1.0""")
 def s11(spark, folder):
-    log = readings(spark, folder).withColumn("anomaly_score", -F.col("pm25") / 100).where(F.col("source").isin("view", "click"))
+    log = readings(spark, folder).withColumn("anomaly_score", -F.col("pm25") / 100)
     path = work_dir(spark, "anomalies")
     tables.export(filter_alerts(log, max_score=-1.0).select("station_id", "anomaly_score", "pm25"), path, "csv")
     return spark.read.csv(path, header=True, schema="station_id string, anomaly_score double, pm25 double")
@@ -286,20 +286,21 @@ def p9(spark, folder):
 
 @query("u1_union_sources", f"""
 WITH {READINGS}
-SELECT station_id, pm25, pm10, lat FROM readings WHERE source = 'view' UNION ALL
-SELECT station_id, NULL, pm10, NULL FROM readings WHERE source = 'click'""")
+SELECT station_id, pm25, pm10, lat FROM readings WHERE source IN ('view', 'purchase') UNION ALL
+SELECT station_id, NULL, pm10, NULL FROM readings WHERE source NOT IN ('view', 'purchase')""")
 def u1(spark, folder):
     rows = readings(spark, folder)
-    return feeds.union_sources(rows.where("source = 'view'").select("station_id", "pm25", "pm10", "lat"), rows.where("source = 'click'").select("pm10", "station_id"))
+    return feeds.union_sources(rows.where("source in ('view', 'purchase')").select("station_id", "pm25", "pm10", "lat"),
+                               rows.where("source not in ('view', 'purchase')").select("pm10", "station_id"))
 
 
 @query("u2_primary_else_fallback", f"""
 WITH {READINGS}, b AS (SELECT *, date_trunc('hour', timestamp_utc) AS batch FROM readings)
 SELECT event_id, batch FROM b WHERE source = 'view' UNION ALL
-SELECT event_id, batch FROM b WHERE source = 'click' AND batch NOT IN (SELECT batch FROM b WHERE source = 'view')""")
+SELECT event_id, batch FROM b WHERE source <> 'view' AND batch NOT IN (SELECT batch FROM b WHERE source = 'view')""")
 def u2(spark, folder):
     b = readings(spark, folder).select("event_id", "source", F.date_trunc("hour", TS).cast("timestamp_ntz").alias("batch"))
-    return feeds.primary_else_fallback(b.where("source = 'view'").drop("source"), b.where("source = 'click'").drop("source"), ["batch"])
+    return feeds.primary_else_fallback(b.where("source = 'view'").drop("source"), b.where("source <> 'view'").drop("source"), ["batch"])
 
 
 @query("u3_alert_union", f"""
@@ -315,3 +316,14 @@ def u3(spark, folder):
     rows = faulty(readings(spark, folder))
     marked = rows.withColumns({"is_anomaly": F.col("pm10") > 95, "anomaly_score": -F.col("pm10") / 100})
     return feeds.union_sources(sensor_faults(rows, ties=["event_id"]), statistical_alerts(marked))
+
+
+@query("s2_nan_is_null", f"""
+WITH {READINGS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE pm10 % 2 = 1) AS n_values, CAST(0 AS BIGINT) AS n_nan FROM readings""")
+def s2_nan(spark, folder):
+    """City documents whose PM2.5 is the bare word NaN in half of them; none comes through as a number."""
+    value = F.when(F.col("pm10") % 2 == 1, F.lit("12.5")).otherwise(F.lit("NaN"))
+    doc = F.concat(F.lit('{"status": "ok", "data": {"aqi": 1, "iaqi": {"pm25": {"v": '), value,
+                   F.lit('}}, "time": {"iso": "2024-01-01T00:00:00+00:00"}, "city": {"geo": [1.0, 2.0]}}}'))
+    rows = feeds.parse_city_feed(readings(spark, folder).select(doc.alias("payload"), F.col("station_id").alias("name")), "payload", "name")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count("pm25").alias("n_values"), F.count_if(F.isnan("pm25")).alias("n_nan"))

@@ -47,12 +47,12 @@ def j1_window(spark, folder):
 
 
 @query("j1_nearest_asof_by_key", """
-WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'), r AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase')
+WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type <> 'purchase'), r AS (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase')
 SELECT l.event_id, arg_min(r.value, abs(epoch_us(r.ts) - epoch_us(l.ts)) * 2 - CASE WHEN r.ts > l.ts THEN 1 ELSE 0 END) AS bought
 FROM l LEFT JOIN r ON r.user_id = l.user_id AND r.ts BETWEEN l.ts - INTERVAL 12 HOUR AND l.ts + INTERVAL 12 HOUR GROUP BY 1""")
 def j1_key(spark, folder):
     e = table(spark, folder, "events")
-    left = e.where("event_type = 'view'").select("event_id", "user_id", "ts")
+    left = e.where("event_type <> 'purchase'").select("event_id", "user_id", "ts")
     right = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("value").alias("bought"))
     return nearest_asof(left, right, "ts", ["bought"], 12 * HOUR, by="user_id", method="window", salts=1).select("event_id", "bought")
 

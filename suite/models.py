@@ -10,10 +10,10 @@ from hazeline.operators import forecasts, iforest, regression
 from hazeline.operators.explain import explanation, top_contributors
 from hazeline.operators.faults import statistical_alerts
 from hazeline.operators.metrics import anomaly_summary, horizon_rmse, regression_metrics
-from hazeline.operators.spatial import fit_variogram, krige, semivariogram
+from hazeline.operators.spatial import Variogram, fit_variogram, krige, semivariogram
 from hazeline.operators.windows import chronological_split, latest_per_key, sequences, trailing
 
-from .base import READINGS, hourly, q6, query, readings, rounded, wards
+from .base import READINGS, hourly, q6, query, r6, readings, rounded, ward_values_sql, wards
 
 TS = "timestamp_utc"
 ASOF = dt.datetime(2024, 1, 31)
@@ -80,6 +80,45 @@ def m4(spark, folder):
     return rounded(krige(rows, wards(spark), variogram, "hour").drop("ward_id"), "lat", "lon")
 
 
+PLACES = f"""{READINGS}, p AS (
+  SELECT date_trunc('hour', timestamp_utc) AS hour, lat, lon, avg(pm25) AS z, count(*) AS n FROM readings GROUP BY 1, 2, 3),
+h AS (SELECT hour FROM p GROUP BY 1 HAVING sum(n) >= 3)"""
+
+
+def hourly_places(spark, folder):
+    return readings(spark, folder).withColumn("hour", F.date_trunc("hour", TS).cast("timestamp_ntz"))
+
+
+@query("m4_kriging_at_sensors", f"""
+WITH {PLACES} SELECT hour, lat, lon, {q6('z')} AS pm25, CAST(0 AS DOUBLE) AS kriging_variance FROM p JOIN h USING (hour)""")
+def m4_exact(spark, folder):
+    """Targets at the sensors' places: where a place reported, its own mean with no variance."""
+    rows = hourly_places(spark, folder)
+    goals = rows.select("lat", "lon").distinct().select(
+        (F.round(F.col("lat") * 100) * 10000 + F.round(F.col("lon") * 100)).cast("int").alias("ward_id"), F.lit("place").alias("ward_name"), "lat", "lon")
+    found = krige(rows, goals, Variogram("exponential", 100.0, 0.5, 0.0), "hour")
+    places = rows.select("hour", "lat", "lon").distinct()
+    return rounded(found.join(places, ["hour", "lat", "lon"]).select("hour", "lat", "lon", "pm25", F.abs(r6("kriging_variance")).alias("kriging_variance")), "lat", "lon")
+
+
+@query("m4_kriging_pure_nugget", f"""
+WITH {PLACES}, {ward_values_sql()}, m AS (SELECT hour, avg(z) AS z FROM p JOIN h USING (hour) GROUP BY 1)
+SELECT m.hour, ward_name, {q6('coalesce(p.z, m.z)')} AS pm25 FROM m CROSS JOIN wards w
+LEFT JOIN p ON p.hour = m.hour AND sqrt(pow(p.lat - w.lat, 2) + pow(p.lon - w.lon, 2)) <= 1e-10""")
+def m4_nugget(spark, folder):
+    """Without spatial dependence a ward gets the mean of the places, or the value of a sensor right on it."""
+    found = krige(hourly_places(spark, folder), wards(spark), Variogram("spherical", 0.0, 0.1, 4.0), "hour", size=10)
+    return rounded(found.select("hour", "ward_name", "pm25"))
+
+
+@query("m3_forest_counts", f"""
+WITH {READINGS} SELECT count(*) AS n_rows FROM readings""")
+def m3_counts(spark, folder):
+    """Every reading is scored once."""
+    rows = anomaly_inputs(spark, folder)
+    return iforest.score_iforest(rows, iforest.fit_iforest(rows, trees=20)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 TERMS = ["pm10", "pm25_24h_mean", "humidity_pct", "is_monsoon"]
 LINEAR = f"""{READINGS}, x AS (
   SELECT event_id, pm25, pm10, pm25 * 0.5 + pm10 AS pm25_24h_mean, pm10 * pm10 / 100 AS humidity_pct, CASE WHEN source = 'view' THEN 1.0 ELSE 0.0 END AS is_monsoon FROM readings),

@@ -156,6 +156,26 @@ def a7_split(spark, folder):
     return valid.select("event_id", F.lit(True).alias("valid")).unionByName(held.select("event_id", F.lit(False).alias("valid")))
 
 
+TRAINING_SQL = [
+    ("station_id", "not_null", "station_id IS NULL"), ("timestamp_utc", "not_null", "timestamp_utc IS NULL"),
+    ("pm25_24h_mean", "in_range", "pm25_24h_mean NOT BETWEEN 0 AND 999.9"), ("pm25_lag_1h", "in_range", "pm25_lag_1h NOT BETWEEN 0 AND 999.9"),
+    ("temp_c", "in_range", "temp_c NOT BETWEEN -20 AND 50"), ("humidity_pct", "in_range", "humidity_pct NOT BETWEEN 0 AND 100"),
+]
+
+
+@query("a7_training_rules", f"""
+WITH {READINGS}, t AS (
+  SELECT CASE WHEN pm10 > 2 THEN station_id END AS station_id, CASE WHEN pm10 > 5 THEN timestamp_utc END AS timestamp_utc, pm25 * 4 AS pm25_24h_mean,
+         pm25 - 20 AS pm25_lag_1h, pm25 - 40 AS temp_c, pm10 * 1.1 AS humidity_pct FROM readings)
+""" + " UNION ALL ".join(f"""SELECT '{c}' AS "column", '{k}' AS "check", count(*) FILTER (WHERE {w}) AS n_failures FROM t""" for c, k, w in TRAINING_SQL))
+def a7_training(spark, folder):
+    v, k = F.col("pm25"), F.col("pm10")
+    rows = readings(spark, folder).select(
+        F.when(k > 2, F.col("station_id")).alias("station_id"), F.when(k > 5, F.col("timestamp_utc")).alias("timestamp_utc"), (v * 4).alias("pm25_24h_mean"),
+        (v - 20).alias("pm25_lag_1h"), (v - 40).alias("temp_c"), (k * 1.1).alias("humidity_pct"))
+    return quality.failure_counts(rows, quality.TRAINING_RULES)
+
+
 @query("a7_weather_rules", f"""
 WITH {READINGS}, w AS (SELECT pm25 - 15 AS temp_c, pm10 * 1.2 AS humidity_pct, pm25 AS wind_speed_kmh, pm10 * 4 AS wind_dir_deg, pm25 * 2 AS precip_mm, 600 + pm10 * 6 AS pressure_hpa FROM readings)
 SELECT c AS "column", 'in_range' AS "check", n AS n_failures FROM (
