@@ -1,7 +1,7 @@
 """Ridge regression from summed cross-products, shared or per key, one or many targets.
 
-Tasks reduce their rows to one small cross-product matrix per key; the matrices
-are added in two steps, so a key owning most rows never meets in one task.
+Tasks reduce their rows to one cross-product matrix per key; the matrices are
+added piece by piece in two steps, so a key owning most rows never meets in one task.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .chunks import as_list
 
-HELD_KEYS = 1000
+#: Bytes of matrices a task holds, numbers of a piece that travels, and groups of tasks that are added first.
+HELD_BYTES = 64 << 20
+PIECE = 1 << 15
 SLOTS = 32
 
 
@@ -32,21 +34,28 @@ class LinearModel:
 
 
 def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence[str] = (), slots: int = SLOTS) -> DataFrame:
-    """(by, n, gram): flattened cross-products of [1, x, y] summed per key."""
+    """(by, n, gram): flattened cross-products of [1, x, y] summed per key.
+
+    A task's matrix leaves it in pieces of at most ``PIECE`` numbers, which are
+    added per (key, piece, slot) and then per (key, piece): no group holds whole
+    matrices of many tasks, however wide they are.
+    """
     keys = list(by)
     rows = df.select(*keys, F.concat(F.array(F.lit(1.0)), x, y).alias("_v")).where(
         ~F.exists("_v", lambda v: v.isNull() | F.isnan(v)))
     types = "".join(f"{c} {t}, " for c, t in rows.dtypes if c != "_v")
-    schema = f"{types}_slot int, n long, gram array<double>"
+    schema = f"{types}_piece int, _slot int, n long, gram array<double>"
+    lines = max(1, PIECE // width)
+    held_most = max(1, HELD_BYTES // (8 * width * width))
 
     def reduce_batches(batches):
         held: dict = {}
 
         def flush():
-            out = pd.DataFrame([{**dict(zip(keys, k)), "_slot": 0, "n": n, "gram": g.ravel()} for k, (n, g) in held.items()],
-                               columns=[*keys, "_slot", "n", "gram"])
+            out = [{**dict(zip(keys, k)), "_piece": a // lines, "_slot": 0, "n": n, "gram": g[a:a + lines].ravel()}
+                   for k, (n, g) in held.items() for a in range(0, width, lines)]
             held.clear()
-            return out
+            return pd.DataFrame(out, columns=[*keys, "_piece", "_slot", "n", "gram"])
 
         for pdf in batches:
             groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
@@ -55,26 +64,24 @@ def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence
                 v = np.stack(part["_v"].to_numpy())
                 n, g = held.get(k, (0, 0.0))
                 held[k] = (n + len(v), g + v.T @ v)
-            if len(held) > HELD_KEYS:
+            if len(held) > held_most:
                 yield flush()
         if held:
             yield flush()
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[[0]][[*keys, "_slot"]].reset_index(drop=True)
-        total = np.zeros(width * width)
+        first = pdf.iloc[[0]][[*keys, "_piece", "_slot"]].reset_index(drop=True)
+        total = np.zeros(len(pdf["gram"].iloc[0]))
         for g in pdf["gram"]:
             total += g
         return first.assign(n=int(pdf["n"].sum()), gram=[total])
 
     partial = rows.mapInPandas(reduce_batches, schema)
     partial = partial.withColumn("_slot", (F.spark_partition_id() % slots).cast("int"))
-    once = partial.groupBy(*keys, "_slot").applyInPandas(add, schema)
-    if not keys:
-        once = once.withColumn("_slot", F.lit(0))
-        return once.groupBy("_slot").applyInPandas(add, schema).select("n", "gram")
-    twice = once.withColumn("_slot", F.lit(0)).groupBy(*keys).applyInPandas(add, schema)
-    return twice.select(*keys, "n", "gram")
+    once = partial.groupBy(*keys, "_piece", "_slot").applyInPandas(add, schema)
+    twice = once.withColumn("_slot", F.lit(0)).groupBy(*keys, "_piece").applyInPandas(add, schema)
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "gram"))), lambda p: p["gram"]))
+    return twice.groupBy(*keys).agg(F.max("n").alias("n"), whole.alias("gram")).where("n is not null").select(*keys, "n", "gram")
 
 
 def solve(gram: np.ndarray, p: int, q: int, ridge: float):

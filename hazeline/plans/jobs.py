@@ -26,7 +26,10 @@ from ..operators.spatial import Variogram, fit_variogram, krige, semivariogram
 from ..operators.windows import chronological_split, first_n, latest_per_key, sequences
 from ..session import stored
 from ..sources.feeds import primary_else_fallback, union_sources
-from ..sources.tables import history, sensor_rows
+from ..schemas import FEATURES
+from ..sources.messages import online_snapshot
+from ..sources.tables import append, history, read_day_table, sensor_rows
+from .features import compute_features
 
 TS = "timestamp_utc"
 
@@ -79,6 +82,12 @@ def publish_forecasts(features: DataFrame, hours: int = 24) -> DataFrame:
     return forecast_all(newest, "station_id", "pm25", F.col(TS), hours)
 
 
+def features_to_online(readings: DataFrame, weather: DataFrame | None, calendar: DataFrame, path: str) -> DataFrame:
+    """The feature job: compute, append to the stored table, read it back, newest row per station as keyed JSON."""
+    append(compute_features(readings, weather, calendar), path, FEATURES, stamp="computed_at")
+    return online_snapshot(read_day_table(readings.sparkSession, path, FEATURES), "station_id", TS, "computed_at")
+
+
 def hazard_alerts(latest: DataFrame, limit: float = HAZARD_PM25) -> DataFrame:
     """Messages for stations above the hazardous limit."""
     text = hazard_message(F.col("station_id"), F.col("pm25"), F.coalesce("aqi_us", F.lit(0)), F.date_format(TS, "yyyy-MM-dd HH:mm"), F.lit("stable"))

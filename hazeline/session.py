@@ -63,7 +63,12 @@ def _application_dir(spark: SparkSession) -> str:
 
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application kept in the shared folder; frames read from it end here."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    delete_path(spark, _application_dir(spark))
+
+
+def delete_path(spark: SparkSession, name: str) -> None:
+    """Delete a folder of our own in whatever file system it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -17,8 +17,10 @@ from ..operators.faults import alert_rows
 from ..operators.iforest import Forest, score_iforest
 from ..operators.quality import READING_RULES, Rule, check_rows
 from ..operators.windows import last_rows, latest_per_key, stuck_rows
+from ..constants import DEFAULT_LAST_VALUE
 from ..functions.air import impossible, no_nan
-from ..session import work_dir
+from ..operators.forecasts import last_known
+from ..session import delete_path, work_dir
 
 LATE = "2 hours"
 
@@ -107,6 +109,7 @@ class BatchState:
 
     Version n is written while batch n runs and read by batch n + 1. A repeated
     batch rewrites its own version from the same input, so replays are harmless.
+    Version n - 2 goes once n is there: no batch reads it again.
     """
 
     def __init__(self, path: str, schema: T.StructType):
@@ -119,6 +122,8 @@ class BatchState:
 
     def write(self, df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
+        if batch >= 2:
+            delete_path(df.sparkSession, f"{self.path}/v{batch - 2}")
 
 
 def _start(df: DataFrame, step: Callable[[DataFrame, int], None], progress: str) -> StreamingQuery:
@@ -152,19 +157,33 @@ def fault_stream(df: DataFrame, path: str, ts: str = "timestamp_utc", value: str
     return _start(df, step, f"{path}/progress")
 
 
-def latest_stream(df: DataFrame, path: str, key: str, ts: str, ttl: str = "2 hours") -> StreamingQuery:
-    """Newest row per station with its expiry, upserted per micro-batch to ``path/state``."""
+def latest_stream(df: DataFrame, path: str, key: str, ts: str, ttl: str = "2 hours", stale: str = "10 minutes", ties: Sequence[str] = ()) -> StreamingQuery:
+    """Newest row per station with its expiry, upserted per micro-batch to ``path/state``.
+
+    Rows that have been expired for longer than ``stale``, seen from the newest
+    row of all, leave the state. ``ties`` decide between rows of equal time.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField("expires_at", df.schema[ts].dataType)])
     state = BatchState(f"{path}/state", schema)
 
     def step(batch: DataFrame, number: int) -> None:
-        fresh = latest_per_key(batch, key, [ts]).withColumn("expires_at", F.col(ts) + F.expr(f"interval {ttl}"))
+        fresh = latest_per_key(batch, key, [ts, *ties]).withColumn("expires_at", F.col(ts) + F.expr(f"interval {ttl}"))
         both = state.before(batch.sparkSession, number).unionByName(fresh)
-        state.write(latest_per_key(both, key, [ts]).select(*schema.names), number)
+        rows = latest_per_key(both, key, [ts, *ties]).select(*schema.names)
+        newest = both.agg(F.max(ts)).first()[0]
+        state.write(rows if newest is None else rows.where(F.col("expires_at") + F.expr(f"interval {stale}") >= F.lit(newest)), number)
 
     return _start(df, step, f"{path}/progress")
 
 
+def served_values(keys: DataFrame, state: DataFrame, now, key: str, value: str, stale: str = "10 minutes", default: float = DEFAULT_LAST_VALUE) -> DataFrame:
+    """(key, served) for every key: the live value, else one expired for at most ``stale``, else the default."""
+    known = state.select(F.col(key).alias("_k"), F.col(value).alias("_v"), "expires_at")
+    live = F.when(F.col("expires_at") >= F.lit(now), F.col("_v"))
+    old = F.when(F.col("expires_at") + F.expr(f"interval {stale}") >= F.lit(now), F.col("_v"))
+    return keys.join(known, F.col(key) == F.col("_k"), "left").select(key, last_known(live, old, default).alias("served"))
+
+
 def last_batch(query: StreamingQuery, path: str) -> str:
     """Folder of the newest state version of a drained query."""
     done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hazeline.plans import jobs
+from hazeline.session import work_dir
+from hazeline.sources.tables import default_calendar
 
 from .base import READINGS, hourly, q6, query, readings, rounded, scored, ward_values_sql, wards
 from .scores import DIRTY, A7_RULES, EVALUATIONS, dirty, evaluations
@@ -80,3 +82,14 @@ def ward_hours(spark, folder):
     """Hours estimated per ward."""
     rows = jobs.ward_estimates(readings(spark, folder), wards(spark))
     return rows.groupBy("station_id", "ward_name").agg(F.count("pm25").alias("n"))
+
+
+@query("flow_features_to_online", f"""
+WITH {READINGS}, s AS (SELECT station_id, timestamp_utc, pm25, avg(pm25) OVER (PARTITION BY station_id ORDER BY timestamp_utc RANGE BETWEEN INTERVAL '86399999999 microseconds' PRECEDING AND CURRENT ROW) AS m FROM readings)
+SELECT 'features:' || station_id || ':latest' AS key, pm25, {q6('m')} AS pm25_24h_mean, hour(timestamp_utc) AS hour_of_day FROM s
+QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc DESC) = 1""")
+def features_online(spark, folder):
+    """Features computed, appended, read back and published as the newest row per station."""
+    snapshot = jobs.features_to_online(readings(spark, folder), None, default_calendar(spark), work_dir(spark, "feature-table"))
+    row = F.from_json("value", "pm25 double, pm25_24h_mean double, hour_of_day long").alias("r")
+    return rounded(snapshot.select("key", row).select("key", "r.*"), "pm25")

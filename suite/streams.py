@@ -28,6 +28,17 @@ def message_stream(spark, folder):
     return to_messages(rows.select("station_id", "source", "lat", "lon", TS, "pm25", "pm10"))
 
 
+def in_batches(rows, n: int = 4):
+    """A frame as a stream of ``n`` micro-batches in time order: one file each, written one after the other."""
+    spark, path = rows.sparkSession, work_dir(rows.sparkSession, "batches")
+    first, last = rows.agg(F.min(TS), F.max(TS)).first()
+    cuts = [first + (last - first) * i / n for i in range(1, n)]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.where(F.col(TS) >= F.lit(low))
+        (part if high is None else part.where(F.col(TS) < F.lit(high))).coalesce(1).write.mode("append").parquet(f"{path}/rows.parquet")
+    return jobs.stream_table(spark, path, "rows", 1)
+
+
 @query("s9_stream_ingest", f"""
 WITH {READINGS} SELECT station_id, source, lat, lon, timestamp_utc, pm25, pm10, CAST(timestamp_utc AS DATE) AS date, true AS stamped FROM readings WHERE pm25 <= 200""")
 def s9(spark, folder):
@@ -85,7 +96,7 @@ SELECT station_id, strftime(timestamp_utc, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp_
        CASE WHEN pm25 > 999 THEN 'sensor_fault_impossible_value' ELSE 'sensor_fault_stuck_zero' END AS alert_type FROM z WHERE stuck OR pm25 > 999""")
 def x5(spark, folder):
     path = work_dir(spark, "faults")
-    jobs.fault_stream(faulty(reading_stream(spark, folder)), path).awaitTermination()
+    jobs.fault_stream(in_batches(faulty(readings(spark, folder))), path).awaitTermination()
     return spark.read.parquet(f"{path}/alerts").select("station_id", TS, "value", "alert_type")
 
 
@@ -97,18 +108,15 @@ def x6(spark, folder):
 
 
 @query("x7_latest_state", f"""
-WITH {READINGS} SELECT station_id, timestamp_utc, pm25, timestamp_utc + INTERVAL 2 HOUR AS expires_at,
-  CASE WHEN timestamp_utc + INTERVAL 2 HOUR >= (SELECT max(timestamp_utc) FROM readings) THEN pm25 ELSE 50.0 END AS served FROM readings
-QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc DESC) = 1""")
+WITH {READINGS}, l AS (SELECT station_id, timestamp_utc, pm25 FROM readings QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY timestamp_utc DESC) = 1)
+SELECT station_id, CASE WHEN timestamp_utc + INTERVAL 2 HOUR + INTERVAL 10 MINUTE >= (SELECT max(timestamp_utc) FROM readings) THEN coalesce(nullif(pm25, 0), 50.0) ELSE 50.0 END AS served FROM l""")
 def x7(spark, folder):
-    """Newest value per station; one that has expired is served as the default."""
-    path = work_dir(spark, "latest")
-    rows = reading_stream(spark, folder).select("station_id", TS, "pm25")
-    run = jobs.latest_stream(rows, path, "station_id", TS)
+    """Newest value per station over several micro-batches; one that has been expired for long is served as the default."""
+    path, rows = work_dir(spark, "latest"), readings(spark, folder).select("station_id", TS, "pm25")
+    run = jobs.latest_stream(in_batches(rows), path, "station_id", TS, ties=["pm25"])
     run.awaitTermination()
-    state = spark.read.parquet(jobs.last_batch(run, path))
-    now = state.agg(F.max(TS)).first()[0]
-    return state.withColumn("served", F.when(F.col("expires_at") >= F.lit(now), F.col("pm25")).otherwise(50.0))
+    now = rows.agg(F.max(TS)).first()[0]
+    return jobs.served_values(rows.select("station_id").distinct(), spark.read.parquet(jobs.last_batch(run, path)), now, "station_id", "pm25")
 
 
 @query("x8_activity_sessions", """
