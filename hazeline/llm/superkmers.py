@@ -45,8 +45,17 @@ BUCKET, OVERLAP = 24 << 20, 3
 LONGEST = 1024
 MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
-PACKED = "bucket int, doc long, key long, ranges array<int>, blob binary"
-MARKS = "doc long, key long, ranges array<int>"
+#: Types of document, text key, minimiser, first window and string length in a packed block, and its compression.
+LAYOUT = (np.int64, np.int32, np.uint32, np.int32, np.int32)
+LEVEL = 3
+
+PACKED = "bucket int, doc long, key int, ranges array<int>, blob binary"
+MARKS = "doc long, key int, ranges array<int>"
+
+
+def short_key(text_col: str):
+    """32 bits of a text's hash: enough to tell rows of one id apart."""
+    return F.shiftright(text_key(F.col(text_col)), 32).cast("int")
 
 
 def minimisers(words: list[bytes], k: int, m: int) -> np.ndarray:
@@ -78,7 +87,8 @@ def packed_runs(words: list[bytes], k: int, m: int) -> Iterator[tuple[bytes, int
         starts, ends = map(list, zip(*pieces))
     joined = b" ".join(words)
     at = [0, *accumulate(len(w) + 1 for w in words)]
-    for s, e, v in zip(starts, ends, values[starts].tolist()):
+    # The upper half of a minimiser is enough to deal and group by; windows are compared whole.
+    for s, e, v in zip(starts, ends, (values[starts] >> np.uint64(32)).tolist()):
         yield joined[at[s]:at[e + k - 1] - 1], s, e - s, v
 
 
@@ -96,18 +106,19 @@ def merged(ranges: list[tuple[int, int]]) -> list[int]:
 def pack(entries: list[tuple[int, int, int, int, bytes]]) -> bytes:
     """One compressed block of (doc, key, start, minimiser, string) entries."""
     doc, key, start, value, text = zip(*entries)
-    parts = [np.array([len(entries)], np.int64), np.array(doc, np.int64), np.array(key, np.int64), np.array(value, np.uint64),
-             np.array(start, np.int64), np.array([len(t) for t in text], np.int64)]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([*(p.tobytes() for p in parts), *text]))
+    parts = [np.array(c, kind).tobytes() for c, kind in zip(([len(entries)], doc, key, value, start, list(map(len, text))), (np.int64, *LAYOUT))]
+    return zstandard.ZstdCompressor(level=LEVEL).compress(b"".join([*parts, *text]))
 
 
 def unpack(blob: bytes) -> tuple[list[np.ndarray], list[bytes]]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
-    kinds = [np.int64, np.int64, np.uint64, np.int64, np.int64]
-    columns = [np.frombuffer(raw, kind, n, 8 + 8 * n * i) for i, kind in enumerate(kinds)]
-    at = [8 + 40 * n, *(8 + 40 * n + np.cumsum(columns[4])).tolist()]
-    return columns[:4], [raw[a:b] for a, b in zip(at, at[1:])]
+    columns, at = [], 8
+    for kind in LAYOUT:
+        columns.append(np.frombuffer(raw, kind, n, at))
+        at += columns[-1].nbytes
+    ends = [at, *(at + np.cumsum(columns[4], dtype=np.int64)).tolist()]
+    return columns[:4], [raw[a:b] for a, b in zip(ends, ends[1:])]
 
 
 class Combiner:
@@ -154,17 +165,18 @@ class Combiner:
         rows = [(b, None, None, None, pack(entries)) for b, entries in grouped.items()]
         rows += [((doc ^ key) % self.buckets, doc, key, merged(ranges), None) for (doc, key), ranges in self.marks.items()]
         self.clear()
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.binary()]
+        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
         columns = zip(*rows) if rows else [[]] * 5
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=["bucket", "doc", "key", "ranges", "blob"])
 
 
 def repeats(docs: list[int], keys: list[int], starts: list[int], texts: list[bytes], k: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
     """Word ranges, by (doc, key), of the windows of these packed strings that also start in a smaller document."""
-    entry, window, hashes = [], [], []
+    entry, window, hashes, cuts = [], [], [], []
     for e, text in enumerate(texts):
         at = [0, *accumulate(len(w) + 1 for w in text.split(b" "))]
         n = len(at) - k
+        cuts.append(at)
         entry += [e] * n
         window += range(n)
         hashes += [xxhash.xxh64_intdigest(text[a:b - 1]) for a, b in zip(at, at[k:])]
@@ -178,7 +190,7 @@ def repeats(docs: list[int], keys: list[int], starts: list[int], texts: list[byt
     found: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
     def string(e: int, j: int) -> bytes:
-        return b" ".join(texts[e].split(b" ")[j:j + k])
+        return texts[e][cuts[e][j]:cuts[e][j + k] - 1]
 
     for a, b in zip(heads[low < high].tolist(), ends[low < high].tolist()):
         group = [(string(e, j), e, j) for e, j in zip(entry[a:b].tolist(), window[a:b].tolist())]
@@ -194,7 +206,7 @@ def repeats(docs: list[int], keys: list[int], starts: list[int], texts: list[byt
 
 def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, key, ranges): word ranges of each document that repeat windows of smaller documents, as flat pairs."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text")).where("doc is not null")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), short_key(text_col).alias("key"), F.col(text_col).alias("text")).where("doc is not null")
     size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     # More text makes more buckets, not larger ones.
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * OVERLAP / BUCKET))
@@ -239,7 +251,7 @@ def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str
                     for who, ranges in part.items():
                         found.setdefault(who, []).extend(ranges)
                     batch = []
-        return pa.table({"doc": pa.array([d for d, _ in found], pa.int64()), "key": pa.array([q for _, q in found], pa.int64()),
+        return pa.table({"doc": pa.array([d for d, _ in found], pa.int64()), "key": pa.array([q for _, q in found], pa.int32()),
                          "ranges": pa.array([merged(r) for r in found.values()], pa.list_(pa.int32()))})
 
     packed = rows.mapInArrow(split, PACKED)
@@ -250,7 +262,7 @@ def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str
 def without_repeats(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept) of every row; ``kept`` is the words left, joined by one space."""
     marks = repeated_ranges(docs, k, m, id_col, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), short_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
     marked = rows.join(marks, (F.col("id") == F.col("doc")) & (F.col("text_key") == F.col("key")), "left").select("id", "ranges", "text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from hazeline.llm import superkmers
@@ -65,7 +66,7 @@ def test_equal_windows_share_a_minimiser_and_runs_cover_all():
         assert seen.setdefault(tuple(words[i:i + 6]), v) == v
     at = 0
     for text, start, windows, value in packed_runs(words, 6, 2):
-        assert start == at and text.split(b" ") == words[start:start + windows + 5] and (values[start:start + windows] == value).all()
+        assert start == at and text.split(b" ") == words[start:start + windows + 5] and (values[start:start + windows] >> np.uint64(32) == value).all()
         at += windows
     assert at == len(values)
 
