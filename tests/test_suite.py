@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from suite import catalog
 from suite.check import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="shared tables are absent")
 
@@ -29,6 +30,7 @@ def test_query(spark, con, name):
 
 def test_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
