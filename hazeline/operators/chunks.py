@@ -94,15 +94,17 @@ def chunk_offsets(df: DataFrame, key: list[str], chunk: str) -> DataFrame:
 
 def numbered(
     df: DataFrame, key: str | Sequence[str], ts: str, ties: Sequence[str] = (),
-    *, seq: str = "_seq", total: str | None = None, size_us: int = CHUNK_US,
+    *, seq: str = "_seq", total: str | None = None, size_us: int | None = None,
 ) -> DataFrame:
     """Running row number per key in time order, without gathering a key in one task.
 
+    Chunks are as long as the densest key allows, measured unless given.
+
     Rows are numbered inside (key, time chunk); chunk counts, one row per chunk,
     supply the number of rows before it.
     """
     keys = as_list(key)
-    base = df.withColumn("_chunk", time_chunk(micros(F.col(ts)), size_us))
+    base = df.withColumn("_chunk", time_chunk(micros(F.col(ts)), size_us or measured_chunk(df, keys, ts)))
     local = Window.partitionBy(*keys, "_chunk").orderBy(ts, *ties)
     rows = base.withColumn("_local", F.row_number().over(local))
     joined = rows.join(chunk_offsets(base, keys, "_chunk"), [*keys, "_chunk"])
@@ -136,7 +138,7 @@ def with_row_halo(
 
 def over_rows(
     df: DataFrame, key: str | Sequence[str], ts: str, exprs, *, before: int = 0, after: int = 0,
-    ties: Sequence[str] = (), size: int = BLOCK_ROWS, size_us: int = CHUNK_US, keep: Sequence[str] = (),
+    ties: Sequence[str] = (), size: int = BLOCK_ROWS, size_us: int | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Evaluate row-offset window expressions exactly, with block-sized partitions.
 

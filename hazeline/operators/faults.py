@@ -21,8 +21,9 @@ def alert_rows(df: DataFrame, kind: str, ts: str = "timestamp_utc", value: str =
 
 
 def sensor_faults(df: DataFrame, ts: str = "timestamp_utc", value: str = "pm25", n: int = 3, ties=(), **kw) -> DataFrame:
-    """Stuck-at-zero rows (per station, in time order) and impossible values."""
-    stuck = stuck_rows(df.select("station_id", ts, *ties, value), "station_id", ts, value, n, ties=ties, **kw)
+    """Stuck-at-zero rows (per station, in time order, then by ``ties`` or else the value) and impossible values."""
+    ties = [*ties] or [value]
+    stuck = stuck_rows(df.select(*dict.fromkeys(["station_id", ts, *ties, value])), "station_id", ts, value, n, ties=ties, **kw)
     high = df.where(impossible(F.col(value)))
     return alert_rows(stuck, "sensor_fault_stuck_zero", ts, value).unionByName(
         alert_rows(high, "sensor_fault_impossible_value", ts, value))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..constants import LAG_ROWS
 from .chunks import (
-    BLOCK_ROWS, CHUNK_US, HOUR_US, as_list, measured_chunk, numbered, over_rows, time_chunk, with_time_halo,
+    BLOCK_ROWS, HOUR_US, as_list, measured_chunk, numbered, over_rows, time_chunk, with_time_halo,
 )
 from .trailing import trailing_columns
 from ..functions.timefns import micros
@@ -50,7 +50,7 @@ def trailing(
 def row_lags(
     df: DataFrame, key: str | Sequence[str], ts: str, value: str, lags: Sequence[int] = LAG_ROWS,
     *, names: Sequence[str] | None = None, ties: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
-    chunk_us: int = CHUNK_US,
+    chunk_us: int | None = None,
 ) -> DataFrame:
     """Values a fixed number of rows earlier in the same series."""
     names = names or [f"{value}_lag_{n}h" for n in lags]
@@ -96,7 +96,7 @@ def last_rows(df: DataFrame, key: str | Sequence[str], ts: str, n: int, ties: Se
 
 def forward_fill(
     df: DataFrame, key: str | Sequence[str], ts: str, values: Sequence[str], default: float | None = 0.0,
-    *, ties: Sequence[str] = (), chunk_us: int = CHUNK_US,
+    *, ties: Sequence[str] = (), chunk_us: int | None = None,
 ) -> DataFrame:
     """Last non-null value so far, then a default.
 
@@ -105,7 +105,7 @@ def forward_fill(
     precede the first value of their own chunk.
     """
     keys = as_list(key)
-    base = df.withColumn("_chunk", time_chunk(micros(F.col(ts)), chunk_us))
+    base = df.withColumn("_chunk", time_chunk(micros(F.col(ts)), chunk_us or measured_chunk(df, keys, ts)))
     rank = F.struct(ts, *ties)
     ends = base.groupBy(*keys, "_chunk").agg(
         *[F.max_by(v, F.when(F.col(v).isNotNull(), rank)).alias(f"_end_{v}") for v in values])
@@ -127,7 +127,7 @@ def forward_fill(
 def sequences(
     df: DataFrame, key: str | Sequence[str], ts: str, inputs: Sequence[str], target: str,
     n_in: int = 48, n_out: int = 24, *, ties: Sequence[str] = (), block_rows: int = BLOCK_ROWS,
-    chunk_us: int = CHUNK_US,
+    chunk_us: int | None = None,
 ) -> DataFrame:
     """Complete sliding windows: ``n_in`` input rows followed by ``n_out`` targets, stride 1.
 
@@ -160,7 +160,7 @@ def last_context(df: DataFrame, key: str | Sequence[str], ts: str, value: str, n
 
 def stuck_rows(
     df: DataFrame, key: str | Sequence[str], ts: str, value: str, n: int = 3, stuck_at: float = 0.0,
-    *, ties: Sequence[str] = (), block_rows: int = BLOCK_ROWS, chunk_us: int = CHUNK_US,
+    *, ties: Sequence[str] = (), block_rows: int = BLOCK_ROWS, chunk_us: int | None = None,
 ) -> DataFrame:
     """Rows that are at least the n-th in a row equal to ``stuck_at``; NULL breaks a run.
 
@@ -189,7 +189,7 @@ def first_values(df: DataFrame, key: str | Sequence[str], ts: str, columns: dict
 
 
 def chronological_split(
-    df: DataFrame, key: str | Sequence[str], ts: str, fraction: float = 0.8, ties: Sequence[str] = (), *, chunk_us: int = CHUNK_US,
+    df: DataFrame, key: str | Sequence[str], ts: str, fraction: float = 0.8, ties: Sequence[str] = (), *, chunk_us: int | None = None,
 ) -> DataFrame:
     """Add ``split`` = train for the first ``int(n * fraction)`` rows of each key, else valid."""
     rows = numbered(df, key, ts, ties, total="_total", size_us=chunk_us)

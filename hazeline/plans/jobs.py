@@ -78,7 +78,7 @@ def drift_check(features: DataFrame, predictions: DataFrame, evaluations: DataFr
 
 def publish_forecasts(features: DataFrame, hours: int = 24) -> DataFrame:
     """Forecast points of every station from its newest feature row."""
-    newest = latest_per_key(features.select("station_id", TS, "pm25"), "station_id", [TS])
+    newest = latest_per_key(features.select("station_id", TS, "pm25"), "station_id", [TS, "pm25"])
     return forecast_all(newest, "station_id", "pm25", F.col(TS), hours)
 
 

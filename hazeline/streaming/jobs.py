@@ -146,11 +146,11 @@ def fault_stream(df: DataFrame, path: str, ts: str = "timestamp_utc", value: str
         try:
             carried = state.before(batch.sparkSession, number)
             both = carried.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
-            stuck = stuck_rows(both, "station_id", ts, value, n).where("_new")
+            stuck = stuck_rows(both, "station_id", ts, value, n, ties=[value]).where("_new")
             alerts = alert_rows(stuck, "sensor_fault_stuck_zero", ts, value).unionByName(
                 alert_rows(rows.where(impossible(F.col(value))), "sensor_fault_impossible_value", ts, value))
             alerts.write.mode("overwrite").parquet(f"{path}/alerts/batch={number}")
-            state.write(last_rows(both.drop("_new"), "station_id", ts, n - 1).select(*columns), number)
+            state.write(last_rows(both.drop("_new"), "station_id", ts, n - 1, ties=[value]).select(*columns), number)
         finally:
             rows.unpersist()
 
