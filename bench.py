@@ -13,7 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from hazeline.session import build_session  # noqa: E402
+from hazeline.session import build_session, clear_work  # noqa: E402
 from suite import catalog  # noqa: E402
 
 HEADLINE = [
@@ -39,6 +39,7 @@ def main() -> None:
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
+        clear_work(spark)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
                       "sf": os.path.basename(folder.rstrip("/")).replace("sf", "")}))
 

@@ -178,6 +178,32 @@ def predict_seasonal(model: SeasonalModel, df: DataFrame, ts: str) -> DataFrame:
     return out.select(*df.columns, "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"))
 
 
+def seasonal_contributions(model: SeasonalModel, df: DataFrame, ts: str) -> DataFrame:
+    """Add ``baseline``, the mean prediction, and ``parts``, each term's exact contribution: together they are yhat."""
+    spec = model.spec
+    names, x = seasonal_terms(spec, ts)
+    ready = ensure_columns(df, dict.fromkeys(spec.regressors, 0.0))
+    if model.shared is not None:
+        m = model.shared
+        coef, mean, intercept = (F.array(*[F.lit(float(v)) for v in c]) for c in (m.coef[:, 0], m.mean, [m.intercept[0]]))
+        out, intercept = ready, intercept[0]
+    else:
+        fitted = model.per_key.select(*model.by, F.col("intercept").alias("_b0"), F.col("coef").alias("_b"), F.col("mean").alias("_m"))
+        out = ready.join(small_side(stored(fitted, "station-models"), 20_000), model.by)
+        coef, mean, intercept = F.col("_b"), F.col("_m"), F.col("_b0")
+    named = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("f"), F.zip_with(x, mean, lambda a, b: a - b).alias("d"), coef.alias("b"))
+    parts = F.transform(named, lambda p: F.struct(p["f"].alias("feature"), (p["d"] * p["b"]).alias("contribution")))
+    return out.select(*df.columns, (intercept + dot(mean, coef)).alias("baseline"), parts.alias("parts"))
+
+
+def served_forecasts(predicted: DataFrame, station: str, ts: str, label: str = "seasonal_regression") -> DataFrame:
+    """Published points from yhat and its interval, with the columns of ``forecast_all``."""
+    points = clamp_forecast(F.col("yhat"), F.greatest(F.col("yhat_lower"), F.lit(0.0)), F.col("yhat_upper"))
+    clamped = F.greatest(F.lit(0.0), F.least(F.lit(500.0), F.col("yhat")))
+    return predicted.select(station, "horizon", F.col(ts).alias("hour"), *[c.alias(n) for n, c in points.items()],
+                            aqi_label(aqi_category(clamped, missing=0)).alias("aqi_category"), F.lit(label).alias("model_used"))
+
+
 def future_hours(df: DataFrame, key: str | Sequence[str], ts: str, hours: int = 24) -> DataFrame:
     """The next hours after each key's newest row; regressors are absent, hence 0."""
     keys = as_list(key)

@@ -17,7 +17,7 @@ from ..functions.text import drift_message, hazard_message
 from ..operators.drift import psi, retrain_decision, worst_feature
 from ..operators.faults import sensor_faults, statistical_alerts
 from ..operators.forecasts import (
-    SeasonalModel, SeasonalSpec, fit_multistep, fit_seasonal, forecast_all, predict_multistep, predict_seasonal,
+    SeasonalModel, SeasonalSpec, fit_multistep, fit_seasonal, forecast_all, predict_multistep, predict_seasonal, served_forecasts,
 )
 from ..operators.iforest import Forest, fit_iforest, score_iforest
 from ..operators.metrics import align, compare, degradation, optimize_weights, promote, regression_metrics, rolling_baseline
@@ -66,9 +66,9 @@ def drift_check(features: DataFrame, predictions: DataFrame, evaluations: DataFr
     worst = worst_feature(psi(base, current, columns))
     error = regression_metrics(predictions, "y", "yhat").select(F.col("rmse").alias("current_rmse"))
     usual = rolling_baseline(evaluations.withColumn("_m", F.lit(0)), ["_m"], "day", "rmse").select(F.col("baseline").alias("baseline_rmse"))
-    # Three single rows side by side, joined on a constant.
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    row = one(worst).join(one(error), "_one").join(one(usual), "_one", "left").drop("_one")
+    # Three single rows, one above the other, become one.
+    parts = union_sources(worst, error, usual)
+    row = parts.agg(*[F.max(c).alias(c) for c in parts.columns]).where("worst_feature is not null and current_rmse is not null")
     error_parts = degradation(F.col("current_rmse"), F.col("baseline_rmse"), RMSE_DEGRADATION)
     row = row.withColumns(error_parts).withColumn("event_period", in_event_period(F.lit(asof)))
     row = row.withColumns(retrain_decision(F.col("max_psi"), F.col("degraded"), F.col("event_period")))
@@ -82,6 +82,16 @@ def publish_forecasts(features: DataFrame, hours: int = 24) -> DataFrame:
     return forecast_all(newest, "station_id", "pm25", F.col(TS), hours)
 
 
+def publish_model_forecasts(features: DataFrame, model: SeasonalModel, hours: int = 24) -> DataFrame:
+    """Forecast points of every station from its model, clamped and labelled; the closed form where it has none."""
+    newest = latest_per_key(features.select("station_id", TS, "pm25"), "station_id", [TS, "pm25"])
+    closed = forecast_all(newest, "station_id", "pm25", F.col(TS), hours)
+    ahead = closed.select("station_id", "horizon", F.col("hour").alias(TS))
+    own = served_forecasts(predict_seasonal(model, ahead, TS), "station_id", TS)
+    rest = closed.join(own.select(F.col("station_id").alias("_s"), F.col("horizon").alias("_h")), (F.col("station_id") == F.col("_s")) & (F.col("horizon") == F.col("_h")), "left_anti")
+    return own.unionByName(rest)
+
+
 def features_to_online(readings: DataFrame, weather: DataFrame | None, calendar: DataFrame, path: str) -> DataFrame:
     """The feature job: compute, append to the stored table, read it back, newest row per station as keyed JSON."""
     append(compute_features(readings, weather, calendar), path, FEATURES, stamp="computed_at")

@@ -198,3 +198,43 @@ SELECT station_id, CAST(h AS INTEGER) AS horizon, t + INTERVAL 1 HOUR * h AS hou
 def m7(spark, folder):
     rows = latest(spark, folder).withColumn("last", F.when(F.col("pm25") >= 20, F.col("pm25")).otherwise(0.0))
     return forecasts.forecast_all(rows, "station_id", "last", F.col(TS), 72)
+
+
+def trend_model(spark, folder):
+    """A straight line per station: the seasonal regression with nothing but its trend."""
+    rows = readings(spark, folder).select("event_id", "station_id", TS, "pm25")
+    spec = forecasts.seasonal_spec(rows, TS, hinges=0, seasons=(), regressors=(), ridge=0.0)
+    return rows, forecasts.fit_seasonal(rows, TS, by="station_id", spec=spec)
+
+
+LINES = f"""{READINGS}, l AS (
+  SELECT station_id, regr_slope(pm25, (epoch(timestamp_utc) - 1704067200)) AS b, regr_intercept(pm25, (epoch(timestamp_utc) - 1704067200)) AS a, avg((epoch(timestamp_utc) - 1704067200)) AS t, avg(pm25) AS y,
+         sqrt(greatest(var_pop(pm25) - regr_slope(pm25, (epoch(timestamp_utc) - 1704067200)) * covar_pop(pm25, (epoch(timestamp_utc) - 1704067200)), 0)) AS sd FROM readings GROUP BY 1)"""
+
+
+@query("m1_trend_by_station", f"WITH {LINES} SELECT event_id, round(y + b * ((epoch(timestamp_utc) - 1704067200) - t) + 1e-8, 4) AS yhat, round(y + b * ((epoch(timestamp_utc) - 1704067200) - t) - 1.2816 * sd + 1e-8, 4) AS yhat_lower FROM readings JOIN l USING (station_id)")
+def m1_trend(spark, folder):
+    rows, model = trend_model(spark, folder)
+    found = forecasts.predict_seasonal(model, rows, TS)
+    return found.select("event_id", *[F.round(F.col(c) + 1e-8, 4).alias(c) for c in ("yhat", "yhat_lower")])
+
+
+@query("m5_model_contributions", f"WITH {LINES} SELECT event_id, round(y + 1e-8, 4) AS baseline, 'trend' AS feature, round(b * ((epoch(timestamp_utc) - 1704067200) - t) + 1e-8, 4) AS contribution FROM readings JOIN l USING (station_id)")
+def m5_model(spark, folder):
+    """Contributions of fitted station models."""
+    rows, model = trend_model(spark, folder)
+    found = forecasts.seasonal_contributions(model, rows, TS)
+    rows = found.select("event_id", "baseline", F.inline("parts"))
+    return rows.select("event_id", "feature", *[F.round(F.col(c) + 1e-8, 4).alias(c) for c in ("baseline", "contribution")])
+
+
+@query("m7_model_forecasts", f"""
+WITH {LINES}, n AS (SELECT station_id, max(timestamp_utc) AS last FROM readings GROUP BY 1),
+f AS (SELECT station_id, CAST(h AS INTEGER) AS horizon, y + b * (epoch(last) - 1704067200 + 3600 * h - t) AS v, sd FROM l JOIN n USING (station_id), range(1, 25) r(h))
+SELECT station_id, horizon, round(greatest(0, least(500, v)) + 1e-8, 2) AS pm25_predicted, 'seasonal_regression' AS model_used FROM f""")
+def m7_model(spark, folder):
+    """Published forecasts from station models."""
+    from hazeline.plans.jobs import publish_model_forecasts
+
+    rows, model = trend_model(spark, folder)
+    return publish_model_forecasts(rows, model).select("station_id", "horizon", "pm25_predicted", "model_used")
