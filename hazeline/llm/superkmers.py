@@ -9,6 +9,11 @@ threefold overlap. In a bucket only minimisers that more than one document has
 are looked at: their windows are sorted by hash, runs of equal hashes are
 compared as strings, and each window's smallest document is known exactly.
 
+A run of words that very many windows have as their minimiser would make one
+bucket of all their surroundings. So runs are counted over all texts first, and
+hot ones are ranked behind all others: they stay minimisers only of windows that
+consist of hot runs alone, which are passages that the combiner below keeps once.
+
 A map-side combiner keeps one packed string per content and task: of equal
 strings only the one from the smallest document travels, the others are marked
 at once, as all their windows start in a smaller document. So a passage that a
@@ -34,6 +39,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import stored
 from .common import byte_texts, text_key
 
 WINDOW, RUN = 13, 3
@@ -45,6 +51,12 @@ BUCKET, OVERLAP = 24 << 20, 3
 LONGEST = 1024
 MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
+#: A minimiser is hot from this share of a bucket, and never under this share of all runs, so that 2 / LEAST_SHARE bounds the hot ones.
+HOT_PART, LEAST_SHARE = 0.25, 1e-5
+#: Runs that a task counts at once.
+COUNTED = 1 << 20
+NONE = np.array([], np.uint64)
+
 #: Types of document, text key, minimiser, first window and string length in a packed block, and its compression.
 LAYOUT = (np.int64, np.int32, np.uint32, np.int32, np.int32)
 LEVEL = 3
@@ -58,14 +70,18 @@ def short_key(text_col: str):
     return F.shiftright(text_key(F.col(text_col)), 32).cast("int")
 
 
-def minimisers(words: list[bytes], k: int, m: int) -> np.ndarray:
-    """The smallest m-word hash of every window of k words."""
+def minimisers(words: list[bytes], k: int, m: int, hot: np.ndarray = NONE) -> np.ndarray:
+    """The smallest m-word hash of every window of k words; ``hot`` hashes (sorted) count as larger than all others."""
     h = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
     n = len(words) - m + 1
     x = np.zeros(n, np.uint64)
     for i in range(m):
         x = (x ^ (h[i:i + n] * MIX[i % 5])) * MIX[(i + 1) % 5]
         x ^= x >> np.uint64(29)
+    x >>= np.uint64(1)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, x), len(hot) - 1)
+        x |= (hot[at] == x).astype(np.uint64) << np.uint64(63)
     span, least = 1, x
     wanted = k - m + 1
     while span * 2 <= wanted:
@@ -76,9 +92,9 @@ def minimisers(words: list[bytes], k: int, m: int) -> np.ndarray:
     return least
 
 
-def packed_runs(words: list[bytes], k: int, m: int) -> Iterator[tuple[bytes, int, int, int]]:
+def packed_runs(words: list[bytes], k: int, m: int, hot: np.ndarray = NONE) -> Iterator[tuple[bytes, int, int, int]]:
     """(string, first window, windows, minimiser) of each run of windows that share a minimiser."""
-    values = minimisers(words, k, m)
+    values = minimisers(words, k, m, hot)
     cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
     starts = [0, *cuts.tolist()]
     ends = [*cuts.tolist(), len(values)]
@@ -204,6 +220,42 @@ def repeats(docs: list[int], keys: list[int], starts: list[int], texts: list[byt
     return found
 
 
+def hot_minimisers(rows: DataFrame, k: int, m: int, share: float) -> np.ndarray:
+    """Sorted hashes that are the minimiser of at least ``share`` of all runs; some from half of that on may be among them.
+
+    Tasks count every run of every text and report hashes from half the share
+    of what they have counted: a hash with the full share loses less than half
+    of its count that way, so none is missed.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def report() -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            total = int(n.sum())
+            some = n >= max(2, share / 2 * total)
+            return pa.RecordBatch.from_arrays([pa.array([*values[some].astype(np.int64).tolist(), None], pa.int64()), pa.array([*n[some].tolist(), total], pa.int64())], names=["value", "n"])
+
+        for batch in batches:
+            for text in byte_texts(batch.column(2)):
+                words = text.split()
+                if len(words) >= k:
+                    values = minimisers(words, k, m)
+                    held.append(values[np.r_[True, values[1:] != values[:-1]]])
+                    if len(held) % 256 == 0 and sum(map(len, held)) >= COUNTED:
+                        yield report()
+                        held.clear()
+        if held:
+            yield report()
+
+    counts = stored(rows.mapInArrow(count, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")), "minimisers")
+    total = counts.where("value is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # At most 2 / share hashes reach that.
+    hot = counts.where("value is not null").where(F.col("n") >= max(2.0, share / 2 * total)).select("value").collect()
+    return np.array(sorted(r.value for r in hot), np.uint64)
+
+
 def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, key, ranges): word ranges of each document that repeat windows of smaller documents, as flat pairs."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), short_key(text_col).alias("key"), F.col(text_col).alias("text")).where("doc is not null")
@@ -211,6 +263,8 @@ def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str
     # More text makes more buckets, not larger ones.
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * OVERLAP / BUCKET))
 
+    hot = hot_minimisers(rows, k, m, max(HOT_PART / buckets, LEAST_SHARE))
+
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Combiner(k, buckets)
         for batch in batches:
@@ -218,7 +272,7 @@ def repeated_ranges(docs: DataFrame, k: int = WINDOW, m: int = RUN, id_col: str
                 words = text.split()
                 if len(words) < k:
                     continue
-                for run, start, windows, value in packed_runs(words, k, m):
+                for run, start, windows, value in packed_runs(words, k, m, hot):
                     held.add(doc, key, run, start, windows, value)
                     if held.bytes > HELD:
                         yield held.flush()

@@ -53,6 +53,24 @@ def test_against_brute_force(spark, rows, monkeypatch, held, k, m):
     assert got == plain(rows, k)
 
 
+@pytest.mark.parametrize("part", [1e-9, 1e9])
+def test_hot_minimisers_change_no_result(spark, rows, monkeypatch, part):
+    monkeypatch.setattr(superkmers, "HOT_PART", part)
+    monkeypatch.setattr(superkmers, "COUNTED", 500)
+    got = sorted(((r.id, r.n_words, r.n_removed, r.kept) for r in without_repeats(as_frame(spark, rows).repartition(3), 4, 2).collect()), key=str)
+    assert got == plain(rows, 4)
+
+
+def test_hot_minimisers_are_found(spark):
+    docs = [(i, 0, f"u{i} v{i} w{i} x{i} " + "all share this " + f"a{i} b{i} c{i} d{i}") for i in range(300)]
+    hot = superkmers.hot_minimisers(spark.createDataFrame(docs, "doc long, key int, text string").repartition(2), 4, 2, 0.05)
+    words = "all share this".encode().split()
+    own = {int(v) for i in range(2) for v in minimisers(words[i:i + 2], 2, 2)}
+    assert own & set(hot.tolist()) and set(hot.tolist()) <= own
+    values = minimisers(docs[0][2].encode().split(), 4, 2, hot)
+    assert not any(int(v) in own for v in values)
+
+
 def test_empty_table(spark):
     assert without_repeats(as_frame(spark, [])).count() == 0
 
