@@ -78,7 +78,7 @@ def x3(spark, folder):
 WITH {READINGS} SELECT source, date_trunc('hour', timestamp_utc) AS window_start, {q6('avg(pm25)')} AS mean, count(*) AS n FROM readings GROUP BY 1, 2
 HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp_utc) FROM readings) - INTERVAL 2 HOUR""")
 def x4(spark, folder):
-    return rounded(jobs.drain(jobs.station_means(reading_stream(spark, folder), "source", TS, "pm25"), "hourly-means"))
+    return rounded(jobs.drain(jobs.station_means(in_batches(readings(spark, folder)), "source", TS, "pm25"), "hourly-means"))
 
 
 @query("x4_sliding_rates", f"""
