@@ -113,6 +113,11 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (same id, same text) leave one.
     """
     found = stored(near_duplicates(docs, id_col, text_col, radius, shingle), "simhash-found")
+    return first_of_groups(docs, found, id_col, text_col)
+
+
+def first_of_groups(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group; ``found`` is a stored (id, key, component_id) of every row."""
     # NULL ids come last: a group that has an id is represented by it.
     first = F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")
     kept = stored(found.groupBy("component_id").agg(F.min(first).alias("row"), F.count(F.lit(1)).alias("n")).select("row.id", "row.key"), "simhash-kept")
