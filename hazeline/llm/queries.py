@@ -12,7 +12,7 @@ from ..sources.tables import table
 #: Production parameters.
 CONTAMINATION_WINDOW = 10
 REPEAT_WINDOW, MINIMISER_RUN = 13, 3
-VOCABULARY, TOKEN_LIMIT = "word_bpe_49k.json", 2048
+VOCABULARY, TOKEN_LIMIT, END_ID = "word_bpe_49k.json", 2048, 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -216,3 +216,14 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """)
+
+
+@query
+def op13_token_files(spark, folder):
+    """Every document's ids written to ORC files in id order, and what the files hold."""
+    import public_tokenizers
+
+    from .tokenfiles import checksums, read_tokens, starts, write_tokens
+
+    path = write_tokens(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
+    return starts(checksums(read_tokens(spark, path)), path).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -32,7 +32,7 @@ def rows_of(spark, number):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
@@ -96,3 +96,13 @@ def test_token_counts(spark, texts):
     for r in rows_of(spark, 10).collect():
         text = texts[r.doc_id] or ""
         assert (r.n_bytes, r.n_tokens) == (len(text.encode()), len(library.encode(text, add_special_tokens=False).ids)) and r.over_limit == (r.n_tokens > 2048)
+
+
+def test_token_files(spark, texts):
+    library, start = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in rows_of(spark, 13).collect()}
+    for doc in sorted(texts):
+        ids = library.encode(texts[doc] or "", add_special_tokens=False).ids + [1]
+        assert got.pop(doc) == (start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
+        start += len(ids)
+    assert not got
