@@ -227,3 +227,81 @@ def op13_token_files(spark, folder):
 
     path = write_tokens(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
     return starts(checksums(read_tokens(spark, path)), path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op12_filter_audit(spark, folder):
+    """What five filters remove in every order, by source."""
+    from .filteraudit import filter_audit
+
+    return filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+oracle("op12_filter_audit", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY 1),
+c AS (
+  SELECT part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+         + 4 * CAST(100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * len(t) AS INT) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+         + 16 * CAST(coalesce(first_id < doc_id, false) AS INT) AS mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM d LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM c GROUP BY 1, 2),
+x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(letter, bit)),
+p AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM x a, x b, x c, x d, x e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (
+  SELECT filter_order, CAST(i AS INTEGER) AS step, bits[i] AS bit, CAST(list_sum(bits[1:i]) - bits[i] AS BIGINT) AS before
+  FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS i FROM p)),
+r AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (bit | before) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+""")
+
+
+@query
+def op11_source_divergence(spark, folder):
+    """Distances between the sources of each language, and the terms each source prefers."""
+    from .divergence import source_divergence
+
+    return source_divergence(table(spark, folder, "documents"))
+
+
+oracle("op11_source_divergence", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY 1),
+n AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total, coalesce(total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN l USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY 1, 2) USING (lang, source)),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 5)) // (g.total + 5 * g.v) AS p, 1 + (1000000000::HUGEINT * (k.lang_n + 5)) // (g.lang_total + 5 * g.v) AS q
+  FROM g JOIN k USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+o AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT 'term', lang, source, term, p - q, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 50
+""")

@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import stored
@@ -37,6 +38,8 @@ FEATURES = 4096
 #: The bound of the training sample.
 TRAINING_ROWS = 20_000
 FOLDS = 5
+#: Rows whose words a task holds at a time.
+ROWS = 128
 #: Weights of the squared weights and of the squared counterfactual changes in the loss.
 RIDGE, FAIRNESS = 2e-5, 1.0
 SWAPS = 2
@@ -111,7 +114,7 @@ class Model:
 
         @F.arrow_udf("double")
         def toxicity(texts: pa.Array) -> pa.Array:
-            return pa.array([model.score(t) for t in byte_texts(texts)], pa.float64())
+            return pa.array([model.score(t) for lo in range(0, len(texts), ROWS) for t in byte_texts(texts.slice(lo, ROWS))], pa.float64())
 
         return toxicity(text)
 
@@ -132,7 +135,7 @@ def sample_rows(docs: DataFrame, labels: DataFrame, bound: int, groups: list[lis
     other = swaps(groups)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(lo, ROWS) for whole in batches for lo in range(0, whole.num_rows, ROWS)):
             out: list[tuple[int, int, int, list[bytes]]] = []
             for who, label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_texts(batch.column(2))):
                 words = words_of(text)
@@ -161,12 +164,11 @@ def telling_features(sample: DataFrame, n_toxic: int, n_clean: int, most: int =
 
 
 class Rows:
-    """Sparse 0/1 rows: the feature numbers of each."""
+    """Sparse 0/1 rows: the feature numbers of each, one row after the other, and how many each has."""
 
-    def __init__(self, lists: list[list[int]], width: int):
-        self.row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-        self.col = np.array([f for x in lists for f in x], np.int64)
-        self.n, self.width = len(lists), width
+    def __init__(self, sizes: np.ndarray, numbers: np.ndarray, width: int):
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.col, self.n, self.width = numbers, len(sizes), width
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col], self.n)
@@ -214,20 +216,32 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_ROWS, fairness
     if toxic in (0, rows):
         return Model({}, math.inf if rows and toxic else -math.inf)
     names = telling_features(sample, toxic, rows - toxic, features)
-    number = {f: i for i, f in enumerate(names)}
+    known = pa.array(names, pa.binary())
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[number[f] for f in fs if f in number] for fs in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.int32()))], names=["key", "kind", "label", "found"])
+            lists = batch.column(3)
+            found = pc.index_in(lists.flatten(), value_set=known)
+            there = found.is_valid()
+            before = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+            ends = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.filter(there))], names=["key", "kind", "label", "found"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted(r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(4))))
-        base = [r for r in got if r[1] == 0]
-        at = {(r[0], r[2]): i for i, r in enumerate(base)}
-        copies = [r for r in got if r[1] > 0]
-        w, b = fit_weights(Rows([r[3] for r in base], len(names)), np.array([r[2] for r in base], float), np.array([at[r[0], r[2]] for r in copies], np.int64),
-                           Rows([r[3] for r in copies], len(names)), ridge, fairness)
+        got = pa.Table.from_batches(batches, pa.schema([("key", pa.int64()), ("kind", pa.int32()), ("label", pa.int32()), ("found", pa.list_(pa.int32()))]))
+        got = got.sort_by([("kind", "ascending"), ("key", "ascending"), ("label", "ascending")]).combine_chunks()
+        key, kind, label = (got.column(i).to_numpy() for i in range(3))
+        base = int(np.searchsorted(kind, 0, "right"))
+
+        def rows(lo: int, hi: int) -> Rows:
+            lists = got.column(3).slice(lo, hi - lo).combine_chunks()
+            return Rows(np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy().astype(np.int64), len(names))
+
+        # Texts come by key and label, so a copy's text is found by search.
+        own = np.array(list(zip(key[:base], label[:base])), [("key", "i8"), ("label", "i4")])
+        copies = np.array(list(zip(key[base:], label[base:])), own.dtype)
+        w, b = fit_weights(rows(0, base), label[:base].astype(float), np.searchsorted(own, copies), rows(base, len(got)), ridge, fairness)
         yield pa.RecordBatch.from_arrays([pa.array([w.tolist()], pa.list_(pa.float64())), pa.array([b], pa.float64())], names=["weights", "bias"])
 
     # One task sees the bounded sample as feature numbers, and returns one row.

@@ -83,12 +83,16 @@ def test_bound_of_the_sample(tables):
     assert training_labels(labels, 50).count() == 50
 
 
+def sparse(lists, width):
+    return Rows(np.array([len(x) for x in lists]), np.array([f for x in lists for f in x], np.int64), width)
+
+
 def test_gradient_finds_the_minimum():
     rnd = np.random.default_rng(3)
     lists = [sorted(set(rnd.integers(0, 12, 5).tolist())) for _ in range(80)]
     y = np.array([float(0 in x or rnd.random() < 0.1) for x in lists])
-    pairs, swapped = np.arange(10), Rows([sorted(set(x) ^ {3, 4}) for x in lists[:10]], 12)
-    x = Rows(lists, 12)
+    pairs, swapped = np.arange(10), sparse([sorted(set(x) ^ {3, 4}) for x in lists[:10]], 12)
+    x = sparse(lists, 12)
     w, b = fit_weights(x, y, pairs, swapped, 0.01, 0.5, 4000)
 
     def loss(w, b):
