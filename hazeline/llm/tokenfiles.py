@@ -10,10 +10,10 @@ whose statistics or filters rule it out, and reads no ids but those it returns.
 ``starts`` adds the parts up, one line per part, so no row moves for it.
 
 Encoding: with a vocabulary that drops white space, every run between ASCII
-white space has its ids by itself. Runs a task has not met yet are encoded by
-the vocabulary's library, many in one call, and a text is the concatenation of
-its runs, which also keeps memory bounded by the text's own size. Other
-vocabularies encode each text whole.
+white space has its ids by itself. Runs a worker has not met lately are encoded
+by the vocabulary's library, many in one call, and a text is the concatenation
+of its runs, which also keeps memory bounded by the text's own size. Texts with
+special strings, and all texts under other vocabularies, are encoded whole.
 
 Defined cases: a NULL text is empty and holds the end id alone; a NULL id
 comes before all others, and is found again as NULL; equal ids follow each
@@ -26,6 +26,8 @@ from __future__ import annotations
 
 import json
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -40,7 +42,7 @@ from .common import byte_texts, text_key
 
 #: Bytes of a stripe, rows of a row group with its own statistics and Bloom filter, rows between two looks at a stripe's size.
 STRIPE_BYTES, GROUP_ROWS, LOOK_ROWS = 16 * 1024 * 1024, 1000, 256
-#: Distinct runs a task keeps; beyond that it starts anew.
+#: Distinct runs a worker keeps at hand; as many from before them stay until these are full.
 KEPT = 400_000
 #: Texts are encoded in slices of about this many bytes.
 SLICE = 1024 * 1024
@@ -59,13 +61,18 @@ class Encoder:
         with open(vocabulary, encoding="utf-8") as f:
             spec = json.load(f)
         steps = spec.get("normalizer") or {}
-        self.by_runs = drops_space(spec)
+        pattern = run_pattern(spec)
+        self.by_runs = pattern is not None
+        #: Marks that the vocabulary's pattern always cuts off behind a letter.
+        self.tails = frozenset(m.encode() for m in ".,;:!?" if pattern and regex.findall(pattern, "aa" + m) == ["aa", m])
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
         self.special = [t["content"].lower().encode() for t in spec.get("added_tokens", [])]
         plain = [t for t in spec.get("added_tokens", []) if t.get("special") and not any(t.get(k) for k in ("lstrip", "rstrip", "single_word", "normalized"))]
         #: A special string that may stand between runs, and its id.
         self.mark = (plain[0]["content"], plain[0]["id"]) if plain else None
-        self.kept: dict[bytes, bytes] = {}
+        # Runs met lately, and those met before them: rare runs go, frequent ones move on.
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def encoded(self, texts: list[bytes]) -> list[bytes]:
         return [np.array(self.library.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
@@ -77,39 +84,80 @@ class Encoder:
         cuts, data = 4 * np.flatnonzero(ids == number), ids.tobytes()
         return [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
 
-    def ids(self, text: bytes) -> bytes:
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; texts should be ``SLICE`` bytes together, longer ones are cut here."""
         if not self.by_runs:
-            return self.encoded([text])[0]
-        return b"".join(map(self.run_ids, slices(text)))
-
-    def run_ids(self, piece: bytes) -> bytes:
-        low, kept = piece.lower(), self.kept
-        special = any(s in low for s in self.special)
-        # Capitals A-Z change nothing where the vocabulary lowers them, but for letters that compose with a mark (U+0300 to U+036F) in one case only.
-        if self.lowers and not special and b"\xcc" not in piece and b"\xcd" not in piece:
-            piece = low
-        runs = piece.split()
-        new = list({r for r in runs if r not in kept})
-        if len(kept) + len(new) > KEPT:
-            kept.clear()
-            new = list(set(runs))
-        encode = self.encoded if special or not self.mark else self.encoded_runs
-        for lo in range(0, len(new), 1000):
-            some = new[lo:lo + 1000]
-            kept.update(zip(some, encode(some)))
-        return b"".join(map(kept.__getitem__, runs))
-
-
-def drops_space(spec: dict) -> bool:
-    """Whether the vocabulary cuts texts into matches of a pattern that no ASCII white space can be part of."""
+            return self.encoded(texts)
+        out: list = [None] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            low = text.lower()
+            if any(s in low for s in self.special):
+                out[i] = self.encoded([text])[0]
+            elif len(text) > SLICE:
+                out[i] = b"".join(self.run_ids([self.form(piece)])[0] for piece in slices(text))
+            else:
+                plain.append((i, self.form(text)))
+        for (i, _), found in zip(plain, self.run_ids([runs for _, runs in plain])):
+            out[i] = found
+        return out
+
+    def form(self, text: bytes) -> list[bytes]:
+        """The runs of a text, in lower case where that cannot matter.
+
+        Where the vocabulary lowers A-Z anyway, it matters only for letters that
+        compose with a mark (U+0300 to U+036F) in one case and not in the other.
+        """
+        return (text.lower() if self.lowers and b"\xcc" not in text and b"\xcd" not in text else text).split()
+
+    def run_ids(self, texts: list[list[bytes]]) -> list[bytes]:
+        runs = set().union(*texts)
+        self.learn(runs)
+        young = self.young
+        return [b"".join(map(young.__getitem__, t)) for t in texts]
+
+    def learn(self, runs: set[bytes]) -> None:
+        """Know the ids of these runs."""
+        new = [r for r in runs if r not in self.young]
+        if len(self.young) + len(new) > KEPT:
+            self.old, self.young = self.young, {}
+            new = list(runs)
+        young, old = self.young, self.old
+        fresh = []
+        for r in new:
+            found = old.get(r)
+            if found is None:
+                fresh.append(r)
+            else:
+                young[r] = found
+        tailed = [r for r in fresh if r[-1:] in self.tails and r[-2:-1].isalpha()]
+        known = {r[:-1] for r in tailed} | {r[-1:] for r in tailed}
+        wanted = list((set(fresh) - set(tailed)) | (known - young.keys()))
+        encode = self.encoded_runs if self.mark else self.encoded
+        for lo in range(0, len(wanted), 1000):
+            some = wanted[lo:lo + 1000]
+            young.update(zip(some, encode(some)))
+        young.update((r, young[r[:-1]] + young[r[-1:]]) for r in tailed)
+
+
+def kept_encoder(vocabulary: str) -> Encoder:
+    """The worker process's encoder, kept for its later tasks; a process that has none makes it."""
+    shelf = vars(sys.modules.setdefault("hazeline_worker_shelf", types.ModuleType("hazeline_worker_shelf")))
+    if vocabulary not in shelf:
+        shelf[vocabulary] = Encoder(vocabulary)
+    return shelf[vocabulary]
+
+
+def run_pattern(spec: dict) -> str | None:
+    """The pattern by whose matches the vocabulary cuts texts, if none of them can hold ASCII white space."""
     steps = spec.get("pre_tokenizer") or {}
     first = (steps.get("pretokenizers") or [steps])[0]
     if first.get("type") != "Split" or first.get("behavior") != "Removed" or not first.get("invert"):
-        return False
+        return None
     pattern = first["pattern"].get("Regex")
     space = SPACE.decode()
     probe = "a".join(space) + space + "1" + space + "." + space + "'s"
-    return bool(pattern) and not any(set(piece) & set(space) for piece in regex.findall(pattern, probe))
+    return pattern if pattern and not any(set(piece) & set(space) for piece in regex.findall(pattern, probe)) else None
 
 
 def slices(text: bytes) -> Iterator[bytes]:
@@ -134,11 +182,11 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "d
     path = path or work_dir(docs.sparkSession, "token-files")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, part, at = kept_encoder(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for some in bounded(batch):
-                ids = [encoder.ids(t) + end for t in byte_texts(some.column(1))]
+                ids = [found + end for found in encoder.ids(byte_texts(some.column(1)))]
                 sizes = np.array([len(v) // 4 for v in ids], np.int64)
                 ends = np.cumsum(sizes)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
