@@ -91,7 +91,7 @@ def test_nested_layers_and_outer_span():
 
 def test_cycles_end(monkeypatch):
     run = base64.b64encode(b"loop " * 8).decode()
-    monkeypatch.setattr(secrets, "from_base64", lambda r: run)
+    monkeypatch.setattr(secrets, "block_texts", lambda r: [run])
     assert scan(f"go {run} on".encode()) == ([], [])
 
 
