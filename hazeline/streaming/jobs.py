@@ -7,7 +7,7 @@ there; in production the trigger is ``processingTime='1 hour'``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +16,11 @@ from ..functions.timefns import parse_iso
 from ..operators.faults import alert_rows
 from ..operators.iforest import Forest, score_iforest
 from ..operators.quality import READING_RULES, Rule, check_rows
-from ..operators.windows import last_rows, latest_per_key, stuck_rows
 from ..constants import DEFAULT_LAST_VALUE
 from ..functions.air import impossible, no_nan
 from ..operators.forecasts import last_known
-from ..session import delete_path, work_dir
+from ..session import work_dir
+from .keyed import LatestRow, Silence, StuckValues, micros_of, state_rows, stateful, time_of
 
 LATE = "2 hours"
 
@@ -81,6 +81,18 @@ def ingest(messages: DataFrame, schema: T.StructType, rules: list[Rule] = READIN
     return valid, checked.where(~clean)
 
 
+def dedup_first_stream(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], late: str = LATE) -> DataFrame:
+    """The first row per key and time in an explicit order, whole, once the lateness bound has passed.
+
+    The best row so far is the key's state: copies combine map-side, a later
+    copy with a smaller order still replaces it, and rows of later times wait.
+    """
+    rows = event_time(df, ts, late)
+    rest = [c for c in rows.columns if c not in (*keys, ts)]
+    best = rows.groupBy(*keys, ts).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
+    return best.select(*keys, F.col(ts).cast(df.schema[ts].dataType).alias(ts), "_row.*").select(*df.columns)
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, late: str = LATE) -> DataFrame:
     """One row per key within the lateness bound (an arbitrary one)."""
     return event_time(df, ts, late).dropDuplicatesWithinWatermark([*keys, ts])
@@ -93,6 +105,17 @@ def station_means(df: DataFrame, key: str, ts: str, value: str, window: str = "1
     return rows.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "mean", "n")
 
 
+def sliding_means(df: DataFrame, key: str, ts: str, value: str, window: str = "5 minutes", slide: str = "1 minute", late: str = LATE) -> DataFrame:
+    """Sliding means and counts from panes of one slide: a row is counted in one pane, and only panes are repeated per window.
+
+    Two stateful steps in a chain: panes are final when the watermark has
+    passed them, and windows when it has passed their last pane.
+    """
+    panes = event_time(df, ts, late).groupBy(F.window(ts, slide).alias("p"), key).agg(F.sum(value).alias("s"), F.count(value).alias("c"), F.count(F.lit(1)).alias("m"))
+    rows = panes.groupBy(F.window(F.window_time("p"), window, slide).alias("w"), key).agg((F.sum("s") / F.sum("c")).alias("mean"), F.sum("m").alias("n"))
+    return rows.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "mean", "n")
+
+
 def activity_sessions(df: DataFrame, key: str, ts: str, gap: str = "3 hours", late: str = LATE) -> DataFrame:
     """Spans of sensor activity; a silence longer than the gap ends one."""
     rows = event_time(df, ts, late).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
@@ -104,76 +127,58 @@ def score_stream(df: DataFrame, forest: Forest) -> DataFrame:
     return alert_rows(score_iforest(df, forest).where("is_anomaly"), "statistical_anomaly", score=F.col("anomaly_score"))
 
 
-class BatchState:
-    """A small table carried from one micro-batch to the next in the shared folder.
+def _start(df: DataFrame, path: str, name: str) -> StreamingQuery:
+    writer = df.writeStream.format("parquet").outputMode("append").option("path", f"{path}/{name}").option("checkpointLocation", f"{path}/progress")
+    return writer.trigger(availableNow=True).start()
 
-    Version n is written while batch n runs and read by batch n + 1. A repeated
-    batch rewrites its own version from the same input, so replays are harmless.
-    Version n - 2 goes once n is there: no batch reads it again.
-    """
 
-    def __init__(self, path: str, schema: T.StructType):
-        self.path, self.schema = path, schema
+def fault_stream(df: DataFrame, path: str, ts: str = "timestamp_utc", value: str = "pm25", n: int = 3) -> StreamingQuery:
+    """Stuck-zero and impossible-value alerts across micro-batches, to ``path/alerts``.
 
-    def before(self, spark: SparkSession, batch: int) -> DataFrame:
-        if batch == 0:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(f"{self.path}/v{batch - 1}")
+    A run of zeros is decided by n rows, so the last n - 1 rows of a station are
+    all its state. Started again on the same path, it goes on where it ended.
+    """
+    high = F.coalesce(impossible(F.col(value)), F.lit(False))
+    rows = df.select("station_id", micros_of(ts).alias("us"), F.col(value).cast("double").alias("value"), high.alias("high"))
+    station = df.schema["station_id"].dataType.simpleString()
+    found = stateful(rows, "station_id", StuckValues("station_id", n, 0.0), f"station_id {station}, us long, value double, kind string", timed=False)
+    kind = F.when(F.col("kind") == "stuck", "sensor_fault_stuck_zero").otherwise("sensor_fault_impossible_value")
+    alerts = found.select("station_id", time_of("us", df.schema[ts].dataType).alias(ts), F.col("value").alias(value), "kind")
+    return _start(alert_rows(alerts, kind, ts, value), path, "alerts")
 
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v{batch}")
-        if batch >= 2:
-            delete_path(df.sparkSession, f"{self.path}/v{batch - 2}")
 
+def latest_stream(df: DataFrame, path: str, key: str, ts: str, ttl: str = "2 hours", stale: str = "10 minutes", ties: Sequence[str] = (), late: str = LATE) -> StreamingQuery:
+    """Newest row per station in keyed state; each change goes to ``path/changes``.
 
-def _start(df: DataFrame, step: Callable[[DataFrame, int], None], progress: str) -> StreamingQuery:
-    return df.writeStream.foreachBatch(step).option("checkpointLocation", progress).trigger(availableNow=True).start()
+    A row that has been expired for longer than ``stale``, by the watermark,
+    leaves the state through its timer and is reported as gone. ``ties``
+    decide between rows of equal time.
+    """
+    rest = [c for c in df.columns if c not in (key, ts)]
+    kept = T.StructType([T.StructField("us", T.LongType()), *[df.schema[c] for c in rest], T.StructField("expires_us", T.LongType())])
+    schema = T.StructType([df.schema[key], *kept.fields, T.StructField("expired", T.BooleanType())])
+    rows = event_time(df, ts, late).withColumn("us", micros_of(ts)).withColumn("expires_us", F.col("us") + interval_us(ttl))
+    found = stateful(rows, key, LatestRow(key, kept, ["us", *ties], interval_us(stale)), schema, timed=True)
+    kind = df.schema[ts].dataType
+    return _start(found.select(key, time_of("us", kind).alias(ts), *rest, time_of("expires_us", kind).alias("expires_at"), "expired"), path, "changes")
 
 
-def fault_stream(df: DataFrame, path: str, ts: str = "timestamp_utc", value: str = "pm25", n: int = 3) -> StreamingQuery:
-    """Stuck-zero and impossible-value alerts across micro-batches, to ``path/alerts``.
+def silence_stream(df: DataFrame, key: str, ts: str, gap: str = "3 hours", late: str = LATE) -> DataFrame:
+    """Stations that said nothing for longer than a gap, reported while they are silent: (key, last_seen, silent_since).
 
-    A run of zeros is decided by n rows, so the last n - 1 rows per station are
-    all the state there is. Each batch runs the batch operator over those rows
-    and its own; a busy station is split by time there, not held in one task.
-    """
-    columns = ["station_id", ts, value]
-    schema = T.StructType([*[df.schema[c] for c in columns]])
-    state = BatchState(f"{path}/state", schema)
-
-    def step(batch: DataFrame, number: int) -> None:
-        rows = batch.select(*columns).persist()
-        try:
-            carried = state.before(batch.sparkSession, number)
-            both = carried.withColumn("_new", F.lit(False)).unionByName(rows.withColumn("_new", F.lit(True)))
-            stuck = stuck_rows(both, "station_id", ts, value, n, ties=[value]).where("_new")
-            alerts = alert_rows(stuck, "sensor_fault_stuck_zero", ts, value).unionByName(
-                alert_rows(rows.where(impossible(F.col(value))), "sensor_fault_impossible_value", ts, value))
-            alerts.write.mode("overwrite").parquet(f"{path}/alerts/batch={number}")
-            state.write(last_rows(both.drop("_new"), "station_id", ts, n - 1, ties=[value]).select(*columns), number)
-        finally:
-            rows.unpersist()
-
-    return _start(df, step, f"{path}/progress")
-
-
-def latest_stream(df: DataFrame, path: str, key: str, ts: str, ttl: str = "2 hours", stale: str = "10 minutes", ties: Sequence[str] = ()) -> StreamingQuery:
-    """Newest row per station with its expiry, upserted per micro-batch to ``path/state``.
-
-    Rows that have been expired for longer than ``stale``, seen from the newest
-    row of all, leave the state. ``ties`` decide between rows of equal time.
+    Reported once the watermark has passed the gap's end, by a timer if no row
+    comes that would wake the station's state.
     """
-    schema = T.StructType([*df.schema.fields, T.StructField("expires_at", df.schema[ts].dataType)])
-    state = BatchState(f"{path}/state", schema)
+    rows = event_time(df.select(key, ts), ts, late).withColumn("us", micros_of(ts))
+    found = stateful(rows, key, Silence(key, interval_us(gap)), T.StructType([df.schema[key], T.StructField("us", T.LongType())]), timed=True)
+    kind = df.schema[ts].dataType
+    return found.select(key, time_of("us", kind).alias("last_seen"), time_of(F.col("us") + interval_us(gap), kind).alias("silent_since"))
 
-    def step(batch: DataFrame, number: int) -> None:
-        fresh = latest_per_key(batch, key, [ts, *ties]).withColumn("expires_at", F.col(ts) + F.expr(f"interval {ttl}"))
-        both = state.before(batch.sparkSession, number).unionByName(fresh)
-        rows = latest_per_key(both, key, [ts, *ties]).select(*schema.names)
-        newest = both.agg(F.max(ts)).first()[0]
-        state.write(rows if newest is None else rows.where(F.col("expires_at") + F.expr(f"interval {stale}") >= F.lit(newest)), number)
 
-    return _start(df, step, f"{path}/progress")
+def interval_us(text: str) -> int:
+    """Microseconds of a day-time interval such as ``2 hours``."""
+    number, unit = text.split()
+    return int(float(number) * {"day": 86400, "hour": 3600, "minute": 60, "second": 1}[unit.rstrip("s")] * 1_000_000)
 
 
 def served_values(keys: DataFrame, state: DataFrame, now, key: str, value: str, stale: str = "10 minutes", default: float = DEFAULT_LAST_VALUE) -> DataFrame:
@@ -184,7 +189,16 @@ def served_values(keys: DataFrame, state: DataFrame, now, key: str, value: str,
     return keys.join(known, F.col(key) == F.col("_k"), "left").select(key, last_known(live, old, default).alias("served"))
 
 
+def latest_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What a drained ``latest_stream`` holds in its state: key, time, the other columns and ``expires_at``."""
+    changes = spark.read.parquet(f"{path}/changes").drop("expired")
+    key, ts, *rest = [c for c in changes.columns if c != "expires_at"]
+    kind, held = changes.schema[ts].dataType, state_rows(spark, f"{path}/progress", "latest")
+    return held.select(key, time_of("us", kind).alias(ts), *rest, time_of("expires_us", kind).alias("expires_at"))
+
+
 def last_batch(query: StreamingQuery, path: str) -> str:
-    """Folder of the newest state version of a drained query."""
-    done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
-    return f"{path}/state/v{max(done)}"
+    """Folder with a copy of the state behind the last finished micro-batch of a drained ``latest_stream``."""
+    last = max(p["batchId"] for p in query.recentProgress)
+    latest_rows(SparkSession.active(), path).write.mode("overwrite").parquet(f"{path}/state/v{last}")
+    return f"{path}/state/v{last}"
