@@ -30,6 +30,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,9 +68,6 @@ class Encoder:
         self.tails = frozenset(m.encode() for m in ".,;:!?" if pattern and regex.findall(pattern, "aa" + m) == ["aa", m])
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
         self.special = [t["content"].lower().encode() for t in spec.get("added_tokens", [])]
-        plain = [t for t in spec.get("added_tokens", []) if t.get("special") and not any(t.get(k) for k in ("lstrip", "rstrip", "single_word", "normalized"))]
-        #: A special string that may stand between runs, and its id.
-        self.mark = (plain[0]["content"], plain[0]["id"]) if plain else None
         # Runs met lately, and those met before them: rare runs go, frequent ones move on.
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -78,11 +76,14 @@ class Encoder:
         return [np.array(self.library.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
     def encoded_runs(self, runs: list[bytes]) -> list[bytes]:
-        """Ids of runs without special strings: one call for all, a special string between them."""
-        text, number = self.mark
-        ids = np.array(self.library.encode(text.join(r.decode() for r in runs), add_special_tokens=False).ids, "<u4")
-        cuts, data = 4 * np.flatnonzero(ids == number), ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
+        """Ids of runs without special strings: one call for all, spaces between them; a token's place tells its run."""
+        texts = [r.decode() for r in runs]
+        found = self.library.encode(" ".join(texts), add_special_tokens=False)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        places = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]
+        ends = (4 * np.searchsorted(places, begins[1:], "left")).tolist()
+        data = np.array(found.ids, "<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], [*ends, len(data)])]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; texts should be ``SLICE`` bytes together, longer ones are cut here."""
@@ -118,10 +119,10 @@ class Encoder:
 
     def learn(self, runs: set[bytes]) -> None:
         """Know the ids of these runs."""
-        new = [r for r in runs if r not in self.young]
+        new = runs.difference(self.young)
         if len(self.young) + len(new) > KEPT:
             self.old, self.young = self.young, {}
-            new = list(runs)
+            new = runs
         young, old = self.young, self.old
         fresh = []
         for r in new:
@@ -133,10 +134,9 @@ class Encoder:
         tailed = [r for r in fresh if r[-1:] in self.tails and r[-2:-1].isalpha()]
         known = {r[:-1] for r in tailed} | {r[-1:] for r in tailed}
         wanted = list((set(fresh) - set(tailed)) | (known - young.keys()))
-        encode = self.encoded_runs if self.mark else self.encoded
         for lo in range(0, len(wanted), 1000):
             some = wanted[lo:lo + 1000]
-            young.update(zip(some, encode(some)))
+            young.update(zip(some, self.encoded_runs(some)))
         young.update((r, young[r[:-1]] + young[r[-1:]]) for r in tailed)
 
 
