@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F, types as T
 
 from hazeline import schemas
@@ -28,15 +30,20 @@ def message_stream(spark, folder):
     return to_messages(rows.select("station_id", "source", "lat", "lon", TS, "pm25", "pm10"))
 
 
+#: Rows of a file written for a micro-batch.
+FILE_ROWS = 1_000_000
+
+
 def in_batches(rows, n: int = 4):
-    """A frame as a stream of ``n`` micro-batches in time order: one file each, written one after the other."""
+    """A frame as a stream of ``n`` micro-batches in time order: each is one time range, in as many files as the longest needs."""
     spark, path = rows.sparkSession, work_dir(rows.sparkSession, "batches")
     first, last = rows.agg(F.min(TS), F.max(TS)).first()
     cuts = [first + (last - first) * i / n for i in range(1, n)]
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = rows if low is None else rows.where(F.col(TS) >= F.lit(low))
-        (part if high is None else part.where(F.col(TS) < F.lit(high))).coalesce(1).write.mode("append").parquet(f"{path}/rows.parquet")
-    return jobs.stream_table(spark, path, "rows", 1)
+    part = sum((F.when(F.col(TS) >= F.lit(c), 1).otherwise(0) for c in cuts), F.lit(0))
+    files = max(1, math.ceil(rows.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] / FILE_ROWS))
+    for i in range(n):
+        rows.where(part == i).repartition(files).write.mode("append").parquet(f"{path}/rows.parquet")
+    return jobs.stream_table(spark, path, "rows", files)
 
 
 @query("s9_stream_ingest", f"""
@@ -74,6 +81,17 @@ def x3(spark, folder):
     return jobs.drain(kept.select("station_id", F.col(TS).cast("timestamp_ntz").alias(TS)), "dedup")
 
 
+@query("x3_first_copies", f"""
+WITH {READINGS}, h AS (SELECT station_id, date_trunc('hour', timestamp_utc) AS timestamp_utc, event_id, source, pm25 FROM readings)
+SELECT * FROM h WHERE timestamp_utc <= (SELECT max(timestamp_utc) FROM h) - INTERVAL 2 HOUR
+QUALIFY row_number() OVER (PARTITION BY station_id, timestamp_utc ORDER BY event_id) = 1""")
+def x3_first(spark, folder):
+    """The reading that arrived first for each station and hour, whole, once no earlier one can come."""
+    rows = readings(spark, folder).select("station_id", TS, "event_id", "source", "pm25")
+    hours = in_batches(rows).withColumn(TS, F.date_trunc("hour", TS).cast("timestamp_ntz"))
+    return jobs.drain(jobs.dedup_first_stream(hours, ["station_id"], TS, ["event_id"]), "first-copies")
+
+
 @query("x4_hourly_means", f"""
 WITH {READINGS} SELECT source, date_trunc('hour', timestamp_utc) AS window_start, {q6('avg(pm25)')} AS mean, count(*) AS n FROM readings GROUP BY 1, 2
 HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(timestamp_utc) FROM readings) - INTERVAL 2 HOUR""")
@@ -85,8 +103,8 @@ def x4(spark, folder):
 WITH {READINGS}, m AS (SELECT source, date_trunc('minute', timestamp_utc) - INTERVAL 1 MINUTE * i AS window_start, pm25 FROM readings, range(5) t(i))
 SELECT source, window_start, {q6('avg(pm25)')} AS mean, count(*) AS n FROM m GROUP BY 1, 2 HAVING window_start + INTERVAL 5 MINUTE <= (SELECT max(timestamp_utc) FROM readings) - INTERVAL 2 HOUR""")
 def x4_sliding(spark, folder):
-    rows = jobs.station_means(reading_stream(spark, folder), "source", TS, "pm25", "5 minutes", "1 minute")
-    return rounded(jobs.drain(rows, "sliding-means"))
+    """Five-minute means every minute, from one-minute panes."""
+    return rounded(jobs.drain(jobs.sliding_means(reading_stream(spark, folder), "source", TS, "pm25"), "sliding-means"))
 
 
 @query("x5_stream_faults", f"""
@@ -113,10 +131,30 @@ SELECT station_id, CASE WHEN timestamp_utc + INTERVAL 2 HOUR + INTERVAL 10 MINUT
 def x7(spark, folder):
     """Newest value per station over several micro-batches; one that has been expired for long is served as the default."""
     path, rows = work_dir(spark, "latest"), readings(spark, folder).select("station_id", TS, "pm25")
-    run = jobs.latest_stream(in_batches(rows), path, "station_id", TS, ties=["pm25"])
-    run.awaitTermination()
+    jobs.latest_stream(in_batches(rows), path, "station_id", TS, ties=["pm25"]).awaitTermination()
     now = rows.agg(F.max(TS)).first()[0]
-    return jobs.served_values(rows.select("station_id").distinct(), spark.read.parquet(jobs.last_batch(run, path)), now, "station_id", "pm25")
+    return jobs.served_values(rows.select("station_id").distinct(), jobs.latest_rows(spark, path), now, "station_id", "pm25")
+
+
+@query("x7_stations_in_state", """
+WITH l AS (SELECT 'st_' || user_id AS station_id, max(ts) AS timestamp_utc FROM events GROUP BY 1)
+SELECT station_id, timestamp_utc FROM l
+WHERE epoch_ms(timestamp_utc + INTERVAL 130 MINUTE) + 1 > epoch_ms((SELECT max(ts) FROM events)) - 7200000""")
+def x7_kept(spark, folder):
+    """Stations whose newest row is still in the state when the stream ends: those expired for long are gone from it."""
+    path, rows = work_dir(spark, "latest"), readings(spark, folder).select("station_id", TS, "pm25")
+    jobs.latest_stream(in_batches(rows), path, "station_id", TS, ties=["pm25"]).awaitTermination()
+    return jobs.latest_rows(spark, path).select("station_id", TS)
+
+
+@query("x8_silent_stations", """
+WITH n AS (SELECT DISTINCT user_id, ts FROM events), g AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM n)
+SELECT 'st_' || user_id AS station_id, ts AS last_seen, ts + INTERVAL 3 HOUR AS silent_since FROM g
+WHERE (next IS NULL OR next - ts > INTERVAL 3 HOUR) AND epoch_us(ts + INTERVAL 3 HOUR) < (epoch_ms((SELECT max(ts) FROM events)) - 7200000) * 1000""")
+def x8_silent(spark, folder):
+    """Every silence of more than three hours, told by timers while it lasts."""
+    rows = readings(spark, folder).select("station_id", TS)
+    return jobs.drain(jobs.silence_stream(in_batches(rows), "station_id", TS), "silence")
 
 
 @query("x8_activity_sessions", """
