@@ -15,9 +15,10 @@ from ..functions.air import aqi_category, aqi_label, clamp_forecast, spread
 from ..functions.timefns import micros
 from ..sources.tables import ensure_columns
 from ..session import stored
-from .chunks import as_list, small_side
-from .regression import LinearModel, fit_linear, fit_linear_by, dot, predict
-from .windows import last_rows, sequences
+from .chunks import BLOCK_ROWS, as_list, small_side
+from .lagged import weighted_window_products, window_blocks, window_products
+from .regression import LinearModel, fit_linear, fit_linear_by, dot, model_of, predict, reweighted
+from .windows import last_rows
 
 DAY_S = 86400.0
 
@@ -228,12 +229,24 @@ class MultiStepModel:
 
 def fit_multistep(
     df: DataFrame, key: str | Sequence[str], ts: str, inputs: Sequence[str], target: str,
-    n_in: int = 48, n_out: int = 24, ridge: float = 1e-2, ties: Sequence[str] = (),
+    n_in: int = 48, n_out: int = 24, ridge: float = 1e-2, ties: Sequence[str] = (), *,
+    loss: str = "squared", delta: float = 1.0, rounds: int = 30, block_rows: int = BLOCK_ROWS,
 ) -> MultiStepModel:
-    """Direct forecaster: all horizons regressed on the flattened input window in one pass."""
-    windows = sequences(df, key, ts, inputs, target, n_in, n_out, ties=ties)
+    """Direct forecaster: all horizons regressed on the flattened input window.
+
+    Windows are never copied: blocks of rows give their cross-products by lag.
+    Under the ``huber`` loss, squared up to ``delta`` and linear beyond, each
+    round weighs the windows of a block by how far the model before misses them.
+    """
+    if loss not in ("squared", "huber"):
+        raise ValueError(f"unknown loss {loss}")
+    blocks = window_blocks(df, key, ts, inputs, target, n_in, n_out, ties, block_rows)
     names = [f"{c}_t{i - n_in + 1}" for i in range(n_in) for c in inputs]
-    model = fit_linear(windows, flat_inputs(), F.col("y"), names, n_out, ridge)
+    if loss == "huber":
+        blocks = stored(blocks, "window-blocks")
+    model = model_of(window_products(blocks, key, n_in, n_out), names, n_out, ridge)
+    if loss == "huber":
+        model = reweighted(model, lambda coef, intercept: weighted_window_products(blocks, key, n_in, n_out, len(names), coef, intercept, delta), ridge, rounds, 1e-6)
     return MultiStepModel(model, list(inputs), n_in, n_out)
 
 

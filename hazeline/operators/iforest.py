@@ -44,6 +44,8 @@ class Forest:
     depth: int
     norm: float
     offset: float | None = None
+    #: Sampled rows that reached each node while it grew.
+    cover: np.ndarray | None = None
 
 
 def feature_frame(df: DataFrame, columns: Sequence[str] = ANOMALY_FEATURES) -> DataFrame:
@@ -80,9 +82,9 @@ def tree_samples(df: DataFrame, columns: Sequence[str], row_id: Sequence[str], t
 
 
 def _build_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
-    """Grow all nodes of a level together; returns (feature, threshold, path) by node."""
+    """Grow all nodes of a level together; returns (feature, threshold, path, cover) by node."""
     size = (1 << (depth + 1)) - 1
-    feature, threshold = np.full(size, -1, np.int32), np.zeros(size)
+    feature, threshold, cover = np.full(size, -1, np.int32), np.zeros(size), np.zeros(size)
     path = np.floor(np.log2(np.arange(size) + 1.0))
     rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)
     for level in range(depth + 1):
@@ -91,7 +93,7 @@ def _build_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
         order = np.argsort(node, kind="stable")
         rows, node = rows[order], node[order]
         ids, starts, counts = np.unique(node, return_index=True, return_counts=True)
-        path[ids] = level + average_path(counts)
+        path[ids], cover[ids] = level + average_path(counts), counts
         if level == depth:
             break
         low, high = np.minimum.reduceat(x[rows], starts), np.maximum.reduceat(x[rows], starts)
@@ -106,7 +108,7 @@ def _build_tree(x: np.ndarray, depth: int, rng: np.random.Generator):
         keep = split[member]
         rows, node, member = rows[keep], node[keep], member[keep]
         node = 2 * node + 1 + (x[rows, pick[member]] > cut[member])
-    return feature, threshold, path
+    return feature, threshold, path, cover
 
 
 def fit_iforest(
@@ -125,19 +127,19 @@ def fit_iforest(
         tree = int(pdf["tree"].iloc[0])
         x = np.stack(pdf["x"].to_numpy())
         levels = max(1, int(np.ceil(np.log2(max(len(x), 2)))))
-        f, t, p = _build_tree(x, min(levels, depth), np.random.default_rng([seed, tree]))
+        f, t, p, c = _build_tree(x, min(levels, depth), np.random.default_rng([seed, tree]))
         pad = (1 << (depth + 1)) - 1 - len(f)
         return pd.DataFrame({
             "tree": [tree], "n": [len(x)], "feature": [np.pad(f, (0, pad), constant_values=-1)],
-            "threshold": [np.pad(t, (0, pad))], "path": [np.pad(p, (0, pad))]})
+            "threshold": [np.pad(t, (0, pad))], "path": [np.pad(p, (0, pad))], "cover": [np.pad(c, (0, pad))]})
 
     # One row per tree: the collected model is trees x 2 * subsample numbers.
     rows = spread_by(samples, "tree").groupBy("tree").applyInPandas(
-        build, "tree int, n int, feature array<int>, threshold array<double>, path array<double>").collect()
+        build, "tree int, n int, feature array<int>, threshold array<double>, path array<double>, cover array<double>").collect()
     rows.sort(key=lambda r: r["tree"])
     forest = Forest(
         columns, np.array([r["feature"] for r in rows], np.int32), np.array([r["threshold"] for r in rows]),
-        np.array([r["path"] for r in rows]), depth, float(average_path(max(r["n"] for r in rows))) or 1.0)
+        np.array([r["path"] for r in rows]), depth, float(average_path(max(r["n"] for r in rows))) or 1.0, cover=np.array([r["cover"] for r in rows]))
     scores = raw_scores(frame, forest).select(F.lit("all").alias("g"), "_score")
     forest.offset = exact_quantiles(scores, "g", "_score", [contamination]).first()["quantile"]
     return forest
@@ -168,3 +170,73 @@ def score_iforest(df: DataFrame, forest: Forest) -> DataFrame:
     gap = F.col("_score") - F.lit(forest.offset)
     out = scored.withColumn("anomaly_score", gap).withColumn("is_anomaly", gap < 0)
     return out.select(*df.columns, "anomaly_score", "is_anomaly")
+
+
+@dataclass
+class Boxes:
+    """The leaves of all trees: ``low < x <= high`` per feature, the share of rows that splits on a feature leave, and the depth."""
+
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+
+def leaf_boxes(forest: Forest) -> Boxes:
+    trees, nodes = forest.feature.shape
+    d = len(forest.columns)
+    low, high, share = np.full((trees, nodes, d), -np.inf), np.full((trees, nodes, d), np.inf), np.ones((trees, nodes, d))
+    there = np.zeros((trees, nodes), bool)
+    there[:, 0] = True
+    for node in range(nodes // 2):
+        at = np.flatnonzero(there[:, node] & (forest.feature[:, node] >= 0))
+        f, cut = forest.feature[at, node], forest.threshold[at, node]
+        for child in (2 * node + 1, 2 * node + 2):
+            there[at, child] = True
+            for a in (low, high, share):
+                a[at, child] = a[at, node]
+            share[at, child, f] *= forest.cover[at, child] / forest.cover[at, node]
+        high[at, 2 * node + 1, f] = np.minimum(high[at, 2 * node + 1, f], cut)
+        low[at, 2 * node + 2, f] = np.maximum(low[at, 2 * node + 2, f], cut)
+    leaf = there & (forest.feature < 0)
+    return Boxes(low[leaf], high[leaf], share[leaf], forest.path[leaf])
+
+
+def shapley_depths(x: np.ndarray, boxes: Boxes, trees: int) -> np.ndarray:
+    """Shapley values of each row's mean depth, features out of the coalition following the training rows' shares.
+
+    A leaf's part is v times a product over the features of "inside" if known,
+    "share" if not. Its Shapley value is the integral of a polynomial in the
+    chance of being known, of a degree below the number of features, which a
+    Gauss rule with half as many points gives exactly.
+    """
+    d = x.shape[1]
+    points, weights = np.polynomial.legendre.leggauss(d // 2 + 1)
+    out = np.zeros(x.shape)
+    for i, row in enumerate(x):
+        change = ((row > boxes.low) & (row <= boxes.high)) - boxes.share
+        for t, w in zip((points + 1) / 2, weights / 2):
+            factor = boxes.share + t * change
+            whole = boxes.value * factor.prod(axis=1)
+            out[i] += w * (change / factor * whole[:, None]).sum(axis=0)
+    return out / trees
+
+
+def explain_iforest(df: DataFrame, forest: Forest) -> DataFrame:
+    """Add ``depth`` (mean depth, smaller is more anomalous), ``baseline`` and ``parts``: each feature's exact contribution.
+
+    Baseline and contributions add up to the depth. Meant for the rows that were
+    flagged: a row costs a pass over all leaves.
+    """
+    boxes, trees = leaf_boxes(forest), len(forest.feature)
+    baseline = float((boxes.value * boxes.share.prod(axis=1)).sum() / trees)
+
+    @F.pandas_udf("array<double>")
+    def parts(x: pd.DataFrame) -> pd.Series:
+        return pd.Series(list(shapley_depths(x.to_numpy(dtype=float), boxes, trees)))
+
+    scored = raw_scores(feature_frame(df, forest.columns), forest)
+    values = scored.withColumn("_parts", parts(F.struct(*[F.col(f"_f_{c}").alias(c) for c in forest.columns])))
+    named = [F.struct(F.lit(c).alias("feature"), F.col("_parts")[i].alias("contribution")) for i, c in enumerate(forest.columns)]
+    depth = -F.lit(forest.norm) * F.log2(-F.col("_score"))
+    return values.select(*df.columns, depth.alias("depth"), F.lit(baseline).alias("baseline"), F.array(*named).alias("parts"))

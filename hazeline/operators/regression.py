@@ -6,7 +6,7 @@ added piece by piece in two steps, so a key owning most rows never meets in one
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,30 +33,19 @@ class LinearModel:
     n: int
 
 
-def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence[str] = (), slots: int = SLOTS) -> DataFrame:
-    """(by, n, gram): flattened cross-products of [1, x, y] summed per key.
+def complete_rows(df: DataFrame, x: Column, y: Column, by: Sequence[str] = ()) -> DataFrame:
+    """(by, _v): [1, x, y] of the rows without NULL and NaN."""
+    rows = df.select(*by, F.concat(F.array(F.lit(1.0)), x, y).alias("_v"))
+    return rows.where(~F.exists("_v", lambda v: v.isNull() | F.isnan(v)))
 
-    A task's matrix leaves it in pieces of at most ``PIECE`` numbers, which are
-    added per (key, piece, slot) and then per (key, piece): no group holds whole
-    matrices of many tasks, however wide they are.
-    """
-    keys = list(by)
-    rows = df.select(*keys, F.concat(F.array(F.lit(1.0)), x, y).alias("_v")).where(
-        ~F.exists("_v", lambda v: v.isNull() | F.isnan(v)))
-    types = "".join(f"{c} {t}, " for c, t in rows.dtypes if c != "_v")
-    schema = f"{types}_piece int, _slot int, n long, gram array<double>"
-    lines = max(1, PIECE // width)
+
+def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence[str] = (), slots: int = SLOTS) -> DataFrame:
+    """(by, n, gram): flattened cross-products of [1, x, y] summed per key."""
+    keys, rows = list(by), complete_rows(df, x, y, by)
     held_most = max(1, HELD_BYTES // (8 * width * width))
 
     def reduce_batches(batches):
         held: dict = {}
-
-        def flush():
-            out = [{**dict(zip(keys, k)), "_piece": a // lines, "_slot": 0, "n": n, "gram": g[a:a + lines].ravel()}
-                   for k, (n, g) in held.items() for a in range(0, width, lines)]
-            held.clear()
-            return pd.DataFrame(out, columns=[*keys, "_piece", "_slot", "n", "gram"])
-
         for pdf in batches:
             groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
             for k, part in groups:
@@ -65,9 +54,35 @@ def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence
                 n, g = held.get(k, (0, 0.0))
                 held[k] = (n + len(v), g + v.T @ v)
             if len(held) > held_most:
-                yield flush()
+                yield in_pieces(held, keys)
+                held = {}
         if held:
-            yield flush()
+            yield in_pieces(held, keys)
+
+    return summed(rows.mapInPandas(reduce_batches, piece_schema(rows, keys)), keys, slots)
+
+
+def piece_schema(rows: DataFrame, keys: Sequence[str], extra: str = "") -> str:
+    types = "".join(f"{c} {t}, " for c, t in rows.dtypes if c in keys)
+    return f"{types}{extra}_piece int, _slot int, n long, gram array<double>"
+
+
+def in_pieces(held: dict, keys: Sequence[str]) -> pd.DataFrame:
+    """Matrices by key, cut into rows of at most ``PIECE`` numbers."""
+    out = []
+    for k, (n, g) in held.items():
+        lines = max(1, PIECE // len(g))
+        out += [{**dict(zip(keys, k)), "_piece": a // lines, "_slot": 0, "n": n, "gram": g[a:a + lines].ravel()} for a in range(0, len(g), lines)]
+    return pd.DataFrame(out, columns=[*keys, "_piece", "_slot", "n", "gram"])
+
+
+def summed(partial: DataFrame, keys: Sequence[str], slots: int = SLOTS) -> DataFrame:
+    """(keys, n, gram): matrices that tasks gave in pieces, added.
+
+    Pieces are added per (key, piece, slot) and then per (key, piece): no group
+    holds whole matrices of many tasks, however wide they are.
+    """
+    schema = ", ".join(f"{c} {t}" for c, t in partial.dtypes)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[[0]][[*keys, "_piece", "_slot"]].reset_index(drop=True)
@@ -76,7 +91,6 @@ def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence
             total += g
         return first.assign(n=int(pdf["n"].sum()), gram=[total])
 
-    partial = rows.mapInPandas(reduce_batches, schema)
     partial = partial.withColumn("_slot", (F.spark_partition_id() % slots).cast("int"))
     once = partial.groupBy(*keys, "_piece", "_slot").applyInPandas(add, schema)
     twice = once.withColumn("_slot", F.lit(0)).groupBy(*keys, "_piece").applyInPandas(add, schema)
@@ -84,6 +98,66 @@ def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence
     return twice.groupBy(*keys).agg(F.max("n").alias("n"), whole.alias("gram")).where("n is not null").select(*keys, "n", "gram")
 
 
+def huber_products(v: np.ndarray, p: int, coef: np.ndarray, intercept: np.ndarray, delta: float) -> dict:
+    """Per target, (rows, cross-products of [1, x, y] under the weights of the Huber loss) for rows [1, x, y...]."""
+    x1, y = v[:, :p + 1], v[:, p + 1:]
+    miss = np.abs(y - x1[:, 1:] @ coef - intercept)
+    weight = delta / np.maximum(miss, delta)
+    out = {}
+    for j in range(y.shape[1]):
+        u = np.column_stack([x1, y[:, j]])
+        out[(j,)] = (len(u), u.T @ (u * weight[:, j:j + 1]))
+    return out
+
+
+def weighted_products(df: DataFrame, x: Column, y: Column, p: int, coef: np.ndarray, intercept: np.ndarray, delta: float) -> DataFrame:
+    """(_target, n, gram): one aggregate over the rows, weighted by how far the given model misses them."""
+    rows = complete_rows(df, x, y)
+
+    def reduce_batches(batches):
+        held: dict = {}
+        for pdf in batches:
+            if len(pdf):
+                add_to(held, huber_products(np.stack(pdf["_v"].to_numpy()), p, coef, intercept, delta))
+        if held:
+            yield in_pieces(held, ["_target"])
+
+    return summed(rows.mapInPandas(reduce_batches, piece_schema(rows, [], "_target int, ")), ["_target"])
+
+
+def add_to(held: dict, more: dict) -> None:
+    for k, (n, g) in more.items():
+        m, h = held.get(k, (0, 0.0))
+        held[k] = (m + n, h + g)
+
+
+def reweighted(start: LinearModel, products: Callable[[np.ndarray, np.ndarray], DataFrame], ridge: float, rounds: int, tolerance: float) -> LinearModel:
+    """Least squares repeated under the weights of the model before, until no prediction at the mean inputs or coefficient moves.
+
+    ``products`` gives (_target, n, gram) for a model; each round is one such
+    aggregate, and one matrix per target reaches the driver.
+    """
+    p, model = len(start.names), start
+    for _ in range(rounds):
+        rows = sorted(products(model.coef, model.intercept).collect(), key=lambda r: r["_target"])
+        found = [solve(np.array(r["gram"]).reshape(p + 2, p + 2), p, 1, ridge) for r in rows]
+        coef, intercept = np.column_stack([f[0][:, 0] for f in found]), np.array([f[1][0] for f in found])
+        sigma = np.array([f[3][0] for f in found])
+        scale = np.maximum(np.abs(coef).max(), 1e-12)
+        moved = max(np.abs(coef - model.coef).max() / scale, np.abs(intercept - model.intercept).max() / max(1.0, np.abs(intercept).max()))
+        model = LinearModel(start.names, coef, intercept, start.mean, sigma, start.n)
+        if moved <= tolerance:
+            break
+    return model
+
+
+def fit_huber(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets: int = 1, ridge: float = 1e-3, delta: float = 1.0,
+              rounds: int = 50, tolerance: float = 1e-6) -> LinearModel:
+    """A shared model under the Huber loss: squared up to ``delta``, linear beyond, so that outliers pull with bounded force."""
+    start = fit_linear(df, x, y, names, targets, ridge)
+    return reweighted(start, lambda coef, intercept: weighted_products(df, x, y, len(names), coef, intercept, delta), ridge, rounds, tolerance)
+
+
 def solve(gram: np.ndarray, p: int, q: int, ridge: float):
     """Centred, scaled ridge solution from the cross-products of [1, x (p), y (q)]."""
     n = gram[0, 0]
@@ -105,12 +179,15 @@ def solve(gram: np.ndarray, p: int, q: int, ridge: float):
 
 def fit_linear(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets: int = 1, ridge: float = 1e-3) -> LinearModel:
     """One shared model; what reaches the driver is one cross-product matrix."""
-    p = len(names)
-    width = 1 + p + targets
-    row = cross_products(df, x, y, width).first()
+    return model_of(cross_products(df, x, y, 1 + len(names) + targets), names, targets, ridge)
+
+
+def model_of(products: DataFrame, names: Sequence[str], targets: int, ridge: float) -> LinearModel:
+    """The model of one row of summed cross-products."""
+    p, row = len(names), products.first()
     if row is None:
         raise ValueError("no complete training rows")
-    coef, intercept, mean, sigma, n = solve(np.array(row["gram"]).reshape(width, width), p, targets, ridge)
+    coef, intercept, mean, sigma, n = solve(np.array(row["gram"]).reshape(1 + p + targets, 1 + p + targets), p, targets, ridge)
     return LinearModel(list(names), coef, intercept, mean, sigma, n)
 
 
