@@ -1,7 +1,7 @@
 """The hourly, daily and weekly jobs as plans over stored tables.
 
 Each job takes frames and returns frames; where to store them is the caller's
-choice (``sources.tables.append`` and ``export``, ``sources.messages.publish``).
+choice (``sources.tables.append``, ``upsert`` and ``export``, ``sources.messages.publish``).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from ..session import stored
 from ..sources.feeds import primary_else_fallback, union_sources
 from ..schemas import FEATURES
 from ..sources.messages import online_snapshot
-from ..sources.tables import append, history, read_day_table, sensor_rows
+from ..sources.tables import history, read_day_table, sensor_rows, upsert
 from .features import compute_features
 
 TS = "timestamp_utc"
@@ -92,9 +92,12 @@ def publish_model_forecasts(features: DataFrame, model: SeasonalModel, hours: in
     return own.unionByName(rest)
 
 
-def features_to_online(readings: DataFrame, weather: DataFrame | None, calendar: DataFrame, path: str) -> DataFrame:
-    """The feature job: compute, append to the stored table, read it back, newest row per station as keyed JSON."""
-    append(compute_features(readings, weather, calendar), path, FEATURES, stamp="computed_at")
+def features_to_online(readings: DataFrame, weather: DataFrame | None, calendar: DataFrame, path: str, run: str | None = None) -> DataFrame:
+    """The feature job: compute, write by key into the stored table, read it back, newest row per station as keyed JSON.
+
+    Run again, on the same or on overlapping readings, the table holds each station and hour once.
+    """
+    upsert(compute_features(readings, weather, calendar), path, FEATURES, stamp="computed_at", run=run)
     return online_snapshot(read_day_table(readings.sparkSession, path, FEATURES), "station_id", TS, "computed_at")
 
 

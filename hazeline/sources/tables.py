@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 
 import pyarrow as pa
@@ -14,6 +14,7 @@ from ..constants import (
     TIHAR_STARTS, WARD_NAME, WARDS, YEARLY_HOLIDAYS,
 )
 from ..schemas import CALENDAR, WARDS as WARD_SCHEMA
+from ..session import stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -125,6 +126,48 @@ def append(df: DataFrame, path: str, schema: T.StructType, ts: str = "timestamp_
     out.hint("rebalance", "date").sortWithinPartitions("date", *keys, ts).write.mode("append").partitionBy("date").parquet(path)
 
 
+def upsert(df: DataFrame, path: str, schema: T.StructType, keys: Sequence[str] = ("station_id", "timestamp_utc"), ts: str = "timestamp_utc",
+           stamp: str = "ingested_at", run: str | None = None) -> None:
+    """Write rows by key into day folders: of equal keys the newest stamp stays, so repeating a run changes no row count.
+
+    Only days that the new rows touch are read and written again. The merged
+    days are complete in the work folder before the table changes, and a run
+    that was broken off is repaired by running it again; ``run`` names it in
+    ``finished_runs`` once all its days are there. Keys must not be NULL.
+    Rows of one key and stamp that differ leave the largest, column by column.
+    """
+    spark = df.sparkSession
+    fresh = stored(conform(df.withColumn(stamp, F.current_timestamp().cast("timestamp_ntz")), schema).withColumn("date", F.to_date(ts)), "upsert-new")
+    both, rest = fresh, [c for c in schema.names if c not in (*keys, stamp)]
+    if has_rows(spark, path):
+        # A day's folder is read only if the new rows have that day.
+        old = spark.read.schema(fresh.schema).parquet(path)
+        both = fresh.unionByName(old.join(fresh.select("date").distinct(), "date", "left_semi"))
+    best = both.groupBy(*keys, "date").agg(F.max(F.struct(stamp, *rest)).alias("_row"))
+    merged = stored(best.select(*keys, "date", "_row.*").select(*schema.names, "date"), "upsert-days")
+    merged.hint("rebalance", "date").sortWithinPartitions("date", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    if run is not None:
+        spark.range(1).select(F.lit(run).alias("run"), F.lit(fresh.count()).alias("n_rows")).coalesce(1).write.mode("overwrite").json(f"{path}/{RUNS}/{run}")
+
+
+#: Markers of finished runs, beside the days; readers skip names that begin so.
+RUNS = "_runs"
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a table of day folders is there."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/date=*")
+    return bool(len(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found) or []))
+
+
+def finished_runs(spark: SparkSession, path: str) -> DataFrame:
+    """(run, n_rows) of the runs whose rows are all in the table."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{RUNS}")
+    if not jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path):
+        return spark.createDataFrame([], "run string, n_rows long")
+    return spark.read.schema("run string, n_rows long").json(f"{path}/{RUNS}/*")
+
+
 def read_day_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.parquet(path).select(*schema.names)
 

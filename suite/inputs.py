@@ -151,6 +151,18 @@ def s8(spark, folder):
     return spark.read.schema("key string, value string").json(f"{path}/raw.aqi")
 
 
+@query("s6_upsert_readings", f"""
+WITH {READINGS} SELECT station_id, timestamp_utc, source, pm25 + CASE WHEN source = 'view' THEN 1 ELSE 0 END AS pm25, pm10, 2 AS runs FROM readings""")
+def s6_upsert(spark, folder):
+    """A run, a correction of some of its rows, and that correction again: each station and time stays once."""
+    path, rows = work_dir(spark, "upserted"), readings(spark, folder)
+    better = rows.where("source = 'view'").withColumn("pm25", F.col("pm25") + 1)
+    for run, part in (("first", rows), ("better", better), ("better", better)):
+        tables.upsert(part, path, schemas.READING, run=run)
+    runs = F.lit(tables.finished_runs(spark, path).count()).alias("runs")
+    return tables.read_day_table(spark, path, schemas.READING).select("station_id", TS, "source", "pm25", "pm10", runs)
+
+
 @query("s10_online_snapshot", f"""
 WITH {READINGS}, f AS (SELECT station_id, timestamp_utc, pm25, timestamp_utc + INTERVAL 5 MINUTE AS computed_at FROM readings)
 SELECT 'features:' || station_id || ':latest' AS key, to_json({{'station_id': station_id, 'timestamp_utc': strftime(timestamp_utc, '{SQL_ISO}'),

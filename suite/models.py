@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
-from hazeline.operators import forecasts, iforest, regression
+from hazeline.operators import forecasts, iforest, lagged, regression
 from hazeline.operators.explain import explanation, top_contributors
 from hazeline.operators.faults import statistical_alerts
 from hazeline.operators.metrics import anomaly_summary, horizon_rmse, regression_metrics
 from hazeline.operators.spatial import Variogram, fit_variogram, krige, semivariogram
 from hazeline.operators.windows import chronological_split, latest_per_key, sequences, trailing
 
-from .base import READINGS, hourly, q6, query, r6, readings, rounded, ward_values_sql, wards
+from .base import HOURLY, READINGS, hourly, q6, query, r6, readings, rounded, ward_values_sql, wards
 
 TS = "timestamp_utc"
 ASOF = dt.datetime(2024, 1, 31)
@@ -52,6 +54,43 @@ def m2(spark, folder):
     return rounded(horizon_rmse(aligned, "horizon", "actual", "forecast"))
 
 
+@query("m2_huber_forecaster")
+def m2_huber(spark, folder):
+    """12 hours in, 3 hours out under the Huber loss; RMSE per horizon on the training windows."""
+    rows = hourly(spark, folder)
+    model = forecasts.fit_multistep(rows, "source", TS, ["pm25", "pm10"], "pm25", 12, 3, loss="huber", delta=10.0, rounds=8)
+    windows = sequences(rows, "source", TS, ["pm25", "pm10"], "pm25", 12, 3)
+    predicted = forecasts.predict_multistep(model, windows, ["source", TS, "y"])
+    return rounded(horizon_rmse(predicted.withColumn("actual", F.element_at("y", F.col("horizon"))), "horizon", "actual", "forecast"))
+
+
+@query("m2_huber_step", f"""
+WITH {READINGS}, w AS (SELECT pm10 AS x, pm25 AS y, 20 / greatest(abs(pm25 - 50), 20) AS w FROM readings),
+s AS (SELECT sum(w) AS s, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy, count(*) AS n FROM w)
+SELECT n, {q6('(s * sxy - sx * sy) / (s * sxx - sx * sx)')} AS slope,
+       {q6('(sy - (s * sxy - sx * sy) / (s * sxx - sx * sx) * sx) / s')} AS intercept FROM s""")
+def m2_step(spark, folder):
+    """One reweighted step from the constant 50: weights fall beyond a miss of 20."""
+    row = regression.weighted_products(readings(spark, folder), F.array("pm10"), F.array("pm25"), 1, np.zeros((1, 1)), np.array([50.0]), 20.0)
+    s, sx, sy, sxx, sxy = (F.col("gram")[i] for i in (0, 1, 2, 4, 5))
+    slope = (s * sxy - sx * sy) / (s * sxx - sx * sx)
+    return rounded(row.select("n", slope.alias("slope"), ((sy - slope * sx) / s).alias("intercept")))
+
+
+@query("m2_window_products", f"""
+WITH {HOURLY}, z AS (
+  SELECT source, pm25 AS x3, lag(pm25, 1) OVER w AS x2, lag(pm25, 2) OVER w AS x1, lead(pm25, 1) OVER w AS y1, lead(pm25, 2) OVER w AS y2
+  FROM hourly WINDOW w AS (PARTITION BY source ORDER BY timestamp_utc))
+SELECT count(*) AS n, round(sum(x1 * x1), 2) AS x1_x1, round(sum(x1 * x3), 2) AS x1_x3, round(sum(x3 * x3), 2) AS x3_x3, round(sum(x2 * y2), 2) AS x2_y2,
+       round(sum(y1 * y2), 2) AS y1_y2, round(sum(y2), 2) AS y2 FROM z WHERE x1 IS NOT NULL AND y2 IS NOT NULL""")
+def m2_products(spark, folder):
+    """Cross-products of all windows of three hours and the two behind them, from lagged products of the rows."""
+    blocks = lagged.window_blocks(hourly(spark, folder), "source", TS, ["pm25"], "pm25", 3, 2)
+    places = {"x1_x1": (1, 1), "x1_x3": (1, 3), "x3_x3": (3, 3), "x2_y2": (2, 5), "y1_y2": (4, 5), "y2": (0, 5)}
+    found = lagged.window_products(blocks, "source", 3, 2)
+    return found.select("n", *[F.round(F.col("gram")[6 * i + j], 2).alias(c) for c, (i, j) in places.items()])
+
+
 def anomaly_inputs(spark, folder):
     spec = {"pm25_1h_mean": ("mean", 1), "pm25_6h_mean": ("mean", 6)}
     return trailing(readings(spark, folder), "station_id", TS, "pm25", spec)
@@ -119,6 +158,25 @@ def m3_counts(spark, folder):
     return iforest.score_iforest(rows, iforest.fit_iforest(rows, trees=20)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("m5_forest_additive", f"WITH {READINGS} SELECT count(*) AS n_rows, count(*) AS n_additive FROM readings")
+def m5_additive(spark, folder):
+    """Contributions of every reading's features add up to its depth in the forest."""
+    rows = anomaly_inputs(spark, folder)
+    found = iforest.explain_iforest(rows, iforest.fit_iforest(rows, trees=5, subsample=64))
+    total = F.col("baseline") + F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["contribution"])
+    return found.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.abs(total - F.col("depth")) < 1e-6).alias("n_additive"))
+
+
+@query("m5_anomaly_drivers")
+def m5_drivers(spark, folder):
+    """What makes each flagged reading anomalous: its features' exact contributions to the mean depth."""
+    rows = anomaly_inputs(spark, folder)
+    forest = iforest.fit_iforest(rows, trees=50)
+    flagged = iforest.score_iforest(rows, forest).where("is_anomaly").drop("anomaly_score", "is_anomaly")
+    found = iforest.explain_iforest(flagged, forest)
+    return rounded(top_contributors(found, ["event_id"], "parts", 3))
+
+
 TERMS = ["pm10", "pm25_24h_mean", "humidity_pct", "is_monsoon"]
 LINEAR = f"""{READINGS}, x AS (
   SELECT event_id, pm25, pm10, pm25 * 0.5 + pm10 AS pm25_24h_mean, pm10 * pm10 / 100 AS humidity_pct, CASE WHEN source = 'view' THEN 1.0 ELSE 0.0 END AS is_monsoon FROM readings),

@@ -110,3 +110,33 @@ def test_worker_functions_travel_by_value():
     from pyspark.cloudpickle import cloudpickle
 
     assert "hazeline" in cloudpickle.list_registry_pickle_by_value()
+
+
+def day_rows(rows):
+    return [(s, T0 + dt.timedelta(hours=h), v) for s, h, v in rows]
+
+
+def test_upsert_is_repeatable_and_touches_its_days_only(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "station_id string, timestamp_utc timestamp_ntz, pm25 double"
+    first = spark.createDataFrame(day_rows([("a", 0, 1.0), ("a", 1, 2.0), ("b", 30, 3.0), ("b", 55, 4.0)]), schema)
+    tables.upsert(first, path, schemas.READING, run="r1")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "table").rglob("*.parquet")}
+    second = spark.createDataFrame(day_rows([("a", 1, 9.0), ("c", 31, 5.0)]), schema)
+    for _ in range(2):
+        tables.upsert(second, path, schemas.READING, run="r2")
+    got = sorted((r.station_id, r.timestamp_utc, r.pm25) for r in tables.read_day_table(spark, path, schemas.READING).collect())
+    assert got == sorted(day_rows([("a", 0, 1.0), ("a", 1, 9.0), ("b", 30, 3.0), ("b", 55, 4.0), ("c", 31, 5.0)]))
+    kept = {p for p, t in before.items() if p.exists() and p.stat().st_mtime_ns == t}
+    assert [p.parent.name for p in kept] == [f"date={(T0 + dt.timedelta(hours=55)).date()}"]
+    assert sorted((r.run, r.n_rows) for r in tables.finished_runs(spark, path).collect()) == [("r1", 4), ("r2", 2)]
+
+
+def test_the_feature_job_run_twice_leaves_the_same_table(spark, tmp_path):
+    rows = [("a" if i % 2 else "b", T0 + dt.timedelta(hours=i), float(40 + i % 9)) for i in range(80)]
+    readings = spark.createDataFrame(rows, "station_id string, timestamp_utc timestamp_ntz, pm25 double")
+    path, counts, shots = str(tmp_path / "features"), [], []
+    for _ in range(2):
+        shots.append({r.key for r in jobs.features_to_online(readings, None, tables.default_calendar(spark), path, run="same").collect()})
+        counts.append(spark.read.parquet(path).groupBy("station_id").count().collect())
+    assert sorted(counts[0]) == sorted(counts[1]) and sum(r["count"] for r in counts[1]) == 80 and shots[0] == shots[1]
+    assert tables.finished_runs(spark, path).count() == 1
