@@ -104,7 +104,13 @@ def history_from_lags(columns: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class SeasonalSpec:
-    """Trend with hinges, Fourier seasons (period in days, order) and regressors."""
+    """Trend with hinges, Fourier seasons (period in days, order) and regressors.
+
+    ``sparsity`` above 0 penalises the size of the trend's changes, so that most
+    hinges stay straight. With ``widening``, intervals beyond the training time
+    grow with the horizon: the trend is taken to change there as often and by
+    as much, on average, as it did before.
+    """
 
     start: datetime
     end: datetime
@@ -114,6 +120,8 @@ class SeasonalSpec:
     regressors: tuple = tuple(SEASONAL_REGRESSORS)
     ridge: float = 1e-3
     z: float = 1.2816
+    sparsity: float = 0.0
+    widening: bool = False
 
 
 def seasonal_spec(df: DataFrame, ts: str, **options) -> SeasonalSpec:
@@ -157,9 +165,21 @@ def fit_seasonal(df: DataFrame, ts: str, y: str = "pm25", by: str | Sequence[str
     names, x = seasonal_terms(spec, ts)
     target = F.array(F.col(y).cast("double"))
     keys = as_list(by)
+    l1 = np.array([spec.sparsity if n.startswith("hinge_") else 0.0 for n in names]) if spec.sparsity > 0 else None
     if keys:
-        return SeasonalModel(spec, None, keys, fit_linear_by(ready, x, target, names, keys, spec.ridge))
-    return SeasonalModel(spec, fit_linear(ready, x, target, names, 1, spec.ridge), [], None)
+        return SeasonalModel(spec, None, keys, fit_linear_by(ready, x, target, names, keys, spec.ridge, l1))
+    return SeasonalModel(spec, fit_linear(ready, x, target, names, 1, spec.ridge, l1), [], None)
+
+
+def trend_variance(spec: SeasonalSpec, ts: str, change: Column) -> Column:
+    """Variance of the trend ahead of the training time, if slopes go on changing by ``change`` on average.
+
+    Changes of Laplace size have the variance 2 b^2; they come at the hinges'
+    rate, and one at s moves the trend at t by its size times t - s.
+    """
+    span = max((spec.end - spec.start).total_seconds(), 1.0)
+    ahead = F.greatest((micros(F.col(ts)) / 1e6 - (spec.end - datetime(1970, 1, 1)).total_seconds()) / span, F.lit(0.0))
+    return 2.0 * change * change * (spec.hinges / spec.hinge_share) * F.pow(ahead, 3) / 3.0
 
 
 def predict_seasonal(model: SeasonalModel, df: DataFrame, ts: str) -> DataFrame:
@@ -169,12 +189,16 @@ def predict_seasonal(model: SeasonalModel, df: DataFrame, ts: str) -> DataFrame:
     _, x = seasonal_terms(spec, ts)
     if model.shared is not None:
         yhat, sigma = predict(model.shared, x), F.lit(float(model.shared.sigma[0]))
+        change = F.lit(float(np.abs(model.shared.coef[1:spec.hinges + 1, 0]).mean()) if spec.hinges else 0.0)
         out = ready
     else:
         fitted = model.per_key.select(*model.by, F.col("intercept").alias("_b0"), F.col("coef").alias("_b"), F.col("sigma").alias("_sd"))
         # Models are kept and counted: up to 20,000 are broadcast, rows are not shuffled by station.
         out = ready.join(small_side(stored(fitted, "station-models"), 20_000), model.by)
         yhat, sigma = F.col("_b0") + dot(x, F.col("_b")), F.col("_sd")
+        change = F.aggregate(F.slice("_b", 2, spec.hinges), F.lit(0.0), lambda a, v: a + F.abs(v)) / max(spec.hinges, 1)
+    if spec.widening and spec.hinges:
+        sigma = F.sqrt(sigma * sigma + trend_variance(spec, ts, change))
     out = out.withColumn("yhat", yhat).withColumn("_half", spec.z * sigma)
     return out.select(*df.columns, "yhat", (F.col("yhat") - F.col("_half")).alias("yhat_lower"), (F.col("yhat") + F.col("_half")).alias("yhat_upper"))
 

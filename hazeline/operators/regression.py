@@ -158,8 +158,26 @@ def fit_huber(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets
     return reweighted(start, lambda coef, intercept: weighted_products(df, x, y, len(names), coef, intercept, delta), ridge, rounds, tolerance)
 
 
-def solve(gram: np.ndarray, p: int, q: int, ridge: float):
-    """Centred, scaled ridge solution from the cross-products of [1, x (p), y (q)]."""
+def sparse_descent(a: np.ndarray, b: np.ndarray, l1: np.ndarray, sweeps: int = 20_000, tolerance: float = 1e-10) -> np.ndarray:
+    """Minimiser of w'aw / 2 - b'w + sum of l1 |w|, coordinate by coordinate, per column of ``b``."""
+    w, diag = np.zeros(b.shape), np.diag(a)
+    left = b - a @ w
+    for _ in range(sweeps):
+        most = 0.0
+        for j in range(len(a)):
+            pull = left[j] + diag[j] * w[j]
+            step = np.sign(pull) * np.maximum(np.abs(pull) - l1[j], 0.0) / diag[j] - w[j]
+            if step.any():
+                w[j] += step
+                left -= np.outer(a[:, j], step)
+                most = max(most, np.abs(step).max())
+        if most <= tolerance * max(1.0, np.abs(w).max()):
+            break
+    return w
+
+
+def solve(gram: np.ndarray, p: int, q: int, ridge: float, l1: np.ndarray | None = None):
+    """Centred, scaled ridge solution from the cross-products of [1, x (p), y (q)]; ``l1`` penalises sizes of scaled coefficients."""
     n = gram[0, 0]
     mean = gram[0, 1:] / n
     cov = gram[1:, 1:] / n - np.outer(mean, mean)
@@ -171,27 +189,28 @@ def solve(gram: np.ndarray, p: int, q: int, ridge: float):
     a[:, ~live] = 0.0
     b = cov[:p, p:] / scale[:, None]
     b[~live] = 0.0
-    beta = np.linalg.solve(a + (ridge + 1e-12) * np.eye(p) + np.diag((~live).astype(float)), b) / scale[:, None]
+    a = a + (ridge + 1e-12) * np.eye(p) + np.diag((~live).astype(float))
+    beta = (np.linalg.solve(a, b) if l1 is None else sparse_descent(a, b, l1)) / scale[:, None]
     intercept = mean[p:] - mean[:p] @ beta
     residual = np.diag(cov[p:, p:]) - 2 * np.einsum("ij,ij->j", beta, cov[:p, p:]) + np.einsum("ij,ik,kj->j", beta, cov[:p, :p], beta)
     return beta, intercept, mean[:p], np.sqrt(np.maximum(residual, 0.0)), int(n)
 
 
-def fit_linear(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets: int = 1, ridge: float = 1e-3) -> LinearModel:
+def fit_linear(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets: int = 1, ridge: float = 1e-3, l1: np.ndarray | None = None) -> LinearModel:
     """One shared model; what reaches the driver is one cross-product matrix."""
-    return model_of(cross_products(df, x, y, 1 + len(names) + targets), names, targets, ridge)
+    return model_of(cross_products(df, x, y, 1 + len(names) + targets), names, targets, ridge, l1)
 
 
-def model_of(products: DataFrame, names: Sequence[str], targets: int, ridge: float) -> LinearModel:
+def model_of(products: DataFrame, names: Sequence[str], targets: int, ridge: float, l1: np.ndarray | None = None) -> LinearModel:
     """The model of one row of summed cross-products."""
     p, row = len(names), products.first()
     if row is None:
         raise ValueError("no complete training rows")
-    coef, intercept, mean, sigma, n = solve(np.array(row["gram"]).reshape(1 + p + targets, 1 + p + targets), p, targets, ridge)
+    coef, intercept, mean, sigma, n = solve(np.array(row["gram"]).reshape(1 + p + targets, 1 + p + targets), p, targets, ridge, l1)
     return LinearModel(list(names), coef, intercept, mean, sigma, n)
 
 
-def fit_linear_by(df: DataFrame, x: Column, y: Column, names: Sequence[str], by: str | Sequence[str], ridge: float = 1e-3) -> DataFrame:
+def fit_linear_by(df: DataFrame, x: Column, y: Column, names: Sequence[str], by: str | Sequence[str], ridge: float = 1e-3, l1: np.ndarray | None = None) -> DataFrame:
     """One model row per key: (by, n, intercept, coef, mean, sigma)."""
     keys, p = as_list(by), len(names)
     width = p + 2
@@ -200,7 +219,7 @@ def fit_linear_by(df: DataFrame, x: Column, y: Column, names: Sequence[str], by:
         for pdf in batches:
             out = []
             for gram in pdf["gram"]:
-                coef, intercept, mean, sigma, _ = solve(np.array(gram).reshape(width, width), p, 1, ridge)
+                coef, intercept, mean, sigma, _ = solve(np.array(gram).reshape(width, width), p, 1, ridge, l1)
                 out.append((float(intercept[0]), coef[:, 0], mean, float(sigma[0])))
             yield pdf[[*keys, "n"]].assign(
                 intercept=[o[0] for o in out], coef=[o[1] for o in out], mean=[o[2] for o in out], sigma=[o[3] for o in out])

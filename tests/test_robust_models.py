@@ -144,3 +144,56 @@ def test_boxes_hold_every_row_once(forest):
     x = df.toPandas()[f.columns].fillna(0).to_numpy()
     inside = [((r > boxes.low) & (r <= boxes.high)).all(axis=1).sum() for r in x]
     assert pd.Series(inside).eq(len(f.feature)).all()
+
+
+def broken_trend(spark):
+    """Slopes change at 30 % and 60 % of the time only; hinges stand at every 5 %."""
+    rng, rows = np.random.default_rng(11), []
+    for i in range(1200):
+        t = i / 1199
+        y = 40 + 30 * t - 90 * max(t - 0.3, 0) + 120 * max(t - 0.6, 0)
+        rows.append((T0 + dt.timedelta(hours=i), float(y + rng.normal(0, 0.5))))
+    df = spark.createDataFrame(rows, "t timestamp_ntz, pm25 double").repartition(3)
+    return df, forecasts.SeasonalSpec(T0, T0 + dt.timedelta(hours=1199), (), 19, 1.0, (), 1e-6, 1.2816, 0.02, True)
+
+
+def test_sparse_hinges_find_the_breaks(spark):
+    df, spec = broken_trend(spark)
+    model = forecasts.fit_seasonal(df, "t", spec=spec).shared
+    pdf = df.toPandas().sort_values("t")
+    t, y = np.arange(1200) / 1199, pdf.pm25.to_numpy()
+    x = np.column_stack([t, *[np.maximum(t - i / 20, 0) for i in range(1, 20)]])
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    z, pen = (x - mean) / scale, np.array([0.0] + [0.02] * 19)
+
+    def loss(w):
+        return 0.5 * np.mean((y - y.mean() - z @ w) ** 2) + 0.5e-6 * w @ w + pen @ np.abs(w)
+
+    # Brute force: proximal gradient steps with momentum.
+    step, w, v, k = 1 / np.linalg.norm(z.T @ z / len(y), 2), np.zeros(20), np.zeros(20), 1.0
+    for _ in range(60_000):
+        g = v + step * (z.T @ (y - y.mean() - z @ v) / len(y) - 1e-6 * v)
+        new = np.sign(g) * np.maximum(np.abs(g) - step * pen, 0)
+        k, last = (1 + np.sqrt(1 + 4 * k * k)) / 2, k
+        w, v = new, new + (last - 1) / k * (new - w)
+    own = model.coef[:, 0] * scale
+    assert loss(own) <= loss(w) + 1e-6 and np.allclose(x @ model.coef[:, 0], x @ (w / scale), atol=0.05)
+    slopes = np.abs(model.coef[1:, 0])
+    near = {5, 6, 7, 11, 12, 13}
+    assert sum(slopes[i - 1] for i in near) > 0.8 * slopes.sum() and (slopes < 1e-9).sum() >= 8
+    ridge = forecasts.fit_seasonal(df, "t", spec=forecasts.SeasonalSpec(spec.start, spec.end, (), 19, 1.0, (), 1e-6)).shared
+    assert (np.abs(ridge.coef[1:, 0]) < 1e-9).sum() == 0
+
+
+def test_intervals_grow_with_the_horizon(spark):
+    df, spec = broken_trend(spark)
+    for by in (None, "s"):
+        rows = df.withColumn("s", F.lit("a"))
+        model = forecasts.fit_seasonal(rows, "t", by=by, spec=spec)
+        ahead = spark.createDataFrame([("a", T0 + dt.timedelta(hours=h)) for h in (600, 1199, 1300, 1500, 2398)], "s string, t timestamp_ntz")
+        found = forecasts.predict_seasonal(model, ahead, "t").orderBy("t").collect()
+        half = [r.yhat_upper - r.yhat for r in found]
+        assert half[0] == pytest.approx(half[1]) and half[1] < half[2] < half[3] < half[4]
+        if by is None:
+            change, sigma = np.abs(model.shared.coef[1:20, 0]).mean(), model.shared.sigma[0]
+            assert half[4] == pytest.approx(1.2816 * np.sqrt(sigma ** 2 + 2 * change ** 2 * 19 / 3), rel=1e-6)
