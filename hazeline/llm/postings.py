@@ -1,7 +1,7 @@
 """Benchmark decontamination by a distributed positional inverted index, in DataFrame functions only.
 
-One pass over the corpus counts the terms that the test phrases use. Each
-phrase keeps its ``PROBES`` rarest terms; a phrase with a term the corpus lacks
+Texts are cut into words once and stored so. One pass over them counts the
+terms that the test phrases use. Each phrase keeps its ``PROBES`` rarest terms; a phrase with a term the corpus lacks
 cannot occur and is left out. A second pass stores the postings (document,
 term, position) of the probe terms. Phrases are matched from their rarest term
 outwards: its postings, shifted by the term's offset, are the candidate starts,
@@ -45,7 +45,8 @@ def terms_of(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
+    """Stored (id, key, words) of every row: texts are cut into words once, and all steps read these."""
+    return stored(docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), terms_of(F.col(text_col)).alias("words")), "document-words")
 
 
 def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -58,7 +59,7 @@ def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", te
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(term, n): occurrences in the corpus of each term of the vocabulary that occurs at all."""
-    every = docs.select(F.explode(terms_of(F.col("text"))).alias("term"))
+    every = docs.select(F.explode("words").alias("term"))
     return every.join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -73,7 +74,7 @@ def with_probes(phrases: DataFrame, counts: DataFrame, probes: int = PROBES) ->
 
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Stored postings (term, id, key, pos) of the given terms, or of all."""
-    rows = docs.select("id", "key", F.posexplode(terms_of(F.col("text"))).alias("pos", "term"))
+    rows = docs.select("id", "key", F.posexplode("words").alias("pos", "term"))
     if terms is not None:
         rows = rows.join(terms, "term", "left_semi")
     return stored(rows.select("term", "id", "key", "pos").sortWithinPartitions("term", "id", "key", "pos"), "postings")
@@ -105,7 +106,7 @@ def phrase_matches(docs: DataFrame, index: DataFrame, phrases: DataFrame, probes
     names = stored(starts.select("id", "key").distinct(), "phrase-documents")
     asked = stored(starts.groupBy("id", "key").agg(F.collect_list(F.struct("phrase", "words", "start")).alias("asked")), "phrase-candidates")
     texts = docs.join(names, same_row(docs, names), "left_semi").dropDuplicates(["id", "key"])
-    rows = texts.join(asked, same_row(texts, asked)).select(texts["id"], texts["key"], terms_of(F.col("text")).alias("have"), "asked")
+    rows = texts.join(asked, same_row(texts, asked)).select(texts["id"], texts["key"], F.col("words").alias("have"), "asked")
     exact = F.filter("asked", lambda c: F.slice("have", c["start"] + 1, F.size(c["words"])) == c["words"])
     found = F.transform(exact, lambda c: F.struct(c["phrase"].alias("phrase"), c["start"].alias("start"), F.size(c["words"]).alias("n")))
     return rows.select("id", "key", found.alias("found")).where(F.size("found") > 0)
@@ -152,7 +153,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col:
     """(id, n_words, n_hit, items) of every document; ``items`` is an array of item ids as sorted strings."""
     rows = keyed(docs, id_col, text_col)
     hits = stored(matched(rows, items, size), "contamination")
-    counts = rows.select("id", "key", F.size(terms_of(F.col("text"))).cast("long").alias("n_words"))
+    counts = rows.select("id", "key", F.size("words").cast("long").alias("n_words"))
     none = F.array().cast("array<string>")
     return counts.join(hits, same_row(counts, hits), "left").select(
         counts["id"], "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", none).alias("items"))
