@@ -5,6 +5,7 @@ import bz2
 import gzip
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -111,3 +112,90 @@ def test_frames(spark):
     clean = docs.select("doc_id", redacted(F.col("text")).alias("t")).collect()
     assert sum(r.t is None for r in clean) == 1 and not any(SECRET in (r.t or "") for r in clean)
     assert secret_spans(docs.limit(0)).count() == 0
+
+
+def plain_kinds(data, depth=0):
+    """Kinds of secrets in the data or any layer below it, by trying every start of every run and every place of every block."""
+    text, found = data.decode(errors="replace"), set()
+    found |= {k for _, k, _ in plain_base(text)}
+    if depth == 5:
+        return found
+    below = set()
+    for run in re.findall(r"[A-Za-z0-9+/_-]{19,}", text):
+        run = run.replace("-", "+").replace("_", "/")
+        for a in range(len(run) - 18):
+            body = run[a:len(run) - ((len(run) - a) % 4 == 1)]
+            below.add(base64.b64decode(body + "=" * (-len(body) % 4)))
+    for at in range(len(data)):
+        for head, tool in ((b"\x1f\x8b\x08", lambda: zlib.decompressobj(31)), (b"x\x9c", zlib.decompressobj), (b"BZh", bz2.BZ2Decompressor)):
+            if data.startswith(head, at):
+                try:
+                    below.add(tool().decompress(data[at:]))
+                except (zlib.error, OSError, EOFError):
+                    pass
+    if re.search("%[0-9A-Fa-f]{2}", text):
+        below |= {urllib.parse.unquote(text, errors="replace").encode(), urllib.parse.unquote_to_bytes(text)}
+    if "\\u" in text:
+        below.add(re.sub(r"\\u([0-9A-Fa-f]{4})", lambda m: chr(int(m[1], 16)), text).encode(errors="replace"))
+    for layer in below - {data}:
+        hints = [b"pass", b"AKIA", b"token", b"%", b"\\u", b"\x1f\x8b\x08", b"x\x9c", b"BZh"]
+        if any(h in layer for h in hints) or re.search(rb"[A-Za-z0-9+/_-]{19,}|[0-9a-f]{32,}", layer):
+            found |= plain_kinds(layer, depth + 1)
+    return found
+
+
+def test_random_nestings_equal_brute_force():
+    rnd = random.Random(12)
+    inner = [SECRET, "AKIA" + "Q" * 16, "token: 'abcdefgh1'", "0123456789abcdef" * 2, "nothing secret here", "passwordless"]
+    wraps = [lambda b: base64.b64encode(b), lambda b: base64.urlsafe_b64encode(b).rstrip(b"="), gzip.compress, zlib.compress, bz2.compress,
+             lambda b: b"some words " + b + b" and more", lambda b: urllib.parse.quote_from_bytes(b, safe="").encode()]
+    seen = set()
+    for _ in range(80):
+        data = rnd.choice(inner).encode()
+        for _ in range(rnd.randint(0, 3)):
+            data = rnd.choice(wraps)(data)
+        run = base64.b64encode(data).decode().rstrip("=")
+        run = rnd.choice(["", "abc", "x", "a/b/", "k_" * 12, "abc/" * 18]) + run + rnd.choice(["", "/cd", "-e", "zz"])
+        if len(run) < 19:
+            continue
+        text = f"é see {run} there"
+        base, spans = scan(text.encode())
+        start = text.index(run)
+        want = plain_kinds(run.encode()) - {k for _, k, _ in plain_base(run)}
+        got = {(a, k, b) for a, k, b in spans if (a, k, b) not in base}
+        assert {k for _, k, _ in got} - {k for _, k, _ in base} == want, run
+        assert all((a, b) == (start, start + len(run)) for a, _, b in got)
+        seen |= want
+    assert seen == {0, 1, 2}
+
+
+def test_spans_do_not_depend_on_separators_before_a_block():
+    for data in (SECRET.encode(), gzip.compress(SECRET.encode()), b"?>/" * 9 + SECRET.encode()):
+        block = base64.b64encode(data).decode().rstrip("=")
+        for n in (0, 3, 16, 17, 18, 40):
+            run = "abc/" * n + block + "/cd"
+            assert shown(f"x {run} y") == [run]
+        for around in (f"key: |\n    {block}\n", f"abc{block}", f'"{block}"'):
+            assert any(block in s for s in shown(around))
+
+
+def test_indented_lines_are_one_block():
+    run = base64.b64encode(gzip.compress(("".join(random.Random(5).choices("abcdefghijklmnop", k=300)) + SECRET).encode())).decode()
+    block = "\n    ".join(run[i:i + 60] for i in range(0, len(run), 60))
+    assert any(block in s for s in shown(f"data: |\n    {block}\n\nend"))
+
+
+def test_a_cut_block_gives_what_is_there():
+    packed = zlib.compress((SECRET + " ").encode() + random.Random(1).randbytes(30_000))
+    assert len(shown("x " + base64.b64encode(packed[:20_000]).decode().rstrip("=") + " y")) == 1
+
+
+def test_large_layers_in_bounded_pieces():
+    """A megabyte of base64 in seconds; unpacked data far larger than its block, a secret at its end."""
+    noise = base64.b64encode(random.Random(3).randbytes(750_000)).decode()
+    began = time.process_time()
+    assert scan(noise.encode()) == ([], [])
+    assert time.process_time() - began < 15
+    data = b"plain; " * 3_000_000 + SECRET.encode()
+    run = base64.b64encode(gzip.compress(gzip.compress(data))).decode()
+    assert shown(f"see {run} there") == [run]
