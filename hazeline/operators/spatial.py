@@ -42,19 +42,47 @@ def location_means(df: DataFrame, by: Sequence[str], value: str = "pm25", count:
         *by, "lat", "lon").agg(F.avg(value).alias(value), *([F.count(F.lit(1)).alias(count)] if count else []))
 
 
+#: Places of a cell that meet in one task, and rows of a distance table.
+CELL_PLACES, TABLE_CELLS = 2000, 4_000_000
+
+
+def in_cell_blocks(means: DataFrame, sent: DataFrame, cell: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of the pair join with the pairs of blocks a row belongs to, if any cell is too full for one task.
+
+    A place has one block of its cell and meets all blocks of the other side:
+    it is repeated once per block, and each pair of blocks is a join key.
+    """
+    means = stored(means, "cell-places")
+    counts = means.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / CELL_PLACES).cast("int").alias("_b")).where("_b > 1")
+    if counts.isEmpty():
+        return means, sent, []
+    counts = stored(counts, "full-cells")
+
+    def dealt(rows: DataFrame, own: str, other: str, place: list[str]) -> DataFrame:
+        b = F.coalesce("_b", F.lit(1))
+        numbered = rows.join(counts, cell, "left").withColumn(own, F.pmod(F.xxhash64(*place), b).cast("int"))
+        return numbered.withColumn(other, F.explode(F.sequence(F.lit(0), b - 1))).drop("_b")
+
+    return dealt(means, "_i", "_j", ["lat", "lon"]), dealt(sent, "_j", "_i", ["_lat", "_lon"]), ["_i", "_j"]
+
+
 def semivariogram(df: DataFrame, by: str | Sequence[str], value: str, bin_width: float, n_bins: int) -> DataFrame:
     """Empirical semivariogram (bin, n_pairs, gamma, distance) over pairs within each moment.
 
     Only pairs nearer than all bins together count, so location means meet in
     cells of that size: each is sent to its own and the neighbouring cells, pairs
-    are joined by moment and cell, and sums per bin combine map-side.
+    are joined by moment and cell, and sums per bin combine map-side. A cell of
+    more than ``CELL_PLACES`` places is split into hash blocks, whose pairs are
+    dealt to tasks one by one.
     """
     keys = as_list(by)
     reach = bin_width * n_bins
     means = location_means(df, keys, value).select(*keys, "lat", "lon", F.col(value).alias("_z"), F.floor(F.col("lon") / reach).alias("_x"), F.floor(F.col("lat") / reach).alias("_y"))
     around = F.explode(F.array(*[F.struct((F.col("_x") + dx).alias("_x"), (F.col("_y") + dy).alias("_y")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
     sent = means.select(*keys, "lat", "lon", "_z", around.alias("_c")).select(*keys, "_c._x", "_c._y", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("_z").alias("_w"))
-    pairs = means.join(sent, [*keys, "_x", "_y"]).where("lat < _lat or lat = _lat and lon < _lon")
+    meet = [*keys, "_x", "_y"]
+    means, sent, blocks = in_cell_blocks(means, sent, meet)
+    pairs = means.join(sent, [*meet, *blocks]).where("lat < _lat or lat = _lat and lon < _lon")
     d = F.sqrt(F.pow(F.col("lat") - F.col("_lat"), 2) + F.pow(F.col("lon") - F.col("_lon"), 2))
     rows = pairs.select(d.alias("d"), F.pow(F.col("_z") - F.col("_w"), 2).alias("s")).withColumn("bin", F.floor(F.col("d") / bin_width + 1e-9).cast("int"))
     return rows.where(F.col("bin") < n_bins).groupBy("bin").agg(
@@ -104,15 +132,48 @@ def fit_variogram(bins: DataFrame, model: str = "spherical", steps: int = 40) ->
     return best[1]
 
 
+def krige_all(xy: np.ndarray, z: np.ndarray, goal: np.ndarray, variogram: Variogram) -> tuple[np.ndarray, np.ndarray]:
+    """(estimates, variances) at the goals from all places."""
+    n = len(z)
+    system = np.ones((n + 1, n + 1))
+    system[:n, :n] = variogram(np.hypot(xy[:, None, 0] - xy[None, :, 0], xy[:, None, 1] - xy[None, :, 1]))
+    np.fill_diagonal(system, 0.0)
+    reach = np.hypot(xy[:, None, 0] - goal[None, :, 0], xy[:, None, 1] - goal[None, :, 1])
+    right = np.ones((n + 1, len(goal)))
+    right[:n] = np.where(reach > 1e-10, variogram(reach), 0.0)
+    try:
+        w = np.linalg.solve(system, right)
+    except np.linalg.LinAlgError:
+        w = np.linalg.lstsq(system, right, rcond=None)[0]
+    return z @ w[:n], (w * right).sum(axis=0)
+
+
+def krige_nearest(xy: np.ndarray, z: np.ndarray, goal: np.ndarray, variogram: Variogram, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from each goal's nearest places, goals in slices so that no table exceeds ``TABLE_CELLS`` numbers."""
+    order = np.lexsort((xy[:, 0], xy[:, 1]))
+    xy, z = xy[order], z[order]
+    step = max(1, TABLE_CELLS // len(z))
+    estimate, variance = np.empty(len(goal)), np.empty(len(goal))
+    for lo in range(0, len(goal), step):
+        some = goal[lo:lo + step]
+        far = np.hypot(xy[None, :, 0] - some[:, None, 0], xy[None, :, 1] - some[:, None, 1])
+        for i, near in enumerate(np.argsort(far, axis=1, kind="stable")[:, :neighbours]):
+            found = krige_all(xy[near], z[near], some[i:i + 1], variogram)
+            estimate[lo + i], variance[lo + i] = found[0][0], found[1][0]
+    return estimate, variance
+
+
 def krige(
     df: DataFrame, targets: DataFrame, variogram: Variogram, by: str, *, value: str = "pm25",
-    minimum: int = 3, floor_at_zero: bool = False, size: int = TARGET_BLOCK,
+    minimum: int = 3, floor_at_zero: bool = False, size: int = TARGET_BLOCK, neighbours: int | None = None,
 ) -> DataFrame:
     """Ordinary kriging of each moment's sensors onto any number of targets: value and variance.
 
     Moments with fewer than ``minimum`` readings give nothing. Distances are
-    Euclidean in degrees. A group is one moment's places and one block of targets;
-    its dense system has the moment's places as its size, by definition.
+    Euclidean in degrees. A group is one moment's places and one block of targets.
+    All of the moment's places enter a target's system unless ``neighbours``
+    says how many, the nearest (ties by latitude, then longitude): systems of
+    that size then, however many places there are.
     """
     names = ["ward_id", "ward_name", "lat", "lon"]
     kinds = dict(targets.dtypes)
@@ -122,21 +183,13 @@ def krige(
         places = places[names]
         goal, n = places[["lon", "lat"]].to_numpy(float), len(sensors)
         xy, z = sensors[["lon", "lat"]].to_numpy(float), sensors[value].to_numpy(float)
-        system = np.ones((n + 1, n + 1))
-        gap = np.hypot(xy[:, None, 0] - xy[None, :, 0], xy[:, None, 1] - xy[None, :, 1])
-        system[:n, :n] = variogram(gap)
-        np.fill_diagonal(system, 0.0)
-        reach = np.hypot(xy[:, None, 0] - goal[None, :, 0], xy[:, None, 1] - goal[None, :, 1])
-        right = np.ones((n + 1, len(goal)))
-        right[:n] = np.where(reach > 1e-10, variogram(reach), 0.0)
-        try:
-            w = np.linalg.solve(system, right)
-        except np.linalg.LinAlgError:
-            w = np.linalg.lstsq(system, right, rcond=None)[0]
-        estimate = z @ w[:n]
+        if neighbours is not None and neighbours < n:
+            estimate, variance = krige_nearest(xy, z, goal, variogram, neighbours)
+        else:
+            estimate, variance = krige_all(xy, z, goal, variogram)
         if floor_at_zero:
             estimate = np.maximum(estimate, 0.0)
-        return places.assign(**{by: sensors[by].iloc[0], "pm25": estimate, "kriging_variance": (w * right).sum(axis=0)})
+        return places.assign(**{by: sensors[by].iloc[0], "pm25": estimate, "kriging_variance": variance})
 
     places = stored(location_means(df, [by], value, count="readings"), "kriging-places")
     moments = places.groupBy(by).agg(F.sum("readings").alias("_n")).where(F.col("_n") >= minimum)
