@@ -37,7 +37,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import stored, work_dir
 
@@ -107,12 +107,19 @@ def parsed(member: bytes) -> dict:
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a shared folder, by its address; a bare path is local."""
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    """The file system of a shared folder, by its whole address."""
+    return fs.FileSystem.from_uri(path)
 
 
-def address(path: str) -> str:
-    return path if path.startswith(("/", "file:///")) or "://" in path else path.replace("file:/", "file:///", 1)
+def address(spark: SparkSession, path: str) -> str:
+    """A folder's whole address, its file system included: that of Spark's own files where the path names none.
+
+    Spark writes a bare path to its default file system. Executors must open the
+    same one, so the driver qualifies the path before it is sent to them.
+    """
+    bare = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = bare.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(bare).toString()
+    return whole if "://" in whole else whole.replace(":/", ":///", 1)
 
 
 def revisits(pages: DataFrame) -> DataFrame:
@@ -124,7 +131,7 @@ def revisits(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write one record per (page_id, url, html) row; returns the captures (surt, page_id, file, offset, length)."""
-    root = address(folder or work_dir(pages.sparkSession, "warc"))
+    root = address(pages.sparkSession, folder or work_dir(pages.sparkSession, "warc"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit(BLANK)).alias("url"),
                         F.coalesce(F.encode("html", "UTF-8"), F.lit(b"")).alias("payload"))
     again = revisits(rows)
@@ -165,7 +172,7 @@ def capture_order(surt: str, page_id: int | None) -> tuple[str, int]:
 
 def write_index(captures: DataFrame, folder: str | None = None, block_lines: int = BLOCK_LINES) -> list[Entry]:
     """Write the index files; returns their list: (first capture, file, offset and length of its directory), in order."""
-    root = address(folder or work_dir(captures.sparkSession, "cdx"))
+    root = address(captures.sparkSession, folder or work_dir(captures.sparkSession, "cdx"))
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = captures.select("surt", "page_id", "file", "offset", "length").repartitionByRange(n, "surt", "page_id").sortWithinPartitions("surt", "page_id", "file", "offset")
 

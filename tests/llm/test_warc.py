@@ -6,7 +6,7 @@ import hashlib
 
 import pytest
 
-from hazeline.llm.warc import look_up, read_records, surt_key, write_archives, write_index
+from hazeline.llm.warc import address, look_up, read_records, surt_key, write_archives, write_index
 from hazeline.session import stored, work_dir
 
 SCHEMA = "page_id long, url string, html string, file string, offset int, digest string"
@@ -92,3 +92,16 @@ def test_files_lie_in_the_given_folder(spark, pages, rows):
     folder = work_dir(spark, "own")
     captures = write_archives(pages.limit(5), folder)
     assert all(folder.split(":")[-1].lstrip("/") in r.file for r in captures.collect())
+
+
+def test_addresses_name_their_file_system(spark):
+    """A bare path lies in Spark's default file system, whatever that is; whole addresses stay."""
+    assert address(spark, "/shared/x") == "file:///shared/x" and address(spark, "file:/shared/x") == "file:///shared/x"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "viewfs://store/")
+        conf.set("fs.viewfs.mounttable.store.link./shared", "file:///tmp")
+        assert address(spark, "/shared/x") == "viewfs://store/shared/x" and address(spark, "file:///shared/x") == "file:///shared/x"
+    finally:
+        conf.set("fs.defaultFS", before)
