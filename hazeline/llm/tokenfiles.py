@@ -30,7 +30,6 @@ import sys
 import types
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +47,8 @@ KEPT = 400_000
 #: Texts are encoded in slices of about this many bytes.
 SLICE = 1024 * 1024
 SPACE = b" \t\n\r\x0b\x0c"
+#: Characters that may stand between runs, the first that is a token of its own.
+MARKS = "♪★✨→•×«¶§"
 
 
 class Encoder:
@@ -68,6 +69,8 @@ class Encoder:
         self.tails = frozenset(m.encode() for m in ".,;:!?" if pattern and regex.findall(pattern, "aa" + m) == ["aa", m])
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
         self.special = [t["content"].lower().encode() for t in spec.get("added_tokens", [])]
+        #: A character that is one token by itself; no text without it has that token.
+        self.mark, self.mark_id = next(((m, i[0]) for m in MARKS if self.by_runs and len(i := self.library.encode(m, add_special_tokens=False).ids) == 1), ("", -1))
         # Runs met lately, and those met before them: rare runs go, frequent ones move on.
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -76,14 +79,14 @@ class Encoder:
         return [np.array(self.library.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
     def encoded_runs(self, runs: list[bytes]) -> list[bytes]:
-        """Ids of runs without special strings: one call for all, spaces between them; a token's place tells its run."""
+        """Ids of runs without special strings: one call for all, the mark between them."""
         texts = [r.decode() for r in runs]
-        found = self.library.encode(" ".join(texts), add_special_tokens=False)
-        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
-        places = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]
-        ends = (4 * np.searchsorted(places, begins[1:], "left")).tolist()
-        data = np.array(found.ids, "<u4").tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], [*ends, len(data)])]
+        joined = f" {self.mark} ".join(texts)
+        if not self.mark or joined.count(self.mark) >= len(texts):
+            return self.encoded(runs)
+        ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        cuts, data = 4 * np.flatnonzero(ids == self.mark_id), ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; texts should be ``SLICE`` bytes together, longer ones are cut here."""
