@@ -132,8 +132,8 @@ def test_upsert_is_repeatable_and_touches_its_days_only(spark, tmp_path):
 
 
 def test_the_feature_job_run_twice_leaves_the_same_table(spark, tmp_path):
-    rows = [("a" if i % 2 else "b", "openaq", T0 + dt.timedelta(hours=i), float(40 + i % 9)) for i in range(80)]
-    readings = spark.createDataFrame(rows, "station_id string, source string, timestamp_utc timestamp_ntz, pm25 double")
+    rows = [("a" if i % 2 else "b", "openaq", 27.7, 85.3, T0 + dt.timedelta(hours=i), float(40 + i % 9)) for i in range(80)]
+    readings = spark.createDataFrame(rows, "station_id string, source string, lat double, lon double, timestamp_utc timestamp_ntz, pm25 double")
     path, counts, shots = str(tmp_path / "features"), [], []
     for _ in range(2):
         shots.append({r.key for r in jobs.features_to_online(readings, None, tables.default_calendar(spark), path, run="same").collect()})
