@@ -21,7 +21,7 @@ HEADLINE = [
     "j1_nearest_asof", "j1_nearest_asof_window", "j2_calendar_flags", "j6_semivariogram", "a1_regression_metrics",
     "a4_psi", "a7_failure_counts", "a8_optimize_weights", "a16_profile", "a17_request_rate", "s3_sensor_feed",
     "s10_online_snapshot", "u3_alert_union", "m1_seasonal_regression", "m3_isolation_forest", "m4_ward_kriging",
-    "m7_forecast_all_stations", "x4_hourly_means", "x5_stream_faults",
+    "m7_forecast_all_stations", "m2_window_products", "x4_hourly_means", "x5_stream_faults",
 ]
 
 
