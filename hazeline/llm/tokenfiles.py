@@ -45,7 +45,7 @@ STRIPE_BYTES, GROUP_ROWS, LOOK_ROWS = 16 * 1024 * 1024, 1000, 256
 #: Distinct runs a worker keeps at hand; as many from before them stay until these are full.
 KEPT = 400_000
 #: Texts are encoded in slices of about this many bytes.
-SLICE = 1024 * 1024
+SLICE = 2 * 1024 * 1024
 SPACE = b" \t\n\r\x0b\x0c"
 #: Characters that may stand between runs, the first that is a token of its own.
 MARKS = "♪★✨→•×«¶§"
@@ -69,6 +69,9 @@ class Encoder:
         self.tails = frozenset(m.encode() for m in ".,;:!?" if pattern and regex.findall(pattern, "aa" + m) == ["aa", m])
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
         self.special = [t["content"].lower().encode() for t in spec.get("added_tokens", [])]
+        #: What all of them begin with, if case leaves it alone.
+        self.begin = os.path.commonprefix(self.special)
+        self.begin = self.begin if self.begin.upper() == self.begin else b""
         #: A character that is one token by itself; no text without it has that token.
         self.mark, self.mark_id = next(((m, i[0]) for m in MARKS if self.by_runs and len(i := self.library.encode(m, add_special_tokens=False).ids) == 1), ("", -1))
         # Runs met lately, and those met before them: rare runs go, frequent ones move on.
@@ -95,8 +98,7 @@ class Encoder:
         out: list = [None] * len(texts)
         plain = []
         for i, text in enumerate(texts):
-            low = text.lower()
-            if any(s in low for s in self.special):
+            if self.has_special(text):
                 out[i] = self.encoded([text])[0]
             elif len(text) > SLICE:
                 out[i] = b"".join(self.run_ids([self.form(piece)])[0] for piece in slices(text))
@@ -106,6 +108,13 @@ class Encoder:
             out[i] = found
         return out
 
+    def has_special(self, text: bytes) -> bool:
+        """Whether a special string may be in the text, in whatever case."""
+        if not self.special or self.begin and self.begin not in text:
+            return False
+        low = text.lower()
+        return any(s in low for s in self.special)
+
     def form(self, text: bytes) -> list[bytes]:
         """The runs of a text, in lower case where that cannot matter.
 
@@ -115,8 +124,7 @@ class Encoder:
         return (text.lower() if self.lowers and b"\xcc" not in text and b"\xcd" not in text else text).split()
 
     def run_ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        runs = set().union(*texts)
-        self.learn(runs)
+        self.learn(set().union(*texts))
         young = self.young
         return [b"".join(map(young.__getitem__, t)) for t in texts]
 
@@ -134,7 +142,7 @@ class Encoder:
                 fresh.append(r)
             else:
                 young[r] = found
-        tailed = [r for r in fresh if r[-1:] in self.tails and r[-2:-1].isalpha()]
+        tailed = [r for r in fresh if r[-1:] in self.tails and (r[-2:-1].isalpha() or latin_letter(r[-3:-1]))]
         known = {r[:-1] for r in tailed} | {r[-1:] for r in tailed}
         wanted = list((set(fresh) - set(tailed)) | (known - young.keys()))
         for lo in range(0, len(wanted), 1000):
@@ -143,6 +151,11 @@ class Encoder:
         young.update((r, young[r[:-1]] + young[r[-1:]]) for r in tailed)
 
 
+def latin_letter(char: bytes) -> bool:
+    """Whether two bytes are a letter from U+00C0 to U+024F."""
+    return b"\xc3\x80" <= char <= b"\xc9\x8f" and char[1] & 0xC0 == 0x80 and char.decode().isalpha()
+
+
 def kept_encoder(vocabulary: str) -> Encoder:
     """The worker process's encoder, kept for its later tasks; a process that has none makes it."""
     shelf = vars(sys.modules.setdefault("hazeline_worker_shelf", types.ModuleType("hazeline_worker_shelf")))
