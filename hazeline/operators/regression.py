@@ -1,7 +1,9 @@
 """Ridge regression from summed cross-products, shared or per key, one or many targets.
 
-Tasks reduce their rows to one cross-product matrix per key; the matrices are
-added piece by piece in two steps, so a key owning most rows never meets in one task.
+Without keys, tasks reduce their rows to one cross-product matrix, and the
+matrices are added piece by piece in two steps. Per key, Spark sums the products
+before and after its shuffle, so neither a key owning most rows meets in one
+task nor do many keys cost Python a call each.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .chunks import as_list
 
-#: Bytes of matrices a task holds, numbers of a piece that travels, and groups of tasks that are added first.
+#: Bytes of matrices a task solves at once, numbers of a piece that travels, and groups of tasks that are added first.
 HELD_BYTES = 64 << 20
 PIECE = 1 << 15
 SLOTS = 32
+#: Matrices per key of at most this width are summed as one row, wider ones as a row per line.
+NARROW = 16
 
 
 @dataclass
@@ -42,24 +46,33 @@ def complete_rows(df: DataFrame, x: Column, y: Column, by: Sequence[str] = ()) -
 def cross_products(df: DataFrame, x: Column, y: Column, width: int, by: Sequence[str] = (), slots: int = SLOTS) -> DataFrame:
     """(by, n, gram): flattened cross-products of [1, x, y] summed per key."""
     keys, rows = list(by), complete_rows(df, x, y, by)
-    held_most = max(1, HELD_BYTES // (8 * width * width))
+    if keys:
+        return keyed_products(rows, width, keys)
 
     def reduce_batches(batches):
-        held: dict = {}
+        n, g = 0, 0.0
         for pdf in batches:
-            groups = pdf.groupby(keys, dropna=False, sort=False) if keys else [((), pdf)]
-            for k, part in groups:
-                k = k if isinstance(k, tuple) else (k,)
-                v = np.stack(part["_v"].to_numpy())
-                n, g = held.get(k, (0, 0.0))
-                held[k] = (n + len(v), g + v.T @ v)
-            if len(held) > held_most:
-                yield in_pieces(held, keys)
-                held = {}
-        if held:
-            yield in_pieces(held, keys)
+            if len(pdf):
+                v = np.stack(pdf["_v"].to_numpy())
+                n, g = n + len(v), g + v.T @ v
+        if n:
+            yield in_pieces({(): (n, g)}, [])
+
+    return summed(rows.mapInPandas(reduce_batches, piece_schema(rows, [])), [], slots)
 
-    return summed(rows.mapInPandas(reduce_batches, piece_schema(rows, keys)), keys, slots)
+
+def keyed_products(rows: DataFrame, width: int, keys: Sequence[str]) -> DataFrame:
+    """(keys, n, gram) of ``complete_rows``: plain sums, of all products where they are few, else line by line."""
+    v, count = F.col("_v"), F.count(F.lit(1)).alias("n")
+    if width <= NARROW:
+        sums = [F.sum(v[i] * v[j]).alias(f"_g{i}_{j}") for i in range(width) for j in range(i, width)]
+        gram = F.array(*[F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(width) for j in range(width)])
+        return rows.groupBy(*keys).agg(count, *sums).select(*keys, "n", gram.alias("gram"))
+    lines = rows.select(*keys, "_v", F.posexplode("_v").alias("_i", "_x"))
+    line = F.array(*[F.col(f"_g{j}") for j in range(width)])
+    added = lines.groupBy(*keys, "_i").agg(count, *[F.sum(F.col("_x") * v[j]).alias(f"_g{j}") for j in range(width)])
+    whole = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_i", line.alias("line")))), lambda p: p["line"]))
+    return added.groupBy(*keys).agg(F.max("n").alias("n"), whole.alias("gram"))
 
 
 def piece_schema(rows: DataFrame, keys: Sequence[str], extra: str = "") -> str:
@@ -177,23 +190,30 @@ def sparse_descent(a: np.ndarray, b: np.ndarray, l1: np.ndarray, sweeps: int = 2
 
 
 def solve(gram: np.ndarray, p: int, q: int, ridge: float, l1: np.ndarray | None = None):
-    """Centred, scaled ridge solution from the cross-products of [1, x (p), y (q)]; ``l1`` penalises sizes of scaled coefficients."""
-    n = gram[0, 0]
-    mean = gram[0, 1:] / n
-    cov = gram[1:, 1:] / n - np.outer(mean, mean)
-    scale = np.sqrt(np.maximum(np.diag(cov)[:p], 0.0))
-    live = scale > 1e-9 * np.maximum(1.0, np.abs(mean[:p]))
+    """Centred, scaled ridge solution from the cross-products of [1, x (p), y (q)]; ``l1`` penalises sizes of scaled coefficients.
+
+    Matrices may be stacked along leading axes; each is solved by itself.
+    """
+    n = gram[..., 0, 0]
+    mean = gram[..., 0, 1:] / n[..., None]
+    cov = gram[..., 1:, 1:] / n[..., None, None] - mean[..., :, None] * mean[..., None, :]
+    xx, xy, yy = cov[..., :p, :p], cov[..., :p, p:], cov[..., p:, p:]
+    scale = np.sqrt(np.maximum(np.einsum("...ii->...i", xx), 0.0))
+    live = scale > 1e-9 * np.maximum(1.0, np.abs(mean[..., :p]))
     scale = np.where(live, scale, 1.0)
-    a = cov[:p, :p] / np.outer(scale, scale)
-    a[~live, :] = 0.0
-    a[:, ~live] = 0.0
-    b = cov[:p, p:] / scale[:, None]
-    b[~live] = 0.0
-    a = a + (ridge + 1e-12) * np.eye(p) + np.diag((~live).astype(float))
-    beta = (np.linalg.solve(a, b) if l1 is None else sparse_descent(a, b, l1)) / scale[:, None]
-    intercept = mean[p:] - mean[:p] @ beta
-    residual = np.diag(cov[p:, p:]) - 2 * np.einsum("ij,ij->j", beta, cov[:p, p:]) + np.einsum("ij,ik,kj->j", beta, cov[:p, :p], beta)
-    return beta, intercept, mean[:p], np.sqrt(np.maximum(residual, 0.0)), int(n)
+    a = np.where(live[..., :, None] & live[..., None, :], xx / (scale[..., :, None] * scale[..., None, :]), 0.0)
+    b = np.where(live[..., None], xy / scale[..., None], 0.0)
+    a = a + (ridge + 1e-12) * np.eye(p) + (~live)[..., None] * np.eye(p)
+    if l1 is None:
+        beta = np.linalg.solve(a, b)
+    else:
+        beta = np.empty_like(b)
+        for at in np.ndindex(b.shape[:-2]):
+            beta[at] = sparse_descent(a[at], b[at], l1)
+    beta = beta / scale[..., None]
+    intercept = mean[..., p:] - np.einsum("...i,...ij->...j", mean[..., :p], beta)
+    residual = np.einsum("...jj->...j", yy) - 2 * np.einsum("...ij,...ij->...j", beta, xy) + np.einsum("...ij,...ij->...j", beta, xx @ beta)
+    return beta, intercept, mean[..., :p], np.sqrt(np.maximum(residual, 0.0)), n
 
 
 def fit_linear(df: DataFrame, x: Column, y: Column, names: Sequence[str], targets: int = 1, ridge: float = 1e-3, l1: np.ndarray | None = None) -> LinearModel:
@@ -207,7 +227,7 @@ def model_of(products: DataFrame, names: Sequence[str], targets: int, ridge: flo
     if row is None:
         raise ValueError("no complete training rows")
     coef, intercept, mean, sigma, n = solve(np.array(row["gram"]).reshape(1 + p + targets, 1 + p + targets), p, targets, ridge, l1)
-    return LinearModel(list(names), coef, intercept, mean, sigma, n)
+    return LinearModel(list(names), coef, intercept, mean, sigma, int(n))
 
 
 def fit_linear_by(df: DataFrame, x: Column, y: Column, names: Sequence[str], by: str | Sequence[str], ridge: float = 1e-3, l1: np.ndarray | None = None) -> DataFrame:
@@ -217,12 +237,11 @@ def fit_linear_by(df: DataFrame, x: Column, y: Column, names: Sequence[str], by:
 
     def fit(batches):
         for pdf in batches:
-            out = []
-            for gram in pdf["gram"]:
-                coef, intercept, mean, sigma, _ = solve(np.array(gram).reshape(width, width), p, 1, ridge, l1)
-                out.append((float(intercept[0]), coef[:, 0], mean, float(sigma[0])))
-            yield pdf[[*keys, "n"]].assign(
-                intercept=[o[0] for o in out], coef=[o[1] for o in out], mean=[o[2] for o in out], sigma=[o[3] for o in out])
+            step = max(1, HELD_BYTES // (8 * width * width))
+            for lo in range(0, len(pdf), step):
+                some = pdf.iloc[lo:lo + step]
+                coef, intercept, mean, sigma, _ = solve(np.stack(some["gram"].to_numpy()).reshape(-1, width, width), p, 1, ridge, l1)
+                yield some[[*keys, "n"]].assign(intercept=intercept[:, 0], coef=list(coef[:, :, 0]), mean=list(mean), sigma=sigma[:, 0])
 
     grams = cross_products(df, x, y, width, keys)
     types = "".join(f"{c} {t}, " for c, t in grams.dtypes if c in keys)
