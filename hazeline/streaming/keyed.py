@@ -9,15 +9,18 @@ one task, at 16 bytes a row.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: A missing value, and a missing time, which comes before all others.
+NAN, NO_TIME = float("nan"), -(1 << 63)
 
 
 def with_state_store(spark: SparkSession) -> None:
@@ -39,7 +42,8 @@ class StuckValues(StatefulProcessor):
 
     Old and new rows are ordered by time, then value, NULL first, so a late row
     is judged among the rows that are kept. Columns: us, value, high; rows
-    flagged ``high`` are passed on as they are.
+    flagged ``high`` are passed on as they are. Rows come and go one by one:
+    most stations have few in a micro-batch, and frames would cost more than they hold.
     """
 
     def __init__(self, key: str, n: int, stuck_at: float):
@@ -48,23 +52,35 @@ class StuckValues(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.recent = handle.getListState("recent", "us long, value double")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat([r[["us", "value", "high"]] for r in rows], ignore_index=True)
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        times, values, high = array("q"), array("d"), []
         old = list(self.recent.get())
-        us = np.concatenate([np.array([r[0] for r in old], np.int64), new["us"].to_numpy(np.int64)])
-        value = np.concatenate([np.array([np.nan if r[1] is None else r[1] for r in old], float), new["value"].to_numpy(float)])
+        for t, v in old:
+            times.append(t)
+            values.append(NAN if v is None else v)
+        for r in rows:
+            if r.high:
+                high.append(len(times))
+            times.append(NO_TIME if r.us is None else r.us)
+            values.append(NAN if r.value is None else r.value)
+        us, value = np.frombuffer(times, np.int64), np.frombuffer(values)
         order = np.lexsort((np.where(np.isnan(value), -np.inf, value), us))
-        hits = np.concatenate([[0], np.cumsum(value[order] == self.stuck_at)])
-        stuck = np.zeros(len(us), bool)
-        stuck[order[self.n - 1:]] = hits[self.n:] - hits[:-self.n] == self.n if len(us) >= self.n else False
-        last = order[max(len(us) - self.n + 1, 0):]
+        last = order[max(len(us) - self.n + 1, 0):].tolist()
         if self.n > 1:
-            self.recent.put([(int(us[i]), None if np.isnan(value[i]) else float(value[i])) for i in last])
-        stuck, high = stuck[len(old):], new["high"].fillna(False).to_numpy(bool)
-        for kind, rows_of_kind in (("stuck", stuck), ("high", high)):
-            found = new[rows_of_kind]
-            names = pd.Series([key[0]] * len(found), found.index, dtype=object)
-            yield pd.DataFrame({self.key: names, "us": found["us"], "value": found["value"], "kind": pd.Series(kind, found.index, dtype=object)})
+            self.recent.put([(times[i], known(values[i])) for i in last])
+        stuck = []
+        if len(us) >= self.n:
+            hits = np.concatenate([[0], np.cumsum(value[order] == self.stuck_at)])
+            stuck = np.sort(order[self.n - 1:][hits[self.n:] - hits[:-self.n] == self.n]).tolist()
+        found = Row(self.key, "us", "value", "kind")
+        for kind, places in (("stuck", stuck), ("high", high)):
+            for i in places:
+                if i >= len(old):
+                    yield found(key[0], None if times[i] == NO_TIME else times[i], known(values[i]), kind)
+
+
+def known(value: float) -> float | None:
+    return None if value != value else value
 
 
 class LatestRow(StatefulProcessor):
@@ -150,10 +166,12 @@ class Silence(StatefulProcessor):
         yield pd.DataFrame({self.key: pd.Series([key[0]] * len(told), dtype=object), "us": told})
 
 
-def stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType | str, timed: bool) -> DataFrame:
-    """The processor's output over a stream, by key."""
+def stateful(rows: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType | str, timed: bool, frames: bool = True) -> DataFrame:
+    """The processor's output over a stream, by key; it takes and gives pandas frames, or else rows."""
     with_state_store(rows.sparkSession)
-    return rows.groupBy(key).transformWithStateInPandas(processor, schema, "append", "EventTime" if timed else "None")
+    groups = rows.groupBy(key)
+    run = groups.transformWithStateInPandas if frames else groups.transformWithState
+    return run(processor, schema, "append", "EventTime" if timed else "None")
 
 
 def state_rows(spark: SparkSession, progress: str, variable: str) -> DataFrame:
