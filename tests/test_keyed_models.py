@@ -27,3 +27,19 @@ def test_products_per_key_need_no_python_group(spark, p):
         coef, intercept, _, sigma, _ = regression.solve(v.T @ v, p, 1, 0.1)
         assert np.allclose(fits[k].coef, coef[:, 0]) and np.allclose([fits[k].intercept, fits[k].sigma], [intercept[0], sigma[0]], atol=1e-6)
     assert regression.fit_linear_by(df.limit(0), F.col("x"), F.array("y"), [f"x{i}" for i in range(p)], "k").count() == 0
+
+
+def test_station_trends_are_summed_by_spark(spark):
+    """The straight line per station that model forecasts are published from."""
+    import datetime as dt
+
+    from hazeline.operators import forecasts
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"s{i}", start + dt.timedelta(hours=h), 10.0 + i + 2 * h) for i in range(30) for h in range(4)]
+    df = spark.createDataFrame(rows, "station_id string, timestamp_utc timestamp_ntz, pm25 double").repartition(3)
+    spec = forecasts.seasonal_spec(df, "timestamp_utc", hinges=0, seasons=(), regressors=(), ridge=0.0)
+    model = forecasts.fit_seasonal(df, "timestamp_utc", by="station_id", spec=spec)
+    assert "FlatMapGroups" not in model.per_key._jdf.queryExecution().optimizedPlan().toString()
+    ahead = forecasts.predict_seasonal(model, forecasts.future_hours(df, "station_id", "timestamp_utc", 2), "timestamp_utc").collect()
+    assert {(r.station_id, r.horizon, round(r.yhat, 4)) for r in ahead} == {(f"s{i}", h, 10.0 + i + 2 * (3 + h)) for i in range(30) for h in (1, 2)}
