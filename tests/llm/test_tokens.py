@@ -43,3 +43,8 @@ def test_other_vocabularies_are_refused(tmp_path):
     spec.write_text('{"model": {"type": "Unigram"}, "normalizer": {"type": "NFC"}, "pre_tokenizer": {"pretokenizers": []}, "added_tokens": []}')
     with pytest.raises(ValueError):
         Merges(str(spec))
+
+
+@pytest.mark.parametrize("text", ["🇩🇪\U0001915d", "İ\u058cdon't", "thing\ua7cb", "\ua7dc1", "\U00016ea0a\U00010d50", "a\U0001e6c01\u208f%%%"])
+def test_characters_younger_than_the_library(text):
+    assert OWN.count(text) == counted(text)
