@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,6 +12,8 @@ from ..session import stored
 
 #: Runs of characters outside this set are words: space and the five ASCII line and tab controls.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Texts of a batch that are Python objects at a time.
+ROWS = 128
 
 
 def text_key(text: Column | str = "text") -> Column:
@@ -37,6 +40,12 @@ def byte_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
+def each_text(column: pa.ChunkedArray | pa.Array, rows: int = ROWS) -> Iterator[bytes]:
+    """The same one by one, with few of them held at a time."""
+    for lo in range(0, len(column), rows):
+        yield from byte_texts(column.slice(lo, rows))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of an undirected graph: one row (node, root) per node that has an edge.
 

@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import byte_texts
+from .common import ROWS, byte_texts, each_text
 
 #: Fixed patterns; matches that are too short are dropped after matching.
 KINDS = ("assign", "access", "hex")
@@ -362,7 +362,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [scan(t) for t in byte_texts(batch.column(1))]
+            found = [scan(t) for t in each_text(batch.column(1))]
             arrays = [pa.array([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in f[i]] for f in found], kind) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["id", "base", "spans"])
 
@@ -375,7 +375,10 @@ def redacted(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
-        kept = [redact(t) if there else None for t, there in zip(byte_texts(texts), texts.is_valid().to_pylist())]
-        return pa.array(kept, pa.binary()).cast(pa.string())
+        parts = [pa.array([], pa.string())]
+        for some in (texts.slice(lo, ROWS) for lo in range(0, len(texts), ROWS)):
+            kept = [redact(t) if there else None for t, there in zip(byte_texts(some), some.is_valid().to_pylist())]
+            parts.append(pa.array(kept, pa.binary()).cast(pa.string()))
+        return pa.concat_arrays(parts)
 
     return clean(text)

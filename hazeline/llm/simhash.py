@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import stored
-from .common import byte_texts, components, free_name, text_key
+from .common import components, each_text, free_name, text_key
 
 BITS = 64
 #: Shingles whose bits are added at once; bounds the memory of very long texts.
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, shingle, seed) for t in byte_texts(batch.column(2))]
+            values = [fingerprint(t, shingle, seed) for t in each_text(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow), batch.column(1), pa.array(values, pa.int64())], names=["id", "key", "fingerprint"])
 
     schema = T.StructType([T.StructField("id", id_type), T.StructField("key", T.LongType()), T.StructField("fingerprint", T.LongType())])

@@ -199,3 +199,21 @@ def test_large_layers_in_bounded_pieces():
     data = b"plain; " * 3_000_000 + SECRET.encode()
     run = base64.b64encode(gzip.compress(gzip.compress(data))).decode()
     assert shown(f"see {run} there") == [run]
+
+
+def test_a_batch_is_not_held_as_python_texts(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    taken = []
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: taken.append(f) or (lambda c: c))
+    secrets.redacted(F.col("text"))
+    texts = pa.array([f"{'ab! ' * 1000}{i}" for i in range(2000)] + [None, "", "password=abcdefgh"])
+    tracemalloc.start()
+    found = taken[0](texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.slice(0, 2002).equals(texts.slice(0, 2002)) and found[2002].as_py() == "[assign]"
+    assert peak < 3_000_000 < texts.nbytes and taken[0](texts.slice(0, 0)).type == pa.string()

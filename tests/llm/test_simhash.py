@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from hazeline.llm.common import components
-from hazeline.llm.simhash import fingerprint, masks, near_duplicates, one_per_group
+from hazeline.llm.simhash import fingerprint, fingerprints, masks, near_duplicates, one_per_group
 
 SCHEMA = "doc_id long, text string, key string, root int"
 
@@ -91,3 +91,21 @@ def test_components_of_chains_and_hubs(spark):
     edges = spark.createDataFrame(chain + hub + hub[:5] + [(5000, 5000)], "a long, b long")
     sizes = components(edges).groupBy("root").agg(F.count("*").alias("n"), F.countDistinct("node").alias("d")).collect()
     assert sorted((r.n, r.d) for r in sizes) == [(200, 200), (301, 301)]
+
+
+def test_a_batch_is_not_held_as_python_texts(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs, taken = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, rows, schema: taken.append(rows) or self)
+    fingerprints(docs)
+    texts = [f"{'x' * 4000} {i}" for i in range(2000)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], names=["id", "key", "text"])
+    tracemalloc.start()
+    found = [v for out in taken[0](iter([batch])) for v in out.column(2).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [fingerprint((t or "").encode()) for t in texts]
+    assert peak < 3_000_000 < batch.nbytes
