@@ -11,8 +11,10 @@ whose statistics or filters rule it out, and reads no ids but those it returns.
 
 Encoding: with a vocabulary that drops white space, every run between ASCII
 white space has its ids by itself. Runs a worker has not met lately are encoded
-by the vocabulary's library, many in one call, and a text is the concatenation
-of its runs, which also keeps memory bounded by the text's own size. Texts with
+by the vocabulary's library, and a text is the concatenation
+of its runs, which also keeps memory bounded by the text's own size. A word of
+letters that the library normalises one by one goes straight to the library's
+model; other runs go through the whole library, many in one call. Texts with
 special strings, and all texts under other vocabularies, are encoded whole.
 
 Defined cases: a NULL text is empty and holds the end id alone; a NULL id
@@ -26,6 +28,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
+import struct
 import sys
 import types
 import zlib
@@ -49,6 +54,10 @@ SLICE = 2 * 1024 * 1024
 SPACE = b" \t\n\r\x0b\x0c"
 #: Characters that may stand between runs, the first that is a token of its own.
 MARKS = "♪★✨→•×«¶§"
+#: Characters among which the letters of words are looked for: none of them composes with another.
+LETTERS = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+#: ASCII signs that may follow a word, and how many are looked up apart from it.
+SIGNS, TAIL = string.punctuation.replace("'", ""), 4
 
 
 class Encoder:
@@ -65,8 +74,12 @@ class Encoder:
         steps = spec.get("normalizer") or {}
         pattern = run_pattern(spec)
         self.by_runs = pattern is not None
-        #: Marks that the vocabulary's pattern always cuts off behind a letter.
-        self.tails = frozenset(m.encode() for m in ".,;:!?" if pattern and regex.findall(pattern, "aa" + m) == ["aa", m])
+        self.model = self.library.model
+        #: What the model is given for each letter of a word, and a match of a word with its signs.
+        self.letters = self.letter_table() if self.by_runs else {}
+        self.word = re.compile(f"([{''.join(map(chr, self.letters))}]+)([{re.escape(SIGNS)}]{{0,{TAIL}}})").fullmatch if self.letters else lambda run: None
+        #: Ids of signs behind a word, or None where the vocabulary does not cut them off.
+        self.tails: dict[str, bytes | None] = {"": b""}
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
         self.special = [t["content"].lower().encode() for t in spec.get("added_tokens", [])]
         #: What all of them begin with, if case leaves it alone.
@@ -78,6 +91,32 @@ class Encoder:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def pieces(self, text: str) -> list[str]:
+        """What the library gives its model for a text."""
+        plain = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+        return [piece for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(plain)]
+
+    def letter_table(self) -> dict[int, str]:
+        """What the library makes of each letter; empty if it does not treat a word letter by letter, as one piece."""
+        made = {c: self.pieces(c) for c in LETTERS}
+        table = {ord(c): found[0] for c, found in made.items() if len(found) == 1}
+        every = "".join(map(chr, table))
+        turned = [every, every[::-1]]
+        one = all(self.pieces(w) == [w.translate(table)] and self.word_ids(w.translate(table)) == self.encoded([w.encode()])[0] for w in turned)
+        return table if every and one else {}
+
+    def word_ids(self, piece: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def tail_ids(self, tail: str) -> bytes | None:
+        if tail not in self.tails:
+            if len(self.tails) > KEPT:
+                self.tails = {"": b""}
+            apart = self.pieces("aa" + tail) == self.pieces("aa") + self.pieces(tail)
+            self.tails[tail] = self.encoded([tail.encode()])[0] if apart else None
+        return self.tails[tail]
+
     def encoded(self, texts: list[bytes]) -> list[bytes]:
         return [np.array(self.library.encode(t.decode(), add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
@@ -142,18 +181,22 @@ class Encoder:
                 fresh.append(r)
             else:
                 young[r] = found
-        tailed = [r for r in fresh if r[-1:] in self.tails and (r[-2:-1].isalpha() or latin_letter(r[-3:-1]))]
-        known = {r[:-1] for r in tailed} | {r[-1:] for r in tailed}
-        wanted = list((set(fresh) - set(tailed)) | (known - young.keys()))
+        wanted = []
+        for r in fresh:
+            found = self.word(r.decode())
+            tail = self.tail_ids(found[2]) if found else None
+            if tail is None:
+                wanted.append(r)
+                continue
+            bare = r[:len(r) - len(found[2])]
+            ids = young.get(bare)
+            if ids is None:
+                ids = young[bare] = self.word_ids(found[1].translate(self.letters))
+            if tail:
+                young[r] = ids + tail
         for lo in range(0, len(wanted), 1000):
             some = wanted[lo:lo + 1000]
             young.update(zip(some, self.encoded_runs(some)))
-        young.update((r, young[r[:-1]] + young[r[-1:]]) for r in tailed)
-
-
-def latin_letter(char: bytes) -> bool:
-    """Whether two bytes are a letter from U+00C0 to U+024F."""
-    return b"\xc3\x80" <= char <= b"\xc9\x8f" and char[1] & 0xC0 == 0x80 and char.decode().isalpha()
 
 
 def kept_encoder(vocabulary: str) -> Encoder:

@@ -42,6 +42,26 @@ def test_slices_and_renewed_runs(monkeypatch):
     assert encoder.by_runs and own_ids(encoder, text) == plain_ids(text)
 
 
+def test_words_go_straight_to_the_model(monkeypatch):
+    encoder, rnd = Encoder(PATH), random.Random(5)
+    letters = "".join(map(chr, encoder.letters))
+    assert set("azAZéÖßñœ") <= set(letters) and not set("İ'1\u0301×") & set(letters)
+    words = ["".join(rnd.choices(letters, k=rnd.randint(1, 12))) + "".join(rnd.choices(tokenfiles.SIGNS, k=rnd.randint(0, tokenfiles.TAIL))) for _ in range(20_000)]
+    words += [w + m for w in letters for m in ("", "a", ".", "***")]
+    whole, sent = encoder.encoded_runs, []
+    monkeypatch.setattr(encoder, "encoded_runs", lambda runs: sent.extend(runs) or whole(runs))
+    assert own_ids(encoder, " ".join(words)) == plain_ids(" ".join(words)) and not sent
+    odd = ["don't", "it'S", "x12", "ñ\u0301a", "İa", "aσς", "中a", "a*b", "'re", "a'", "a.'s", "e!?.,;", "12."]
+    assert own_ids(encoder, " ".join(odd)) == plain_ids(" ".join(odd)) and set(sent) == {o.encode() for o in odd}
+
+
+def test_signs_stay_where_the_vocabulary_joins_them(monkeypatch):
+    encoder = Encoder(PATH)
+    monkeypatch.setattr(encoder, "pieces", lambda text: [text])
+    assert encoder.tail_ids("!") is None and encoder.letter_table() == {}
+    assert own_ids(encoder, "thing! thing") == plain_ids("thing! thing")
+
+
 def test_vocabularies_that_keep_space_encode_whole_texts():
     encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     text = "two  words\n\n and  a 'tail' "
