@@ -10,12 +10,14 @@ whose statistics or filters rule it out, and reads no ids but those it returns.
 ``starts`` adds the parts up, one line per part, so no row moves for it.
 
 Encoding: with a vocabulary that drops white space, every run between ASCII
-white space has its ids by itself. Runs a worker has not met lately are encoded
-by the vocabulary's library, and a text is the concatenation
-of its runs, which also keeps memory bounded by the text's own size. A word of
-letters that the library normalises one by one goes straight to the library's
-model; other runs go through the whole library, many in one call. Texts with
-special strings, and all texts under other vocabularies, are encoded whole.
+white space has its ids by itself, and a text is the concatenation of its runs,
+which also keeps memory bounded by the text's own size. Arrow cuts the texts of
+a slice, numbers their distinct runs, parts these into words and the signs
+behind them, and puts the ids together; Python sees each distinct word of a
+slice once. Words a worker has not met lately are encoded by the vocabulary's
+library: letters that it normalises one by one go straight to its model; other
+runs go through the whole library, many in one call. Texts with special
+strings, and all texts under other vocabularies, are encoded whole.
 
 Defined cases: a NULL text is empty and holds the end id alone; a NULL id
 comes before all others, and is found again as NULL; equal ids follow each
@@ -34,10 +36,11 @@ import struct
 import sys
 import types
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -47,10 +50,10 @@ from .common import byte_texts, text_key
 
 #: Bytes of a stripe, rows of a row group with its own statistics and Bloom filter, rows between two looks at a stripe's size.
 STRIPE_BYTES, GROUP_ROWS, LOOK_ROWS = 16 * 1024 * 1024, 1000, 256
-#: Distinct runs a worker keeps at hand; as many from before them stay until these are full.
+#: Distinct words, and distinct other runs, a worker keeps at hand; as many from before them stay until these are full.
 KEPT = 400_000
 #: Texts are encoded in slices of about this many bytes.
-SLICE = 2 * 1024 * 1024
+SLICE = 8 * 1024 * 1024
 SPACE = b" \t\n\r\x0b\x0c"
 #: Characters that may stand between runs, the first that is a token of its own.
 MARKS = "♪★✨→•×«¶§"
@@ -75,9 +78,9 @@ class Encoder:
         pattern = run_pattern(spec)
         self.by_runs = pattern is not None
         self.model = self.library.model
-        #: What the model is given for each letter of a word, and a match of a word with its signs.
+        #: What the model is given for each letter of a word, and a match of a word.
         self.letters = self.letter_table() if self.by_runs else {}
-        self.word = re.compile(f"([{''.join(map(chr, self.letters))}]+)([{re.escape(SIGNS)}]{{0,{TAIL}}})").fullmatch if self.letters else lambda run: None
+        self.word = re.compile(f"[{''.join(map(chr, self.letters))}]+").fullmatch if self.letters else lambda run: None
         #: Ids of signs behind a word, or None where the vocabulary does not cut them off.
         self.tails: dict[str, bytes | None] = {"": b""}
         self.lowers = "Lowercase" in {s.get("type") for s in [steps, *steps.get("normalizers", [])]}
@@ -87,9 +90,8 @@ class Encoder:
         self.begin = self.begin if self.begin.upper() == self.begin else b""
         #: A character that is one token by itself; no text without it has that token.
         self.mark, self.mark_id = next(((m, i[0]) for m in MARKS if self.by_runs and len(i := self.library.encode(m, add_special_tokens=False).ids) == 1), ("", -1))
-        # Runs met lately, and those met before them: rare runs go, frequent ones move on.
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words = Lately(self.fresh_words)
+        self.odd = Lately(lambda runs: self.encoded_runs(runs))
 
     def pieces(self, text: str) -> list[str]:
         """What the library gives its model for a text."""
@@ -143,7 +145,7 @@ class Encoder:
                 out[i] = b"".join(self.run_ids([self.form(piece)])[0] for piece in slices(text))
             else:
                 plain.append((i, self.form(text)))
-        for (i, _), found in zip(plain, self.run_ids([runs for _, runs in plain])):
+        for (i, _), found in zip(plain, self.run_ids([form for _, form in plain])):
             out[i] = found
         return out
 
@@ -154,49 +156,91 @@ class Encoder:
         low = text.lower()
         return any(s in low for s in self.special)
 
-    def form(self, text: bytes) -> list[bytes]:
-        """The runs of a text, in lower case where that cannot matter.
+    def form(self, text: bytes) -> bytes:
+        """A text in lower case where that cannot matter.
 
         Where the vocabulary lowers A-Z anyway, it matters only for letters that
         compose with a mark (U+0300 to U+036F) in one case and not in the other.
         """
-        return (text.lower() if self.lowers and b"\xcc" not in text and b"\xcd" not in text else text).split()
+        return text.lower() if self.lowers and b"\xcc" not in text and b"\xcd" not in text else text
+
+    def run_ids(self, forms: list[bytes]) -> list[bytes]:
+        """Ids of texts, run by run; each distinct run is looked up once."""
+        if not forms:
+            return []
+        cut = pc.ascii_split_whitespace(pa.array(forms, pa.binary()).view(pa.string()))
+        runs = cut.flatten().dictionary_encode()
+        ids = self.distinct_ids(runs.dictionary).take(runs.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[cut.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+
+    def distinct_ids(self, runs: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct runs: of the word and of the signs behind it, or of the whole run."""
+        bare = pc.ascii_rtrim(runs, SIGNS).dictionary_encode()
+        tails = tail_codes(runs, pc.subtract(pc.binary_length(runs), pc.binary_length(bare.dictionary).take(bare.indices))).dictionary_encode()
+        behind = [self.tail_ids(c.to_bytes(TAIL, "little").rstrip(b"\0").decode()) if c >= 0 else None for c in tails.dictionary.to_pylist()]
+        words = pa.array(self.words.ids(bytes_of(bare.dictionary)), pa.large_binary()).take(bare.indices)
+        ids = pc.binary_join_element_wise(words, pa.array(behind, pa.large_binary()).take(tails.indices), pa.scalar(b"", pa.large_binary()))
+        whole = ids.is_null()
+        odd = self.odd.ids(bytes_of(runs.filter(whole)))
+        return pc.replace_with_mask(ids, whole, pa.array(odd, pa.large_binary()))
+
+    def fresh_words(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of words, None for what is not letters the model takes one by one."""
+        texts = b"\n".join(words).decode().split("\n")
+        plain = [i for i, text in enumerate(texts) if self.word(text)]
+        pieces = "\n".join([texts[i] for i in plain]).translate(self.letters).split("\n")
+        out: list = [None] * len(words)
+        for i, piece in zip(plain, pieces):
+            out[i] = self.word_ids(piece)
+        return out
+
+
+class Lately:
+    """Ids of keys met lately, and of those met before them: rare keys go, frequent ones move on."""
+
+    def __init__(self, find: Callable[[list[bytes]], list[bytes | None]]):
+        self.find = find
+        self.young: dict[bytes, bytes | None] = {}
+        self.old: dict[bytes, bytes | None] = {}
 
-    def run_ids(self, texts: list[list[bytes]]) -> list[bytes]:
-        self.learn(set().union(*texts))
+    def ids(self, keys: list[bytes]) -> list[bytes | None]:
+        """Ids of distinct keys, found in thousands where they are new."""
         young = self.young
-        return [b"".join(map(young.__getitem__, t)) for t in texts]
-
-    def learn(self, runs: set[bytes]) -> None:
-        """Know the ids of these runs."""
-        new = runs.difference(self.young)
-        if len(self.young) + len(new) > KEPT:
-            self.old, self.young = self.young, {}
-            new = runs
-        young, old = self.young, self.old
-        fresh = []
-        for r in new:
-            found = old.get(r)
-            if found is None:
-                fresh.append(r)
+        found = [young.get(k, self) for k in keys]
+        new = [i for i, ids in enumerate(found) if ids is self]
+        if len(young) + len(new) > KEPT:
+            self.old, self.young = young, {}
+            new = range(len(keys))
+        young, old, fresh = self.young, self.old, []
+        for i in new:
+            ids = found[i] = old.get(keys[i], self)
+            if ids is self:
+                fresh.append(i)
             else:
-                young[r] = found
-        wanted = []
-        for r in fresh:
-            found = self.word(r.decode())
-            tail = self.tail_ids(found[2]) if found else None
-            if tail is None:
-                wanted.append(r)
-                continue
-            bare = r[:len(r) - len(found[2])]
-            ids = young.get(bare)
-            if ids is None:
-                ids = young[bare] = self.word_ids(found[1].translate(self.letters))
-            if tail:
-                young[r] = ids + tail
-        for lo in range(0, len(wanted), 1000):
-            some = wanted[lo:lo + 1000]
-            young.update(zip(some, self.encoded_runs(some)))
+                young[keys[i]] = ids
+        for lo in range(0, len(fresh), 1000):
+            some = fresh[lo:lo + 1000]
+            for i, ids in zip(some, self.find([keys[i] for i in some])):
+                found[i] = young[keys[i]] = ids
+        return found
+
+
+def bytes_of(column: pa.StringArray) -> list[bytes]:
+    return column.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
+def tail_codes(runs: pa.StringArray, sizes: pa.Int32Array) -> pa.Int64Array:
+    """The last ``sizes`` bytes of each run as a little-endian integer, -1 where they are more than ``TAIL``."""
+    size, ends = sizes.to_numpy(), runs.offset + np.arange(1, len(runs) + 1)
+    ends = np.frombuffer(runs.buffers()[1], np.int32)[ends].astype(np.int64)
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)
+    codes = np.where(size > TAIL, -1, 0)
+    for k in range(1, TAIL + 1):
+        rows = np.flatnonzero((size >= k) & (size <= TAIL))
+        codes[rows] |= data[ends[rows] - size[rows] + k - 1].astype(np.int64) << 8 * (k - 1)
+    return pa.array(codes, pa.int64())
 
 
 def kept_encoder(vocabulary: str) -> Encoder:
@@ -267,7 +311,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "d
 
 def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in slices of about ``SLICE`` bytes of text, one row at least."""
-    sizes = np.cumsum([0 if v is None else v for v in pa.compute.binary_length(batch.column(1)).to_pylist()])
+    sizes = np.cumsum([0 if v is None else v for v in pc.binary_length(batch.column(1)).to_pylist()])
     lo = 0
     while lo < batch.num_rows:
         base = sizes[lo - 1] if lo else 0

@@ -1,6 +1,7 @@
 """Token files against the library of the vocabulary, and what their metadata leaves out."""
 
 import random
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -62,6 +63,32 @@ def test_signs_stay_where_the_vocabulary_joins_them(monkeypatch):
     assert own_ids(encoder, "thing! thing") == plain_ids("thing! thing")
 
 
+def test_words_kept_from_before_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "KEPT", 4)
+    encoder, calls = Encoder(PATH), []
+    model = encoder.word_ids
+    monkeypatch.setattr(encoder, "word_ids", lambda piece: calls.append(piece) or model(piece))
+    for text in ("aa bb.", "cc, dd!", "bb? ee", "BB: aa"):
+        assert own_ids(encoder, text) == plain_ids(text)
+    assert len(calls) == len(set(calls)) == 5
+
+
+def test_runs_of_a_text_are_no_python_objects():
+    encoder, text = Encoder(PATH), b"Some words, and 12 numbers. " * 40_000
+    encoder.ids([text])
+    tracemalloc.start()
+    ids = encoder.ids([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids[0] == encoder.encoded([text[:28]])[0] * 40_000 and peak < 4 * len(text)
+
+
+def test_texts_of_a_slice():
+    texts = ["", " ", "a", "\t b  c.\n", "!!!", "x!?!?!", "12 thing's", "<|endoftext|>", "é. É! ñ\u0301", "\x00a\x1cb.", "'"]
+    for some in (texts, texts[:2], texts[7:8], []):
+        assert [np.frombuffer(v, "<u4").tolist() for v in Encoder(PATH).ids([t.encode() for t in some])] == [plain_ids(t) for t in some]
+
+
 def test_vocabularies_that_keep_space_encode_whole_texts():
     encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     text = "two  words\n\n and  a 'tail' "
