@@ -51,9 +51,9 @@ from .common import byte_texts, text_key
 #: Bytes of a stripe, rows of a row group with its own statistics and Bloom filter, rows between two looks at a stripe's size.
 STRIPE_BYTES, GROUP_ROWS, LOOK_ROWS = 16 * 1024 * 1024, 1000, 256
 #: Distinct words, and distinct other runs, a worker keeps at hand; as many from before them stay until these are full.
-KEPT = 400_000
+KEPT = 300_000
 #: Texts are encoded in slices of about this many bytes.
-SLICE = 8 * 1024 * 1024
+SLICE = 4 * 1024 * 1024
 SPACE = b" \t\n\r\x0b\x0c"
 #: Characters that may stand between runs, the first that is a token of its own.
 MARKS = "♪★✨→•×«¶§"
